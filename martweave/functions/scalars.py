@@ -91,7 +91,7 @@ def path_stem(path: Column | str) -> Column:
 def list_values(text: Column | str) -> Column:
     """Trimmed members of a quoted comma-separated list; empty members are dropped."""
     members = F.split(F.regexp_replace(_col(text), '"', ""), ",")
-    return F.filter(F.transform(members, F.trim), lambda member: member != "")
+    return F.filter(F.transform(members, lambda member: F.trim(member)), lambda member: member != "")
 
 
 def log_line(moment: Column, name: Column, status: Column) -> Column:

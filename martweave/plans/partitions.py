@@ -9,8 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martweave.functions.scalars import quoted
-from martweave.operators.actions import assert_unique, latest_per_key, upsert
-from martweave.session import scratch_path
+from martweave.operators.actions import assert_unique, delete_where, latest_per_key, upsert
 from martweave.sources.files import overwrite_partitions
 
 # Fixed values.
@@ -42,19 +41,29 @@ def upsert_partitions(
     if not latest_by:
         assert_unique(source, keys)
 
-    touched = _touched_partitions(target, source, keys, partition_by, condition)
+    incoming = _partitions(source, partition_by)
+    outgoing = _partitions(_leaving_rows(target, source, keys, condition), partition_by)
+    touched = incoming | outgoing
+    if len(touched) > MAX_DYNAMIC_PARTITIONS:
+        raise ValueError(f"more than {MAX_DYNAMIC_PARTITIONS} partitions change; rewrite the table as a release")
     if not touched:
         return 0
-    merged = upsert(target.where(_in_partitions(touched, partition_by)), source, keys, condition, check_keys=False)
-    # The new rows come from the very directories being replaced, so they are parked first.
-    parked_path = scratch_path(spark, "upsert")
-    merged.write.parquet(parked_path)
-    parked = spark.read.schema(merged.schema).parquet(parked_path)
-
-    overwrite_partitions(parked, path, partition_by)
-    kept = {tuple(row) for row in parked.select(*[quoted(c) for c in partition_by]).distinct().collect()}
-    # No output row names an emptied partition, so a dynamic overwrite would leave its old rows.
-    _drop_partitions(spark, target, [row for row in touched if tuple(row) not in kept], partition_by)
+    # No output row names a partition that the upsert empties, so the overwrite would leave its
+    # old rows in place. Only partitions that lose rows and gain none can be emptied.
+    losing = outgoing - incoming
+    emptied: set[tuple] = set()
+    if losing:
+        before = target.where(_in_partitions(losing, partition_by))
+        kept = before if condition is None else delete_where(before, condition)
+        remaining = kept.join(source.select(*[quoted(k) for k in keys]), keys, "left_anti")
+        emptied = losing - _partitions(remaining, partition_by)
+
+    rewritten = touched - emptied
+    if rewritten:
+        # Dynamic overwrite writes beside the table and switches directories when all tasks are done.
+        before = target.where(_in_partitions(rewritten, partition_by))
+        overwrite_partitions(upsert(before, source, keys, condition, check_keys=False), path, partition_by)
+    _drop_partitions(spark, target, emptied, partition_by)
     return len(touched)
 
 
@@ -66,39 +75,37 @@ def delete_from_partitions(
     return upsert_partitions(spark, path, nothing, keys, partition_by, condition)
 
 
-def _touched_partitions(target, source, keys, partition_by, condition) -> list:
-    columns = [quoted(c) for c in partition_by]
-    incoming = source.select(*columns)
-    holding = target.join(source.select(*[quoted(k) for k in keys]), keys, "left_semi").select(*columns)
-    found = incoming.unionByName(holding)
-    if condition is not None:
-        predicate = F.expr(condition) if isinstance(condition, str) else condition
-        found = found.unionByName(target.where(predicate).select(*columns))
-    touched = found.distinct().limit(MAX_DYNAMIC_PARTITIONS + 1).collect()
-    if len(touched) > MAX_DYNAMIC_PARTITIONS:
-        raise ValueError(f"more than {MAX_DYNAMIC_PARTITIONS} partitions change; rewrite the table as a release")
-    return touched
+def _leaving_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], condition: Column | str | None) -> DataFrame:
+    """Target rows that the upsert replaces or deletes."""
+    replaced = target.join(source.select(*[quoted(k) for k in keys]), list(keys), "left_semi").select(*target.columns)
+    if condition is None:
+        return replaced
+    predicate = F.expr(condition) if isinstance(condition, str) else condition
+    return replaced.unionByName(target.where(predicate))
+
+
+def _partitions(df: DataFrame, partition_by: Sequence[str]) -> set[tuple]:
+    """Distinct partition values; never more than one beyond the limit reach the driver."""
+    found = df.select(*[quoted(c) for c in partition_by]).distinct().limit(MAX_DYNAMIC_PARTITIONS + 1)
+    return {tuple(row) for row in found.collect()}
 
 
-def _in_partitions(touched: list, partition_by: Sequence[str]) -> Column:
+def _in_partitions(values: set[tuple], partition_by: Sequence[str]) -> Column:
     """Literal predicate on the partition columns, so the scan is pruned to these partitions."""
-    if len(partition_by) == 1:
-        name = partition_by[0]
-        values = [row[name] for row in touched if row[name] is not None]
-        listed = quoted(name).isin(values) if values else F.lit(False)
-        return listed | quoted(name).isNull() if len(values) < len(touched) else listed
-    # One disjunct per leading value keeps the predicate small.
-    grouped: dict = {}
-    for row in touched:
-        grouped.setdefault(row[partition_by[0]], []).append(row)
-    branches = [
-        quoted(partition_by[0]).eqNullSafe(F.lit(value)) & _in_partitions(rows, partition_by[1:])
-        for value, rows in grouped.items()
-    ]
-    return reduce(Column.__or__, branches)
-
-
-def _drop_partitions(spark: SparkSession, target: DataFrame, emptied: list, partition_by: Sequence[str]) -> None:
+    name, rest = partition_by[0], partition_by[1:]
+    by_value: dict = {}
+    for value, *others in values:
+        by_value.setdefault(value, set()).add(tuple(others))
+    if rest:
+        branches = [
+            quoted(name).eqNullSafe(F.lit(value)) & _in_partitions(others, rest) for value, others in by_value.items()
+        ]
+        return reduce(Column.__or__, branches)
+    listed = quoted(name).isin([v for v in by_value if v is not None])
+    return listed | quoted(name).isNull() if None in by_value else listed
+
+
+def _drop_partitions(spark: SparkSession, target: DataFrame, emptied: set[tuple], partition_by: Sequence[str]) -> None:
     """Remove the files of emptied partitions through the file system Spark reads them with."""
     if not emptied:
         return

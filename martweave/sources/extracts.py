@@ -45,7 +45,7 @@ def first_table(spark: SparkSession, root: str) -> DataFrame | None:
 
 def read_pieces(spark: SparkSession, pattern: str) -> DataFrame:
     """All pieces that match a glob, each row with the ``piece`` it came from."""
-    source = path_stem(F.regexp_extract("_metadata.file_path", r"^(.*)/[^/]*$", 1))
+    source = path_stem(F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/[^/]*$", 1))
     return spark.read.parquet(pattern).select("*", source.alias("piece"))
 
 

@@ -27,7 +27,7 @@ def watch_folder(
     reader = spark.readStream.schema(schema).format(file_format)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.load(path).select("*", path_name("_metadata.file_path").alias("source_file"))
+    return reader.load(path).select("*", path_name(F.col("_metadata.file_path")).alias("source_file"))
 
 
 def watch_names(spark: SparkSession, path: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from martweave.functions.scalars import quoted
 from martweave.operators.actions import assert_unique, delete_where, latest_per_key, upsert
-from martweave.sources.files import overwrite_partitions
+from martweave.sources.files import delete_path, overwrite_partitions
 
 # Fixed values.
 MAX_DYNAMIC_PARTITIONS = 10_000
@@ -24,13 +24,15 @@ def upsert_partitions(
     partition_by: Sequence[str],
     condition: Column | str | None = None,
     latest_by: Sequence[str] = (),
+    rows_move: bool = True,
 ) -> int:
     """Upsert ``source`` into the table at ``path``; returns how many partitions were rewritten.
 
     A partition is touched when the source brings a row for it, when it holds a row whose key
-    the source has (rows may move between partitions), or when ``condition`` deletes from it.
-    Finding them reads key and partition columns only. Running the same upsert again gives the
-    same table, so a repeated run after a failure is safe.
+    the source has, or when ``condition`` deletes from it. Finding them reads the key and
+    partition columns of the table; with ``rows_move=False`` (a key always stays in its
+    partition) the table outside the source's own partitions is not searched for keys at all.
+    Running the same upsert again gives the same table, so repeating it after a failure is safe.
 
     Partitions are switched one by one at the end of the write; where readers need all or
     nothing, publish a release instead.
@@ -42,7 +44,7 @@ def upsert_partitions(
         assert_unique(source, keys)
 
     incoming = _partitions(source, partition_by)
-    outgoing = _partitions(_leaving_rows(target, source, keys, condition), partition_by)
+    outgoing = _partitions(_leaving_rows(target, source, keys if rows_move else [], condition), partition_by)
     touched = incoming | outgoing
     if len(touched) > MAX_DYNAMIC_PARTITIONS:
         raise ValueError(f"more than {MAX_DYNAMIC_PARTITIONS} partitions change; rewrite the table as a release")
@@ -76,12 +78,14 @@ def delete_from_partitions(
 
 
 def _leaving_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], condition: Column | str | None) -> DataFrame:
-    """Target rows that the upsert replaces or deletes."""
-    replaced = target.join(source.select(*[quoted(k) for k in keys]), list(keys), "left_semi").select(*target.columns)
+    """Target rows that the upsert replaces (when ``keys`` are given) or deletes."""
+    leaving = target.limit(0)
+    if keys:
+        leaving = target.join(source.select(*[quoted(k) for k in keys]), list(keys), "left_semi").select(*target.columns)
     if condition is None:
-        return replaced
+        return leaving
     predicate = F.expr(condition) if isinstance(condition, str) else condition
-    return replaced.unionByName(target.where(predicate))
+    return leaving.unionByName(target.where(predicate))
 
 
 def _partitions(df: DataFrame, partition_by: Sequence[str]) -> set[tuple]:
@@ -109,9 +113,10 @@ def _drop_partitions(spark: SparkSession, target: DataFrame, emptied: set[tuple]
     """Remove the files of emptied partitions through the file system Spark reads them with."""
     if not emptied:
         return
-    files = target.where(_in_partitions(emptied, partition_by)).select("_metadata.file_path").distinct()
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    configuration = spark.sparkContext._jsc.hadoopConfiguration()
-    for directory in {row["file_path"].rsplit("/", 1)[0] for row in files.collect()}:
-        folder = hadoop.Path(spark.sparkContext._jvm.java.net.URI(directory))
-        folder.getFileSystem(configuration).delete(folder, True)
+    file = F.col("_metadata.file_path")
+    folders = target.where(_in_partitions(emptied, partition_by)).select(
+        F.url_decode(F.regexp_extract(file, r"^(.*)/[^/]*$", 1)).alias("folder")
+    )
+    # One folder per emptied partition, of which there are at most MAX_DYNAMIC_PARTITIONS.
+    for row in folders.distinct().collect():
+        delete_path(spark, row["folder"])

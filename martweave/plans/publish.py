@@ -87,7 +87,7 @@ def stage_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> S
     prepared = df
     if partition_by:
         prepared = df.hint("rebalance", *[F.col(f"`{c}`") for c in partition_by])
-    writer = prepared.observe(seen, *checksum_aggregates(df.columns)).write
+    writer = prepared.observe(seen, *checksum_aggregates(df.columns)).write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     written = table_checksum(spark.read.schema(df.schema).parquet(path), df.columns).first().asDict()
     # Spark may skip an empty plan and with it the observation.
@@ -110,7 +110,8 @@ def publish_release(
     """Write, verify and switch to a release; returns its log rows.
 
     Tables are written in the order given (dimensions first, then facts). Publishing the
-    current ``run_id`` again changes nothing.
+    current ``run_id`` again changes nothing, and a run that failed may be repeated under its
+    ``run_id``: what it left behind is overwritten, as no release names it.
     """
     root = root.rstrip("/")
     run_id = run_id or new_run_id()
@@ -118,6 +119,8 @@ def publish_release(
     previous = {row["table_name"]: row for row in current_release(spark, root).collect()}
     if any(row["run_id"] == run_id for row in previous.values()):
         return current_release(spark, root)
+    if release_log(spark, root).where(F.col("run_id") == run_id).take(1):
+        raise ValueError(f"run '{run_id}' is an earlier release of {root}")
     sequence = 1 + max((row["sequence"] for row in previous.values()), default=0)
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 

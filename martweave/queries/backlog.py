@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from martweave.functions.scalars import NEXT_STAGE, next_stage, stage_path
 from martweave.operators import backlog
-from martweave.queries.inputs import JOBS, RANKED_JOBS, jobs, table
+from martweave.queries.inputs import JOBS, RANKED_JOBS, jobs
 
 
 def _ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,8 +32,7 @@ def class_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = jobs(spark, sf_dir).join(table(spark, sf_dir, "events").select("event_id", "user_id"), "event_id")
-    return backlog.latest_stage(log, "user_id", ("ts", "event_id"))
+    return backlog.latest_stage(jobs(spark, sf_dir), "user_id", ("ts", "event_id"))
 
 
 def stage_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,7 +60,7 @@ _FLOW = " ".join(f"WHEN '{stage}' THEN '{following}'" for stage, following in NE
 QUERIES = {
     "job_priority": (
         job_priority,
-        f"""SELECT event_id, name, ts, stage, priority AS strict_priority,
+        f"""SELECT event_id, user_id, name, ts, stage, priority AS strict_priority,
         CASE WHEN contains(name, 'DLE') THEN 1 WHEN contains(name, 'MR') THEN 2 ELSE 3 END AS priority
         FROM ({RANKED_JOBS})""",
     ),
@@ -75,7 +74,7 @@ QUERIES = {
     ),
     "class_gate": (
         class_gate,
-        f"""SELECT event_id, name, ts, stage, priority
+        f"""SELECT event_id, user_id, name, ts, stage, priority
         FROM (SELECT *, bool_or(priority = 1) OVER (PARTITION BY stage) AS has_top FROM ({RANKED_JOBS}))
         WHERE NOT (stage = 'hyper' AND has_top AND priority <> 1)""",
     ),
@@ -83,7 +82,7 @@ QUERIES = {
         stage_latest,
         f"""SELECT user_id, stage FROM (SELECT user_id, stage,
             row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
-            FROM ({JOBS}) JOIN events USING (event_id, ts)) WHERE rn = 1""",
+            FROM ({JOBS})) WHERE rn = 1""",
     ),
     "stage_flow": (
         stage_flow,

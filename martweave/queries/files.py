@@ -100,22 +100,23 @@ def log_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table files themselves, with the size guard's verdict."""
     files = io.file_inventory(spark, sf_dir, max_hash_bytes=io.MAX_FILE_BYTES)
-    return files.select("name", "length", "md5", io.size_reason().alias("reason"))
+    return io.by_name(files).select("name", "length", "md5", io.size_reason().alias("reason"))
 
 
 def copy_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages exported per host into one directory tree twice, compared file by file via names and MD5."""
-    host = F.regexp_extract("url", r"^https?://([^/?#]+)", 1)
-    pages = table(spark, sf_dir, "pages").select(host.alias("name"), F.col("html").alias("content"))
-    per_host = pages.groupBy("name").agg(
-        F.sum(F.octet_length("content")).alias("length"),
-        F.sum(F.conv(F.substring(F.md5("content"), 1, 8), 16, 10).cast("bigint")).cast("string").alias("md5"),
-    )
-    copied = pages.where(F.contains("content", F.lit("<title>"))).groupBy("name").agg(
-        F.sum(F.octet_length("content")).alias("length"),
-        F.sum(F.conv(F.substring(F.md5("content"), 1, 8), 16, 10).cast("bigint")).cast("string").alias("md5"),
-    )
-    return reconcile_files(per_host, copied)
+    """One file per page; the copy lacks the pages with a fragment and has altered those without TLS."""
+    url, html = F.col("url"), F.col("html")
+
+    def inventory(pages: DataFrame, content) -> DataFrame:
+        name = F.concat(F.lit("page_"), F.col("page_id").cast("string"), F.lit(".html"))
+        return pages.select(
+            name.alias("name"), F.octet_length(content).cast("bigint").alias("length"), F.md5(content).alias("md5")
+        )
+
+    pages = table(spark, sf_dir, "pages")
+    altered = F.when(F.startswith(url, F.lit("http:")), F.upper(html)).otherwise(html)
+    copied = pages.where(~F.contains(url, F.lit("#")))
+    return reconcile_files(inventory(pages, html), inventory(copied, altered))
 
 
 QUERIES = {
@@ -148,10 +149,9 @@ QUERIES = {
     "file_inventory": (file_inventory, None),
     "copy_reconcile": (
         copy_reconcile,
-        """SELECT name, 1 AS left_rows, CAST(count(*) FILTER (WHERE titled) > 0 AS BIGINT) AS right_rows,
-        CASE WHEN count(*) FILTER (WHERE titled) = 0 THEN 'only_left'
-            WHEN count(*) FILTER (WHERE NOT titled) > 0 THEN 'changed' ELSE 'equal' END AS status
-        FROM (SELECT regexp_extract(url, '^https?://([^/?#]+)', 1) AS name, contains(html, '<title>') AS titled
-            FROM pages) GROUP BY 1""",
+        """SELECT 'page_' || CAST(page_id AS VARCHAR) || '.html' AS name, CAST(1 AS BIGINT) AS left_rows,
+        CAST(NOT contains(url, '#') AS BIGINT) AS right_rows,
+        CASE WHEN contains(url, '#') THEN 'only_left' WHEN starts_with(url, 'http:') THEN 'changed' ELSE 'equal' END
+        AS status FROM pages""",
     ),
 }

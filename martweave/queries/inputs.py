@@ -55,13 +55,14 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     stage = F.when(F.col("value") < 10, "extract").when(F.col("value") < 40, "hyper").otherwise("publish")
     return table(spark, sf_dir, "events").select(
         "event_id",
+        "user_id",
         F.concat(marker.otherwise("job_"), F.col("event_id").cast("string")).alias("name"),
         "ts",
         stage.alias("stage"),
     )
 
 
-JOBS = """SELECT event_id,
+JOBS = """SELECT event_id, user_id,
     CASE event_type WHEN 'error' THEN 'DLE_' WHEN 'purchase' THEN 'load_MR_' ELSE 'job_' END
         || CAST(event_id AS VARCHAR) AS name,
     ts,

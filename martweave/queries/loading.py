@@ -147,7 +147,7 @@ def rename_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def batched_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     name = _fresh_table(spark, customer.schema, ["c_mktsegment"], "parquet")
-    catalog.load_csv_batches(customer, name, ["c_custkey"], batches=10)
+    catalog.load_batches(customer, name, ["c_custkey"], batches=10)
     return spark.table(name)
 
 

@@ -11,7 +11,8 @@ from martweave.operators import actions
 from martweave.operators.keys import fk_valid, with_key
 from martweave.plans.merge import MergeResult, merge_extracts
 from martweave.plans.partitions import delete_from_partitions, upsert_partitions
-from martweave.plans.publish import apply_actions, publish_release, read_published
+from martweave.plans.publish import apply_actions, new_run_id, publish_release, read_published
+from martweave.plans.staging import run_staged, stage_by_config
 from martweave.queries.inputs import (
     ARRIVING_ORDERS,
     AS_OF,
@@ -24,6 +25,8 @@ from martweave.queries.inputs import (
     table,
 )
 from martweave.session import scratch_path
+from martweave.sources.config import ENTRY_SCHEMA
+from martweave.sources.extracts import write_table
 from martweave.sources.files import append_partitioned
 
 CUSTOMER_FK = ForeignKey(("o_custkey",), "customer", ("c_custkey",))
@@ -125,6 +128,24 @@ def staged_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _key_totals({name: read_published(spark, root, name) for name in _STAR_KEYS})
 
 
+def staged_by_config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stage two facts and the dimensions they share by configuration, publish, drop the staging area."""
+    roots = {mode: scratch_path(spark, mode) for mode in ("incremental", "full")}
+    for name in ("orders", "lineitem"):
+        write_table(table(spark, sf_dir, name), roots["incremental"], name)
+    for name in ("customer", "part", "supplier", "region"):
+        write_table(table(spark, sf_dir, name), roots["full"], name)
+    edges = {"orders": ["customer"], "lineitem": ["part", "supplier", "customer"], "events": []}
+    entries = spark.createDataFrame([(f, [(d,) for d in dims]) for f, dims in edges.items()], ENTRY_SCHEMA)
+    requested = spark.createDataFrame([("orders",), ("lineitem",)], "source_table string")
+
+    staging, root = scratch_path(spark, "staging"), scratch_path(spark, "mart")
+    staged = stage_by_config(spark, requested, entries, roots, staging, new_run_id(), f"{root}/log")
+    release = run_staged(spark, staged, staging, lambda tables: publish_release(spark, root, tables))
+    log = spark.read.parquet(f"{root}/log").select(F.col("name").alias("table_name"), "status")
+    return release.join(log, "table_name").select("table_name", "status", "row_count")
+
+
 def _merged(spark: SparkSession, sf_dir: str) -> MergeResult:
     """Three order extracts that differ in columns, column case and missing keys, and one dimension."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "o_orderstatus")
@@ -230,6 +251,13 @@ QUERIES = {
         staged_publish,
         f"{_STAR_TOTALS} UNION ALL SELECT 'supplier', count(*), CAST(sum(s_suppkey) AS BIGINT) FROM supplier",
     ),
+    "staged_by_config": (
+        staged_by_config,
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, 'staged' AS status, count(*) AS row_count FROM {name}"
+            for name in ("orders", "lineitem", "customer", "part", "supplier")
+        ),
+    ),
     "merge_extracts": (
         merged_orders,
         f"""{_MERGE_INPUT} SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM checked

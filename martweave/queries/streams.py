@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martweave.queries.inputs import RANKED_JOBS, JOBS, UPSERTED_ORDERS, arriving_orders, jobs, stored_orders
+from martweave.queries.inputs import JOBS, RANKED_JOBS, UPSERTED_ORDERS, arriving_orders, jobs, stored_orders
 from martweave.session import scratch_path
 from martweave.sources.files import append_partitioned
 from martweave.streaming import arrivals as st
@@ -52,19 +52,12 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_stage_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Last stage per job name after all log entries have arrived; names repeat across stages."""
-    marker = F.split_part("name", F.lit("_"), F.lit(-1))
-    bucket = F.pmod(F.xxhash64("name"), F.lit(4)).cast("int")
-    log = jobs(spark, sf_dir).select(
-        F.concat(F.lit("job_"), F.substring(marker, -2, 2)).alias("name"),
-        # Times are made unique per job, so that the last entry is one entry.
-        F.expr("ts + make_dt_interval(0, 0, 0, cast(event_id AS decimal(18,6)) / 1000000)").alias("ts"),
-        "stage",
-    )
-    log = log.withColumn("bucket", bucket)
+    """Last stage of each user's work. The table starts with the first entries, the stream brings all."""
+    log = jobs(spark, sf_dir).select(F.concat(F.lit("job_"), F.col("user_id").cast("string")).alias("name"), "ts", "stage")
+    log = log.withColumn("bucket", F.pmod(F.xxhash64("name"), F.lit(4)).cast("int"))
+    first = log.groupBy("name").agg(F.min(F.struct("ts", "stage", "bucket")).alias("entry")).select("name", "entry.*")
     path = scratch_path(spark, "stages")
-    append_partitioned(log.groupBy("name", "bucket").agg(F.min_by("stage", "ts").alias("stage"), F.min("ts").alias("ts"))
-                       .select("name", "ts", "stage", "bucket"), path, ["bucket"])
+    append_partitioned(first, path, ["bucket"])
     landed, checkpoint = _land(spark, log, "landing"), scratch_path(spark, "checkpoint")
     arrived = st.watch_folder(spark, landed, log.schema).drop("source_file")
     st.drain_latest_stage(arrived, path, checkpoint).awaitTermination()
@@ -72,14 +65,12 @@ def stream_stage_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "stream_arrivals": (stream_arrivals, f"SELECT event_id, name, ts, stage, priority FROM ({RANKED_JOBS})"),
+    "stream_arrivals": (stream_arrivals, f"SELECT * FROM ({RANKED_JOBS})"),
     "stream_no_repeats": (stream_no_repeats, JOBS),
     "stream_upsert": (stream_upsert, UPSERTED_ORDERS),
     "stream_stage_latest": (
         stream_stage_latest,
-        f"""SELECT name, ts, stage FROM (
-            SELECT 'job_' || right(string_split(name, '_')[-1], 2) AS name, stage,
-                ts + to_microseconds(event_id) AS ts FROM ({JOBS}))
-        QUALIFY row_number() OVER (PARTITION BY name ORDER BY ts DESC) = 1""",
+        f"""SELECT 'job_' || CAST(user_id AS VARCHAR) AS name, ts, stage FROM ({JOBS})
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, stage DESC) = 1""",
     ),
 }

@@ -29,6 +29,12 @@ def config_edges(entries: DataFrame) -> DataFrame:
     return entries.select("source_table", targets.alias("target_table"))
 
 
+def targets_of(entries: DataFrame, source_table: str) -> DataFrame:
+    """Tables that the foreign keys of one source table point at."""
+    edges = config_edges(entries.where(F.col("source_table") == source_table))
+    return edges.where(F.col("target_table").isNotNull()).select("target_table")
+
+
 def parse_list_config(lines: DataFrame, line: str = "value") -> DataFrame:
     """``(key, value)`` rows of ``KEY="a,b"`` lines; keys are compared whole, never as substrings."""
     key = F.trim(F.substring_index(line, "=", 1))

@@ -109,6 +109,17 @@ def size_reason(
     return F.when(size < min_bytes, "too small").when(size > max_bytes, "too large")
 
 
+def by_name(files: DataFrame) -> DataFrame:
+    """Inventory in the order pieces are processed."""
+    return files.orderBy("name", "path")
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a directory through the file system Spark reads it with."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def append_log(df: DataFrame, path: str) -> None:
     """Append run-log rows."""
     df.write.mode("append").parquet(path)

@@ -10,7 +10,9 @@ from pyspark.sql.types import DataType, StructType
 
 from martweave.functions.scalars import quoted
 from martweave.operators.conform import conform, partition_columns
-from martweave.sources.files import overwrite_partitions
+from martweave.operators.ordering import batch_ids
+from martweave.session import scratch_path
+from martweave.sources.files import append_partitioned, overwrite_partitions
 
 
 def quote_name(name: str) -> str:
@@ -76,17 +78,18 @@ def preview_table(spark: SparkSession, name: str, rows: int = 5) -> DataFrame:
     return spark.table(name).limit(rows)
 
 
-def load_csv_batches(df: DataFrame, name: str, order_by: Sequence[str] | None = None, batches: int = 10) -> None:
+def load_batches(df: DataFrame, name: str, order_by: Sequence[str] | None = None, batches: int = 10) -> None:
     """Load a frame into a table: one write, or ordered batches when ``order_by`` is given.
 
-    Batches exist for targets that cannot take everything at once. Each batch is a filter on a
-    numbering computed once, so no batch reads the input again.
+    Batches exist for targets that cannot take everything at once. They are laid out once, one
+    directory each, so that no batch reads another's rows.
     """
-    from martweave.operators.ordering import batch_ids
-
     if order_by is None:
         append_to_table(df, name)
         return
-    numbered = batch_ids(df, order_by, batches)
+    spark = df.sparkSession
+    path = scratch_path(spark, "batches")
+    append_partitioned(batch_ids(df, order_by, batches), path, ["batch_id"])
+    laid_out = spark.read.parquet(path)
     for batch in range(batches):
-        append_to_table(numbered.where(F.col("batch_id") == batch).drop("batch_id"), name)
+        append_to_table(laid_out.where(F.col("batch_id") == batch).drop("batch_id"), name)

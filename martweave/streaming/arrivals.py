@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from martweave.functions.scalars import path_name, priority_class
+from martweave.operators.actions import latest_per_key
 from martweave.plans.partitions import upsert_partitions
 
 
@@ -76,7 +77,9 @@ def drain_to_upserts(
     """
 
     def apply(batch: DataFrame, _batch_id: int) -> None:
+        batch.persist()
         upsert_partitions(batch.sparkSession, path, batch, keys, partition_by, latest_by=latest_by)
+        batch.unpersist()
 
     return (
         arrivals.writeStream.foreachBatch(apply)
@@ -97,10 +100,12 @@ def drain_latest_stage(log: DataFrame, path: str, checkpoint: str) -> StreamingQ
     def apply(batch: DataFrame, _batch_id: int) -> None:
         spark = batch.sparkSession
         stored = spark.read.parquet(path)
-        known = stored.join(batch.select("name"), "name", "left_semi").select(*stored.columns)
+        newest = latest_per_key(batch.select(*stored.columns), ["name"], ["ts"]).persist()
+        known = stored.join(newest.select("name"), "name", "left_semi").select(*stored.columns)
         upsert_partitions(
-            spark, path, batch.select(*stored.columns).unionByName(known), ["name"], ["bucket"], latest_by=["ts"]
+            spark, path, newest.unionByName(known), ["name"], ["bucket"], latest_by=["ts"], rows_move=False
         )
+        newest.unpersist()
 
     return (
         log.writeStream.foreachBatch(apply)

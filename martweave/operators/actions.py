@@ -11,6 +11,7 @@ from pyspark.sql.types import DataType
 
 from martweave.functions.scalars import RETENTION_DAYS, days_before, default_if_null, quoted, timestamp_literal, typed_null
 from martweave.operators.conform import conform
+from martweave.operators.sizing import KeySize, key_size
 
 
 def replace(target: DataFrame | None, source: DataFrame) -> DataFrame:
@@ -51,26 +52,57 @@ def upsert(
 
     ``condition`` deletes from the target only, before the source arrives. NULL keys match
     nothing. Repeated source keys raise, unless ``latest_by`` says which row counts.
-    ``check_keys=False`` skips that test for sources known to be unique.
 
-    The source is usually the small side, so the anti join broadcasts its keys when Spark
-    finds them below the broadcast threshold and otherwise sort-merges, splitting hot target
-    keys at run time; the target's other columns never take part in the match.
+    One pass over the source's key columns makes that test and measures the keys: if they are
+    small, they are broadcast and the target is not shuffled. ``check_keys=False`` skips the
+    pass for sources known to be unique and leaves the join to Spark.
     """
     keys = list(keys)
+    small = False
+    if check_keys:
+        small = require_unique(source, keys, bool(latest_by)).small
     if latest_by:
         source = latest_per_key(source, keys, latest_by)
-    elif check_keys:
-        assert_unique(source, keys)
+    return put_rows(target, source, keys, condition, small)
+
+
+def put_rows(
+    target: DataFrame | None,
+    source: DataFrame,
+    keys: Sequence[str],
+    condition: Column | str | None = None,
+    small: bool = False,
+) -> DataFrame:
+    """``upsert`` of a checked source; ``small`` says that its keys may be broadcast."""
     if target is None:
         return source
     kept = target if condition is None else delete_where(target, condition)
+    return without_keys(kept, source, keys, small).unionByName(source, allowMissingColumns=True).select(
+        *[quoted(c) for c in target.columns]
+    )
+
+
+def without_keys(target: DataFrame, source: DataFrame, keys: Sequence[str], small: bool = False) -> DataFrame:
+    """Target rows whose key the source does not have; NULL keys match nothing.
+
+    Beyond the broadcast size this is a sort-merge anti join, whose hot target keys Spark
+    splits at run time.
+    """
     changed = source.select(*[quoted(k) for k in keys])
-    return kept.join(changed, keys, "left_anti").unionByName(source, allowMissingColumns=True).select(
+    return target.join(F.broadcast(changed) if small else changed, list(keys), "left_anti").select(
         *[quoted(c) for c in target.columns]
     )
 
 
+def require_unique(source: DataFrame, keys: Sequence[str], repeats_allowed: bool = False) -> KeySize:
+    """Size of the source's keys; raises when a non-NULL key occurs twice."""
+    size = key_size(source, keys)
+    if size.most_rows > 1 and not repeats_allowed:
+        example = repeated_keys(source, keys).first().asDict()
+        raise ValueError(f"source key {example} is not unique; pass latest_by to choose a row")
+    return size
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str]) -> DataFrame:
     """One row per key: the greatest by ``latest_by``, ties decided by the remaining columns.
 
@@ -88,13 +120,6 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str])
     return latest.select(*picked).union(unkeyed)
 
 
-def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
-    """Raise when a non-NULL key occurs twice. Reads the key columns only."""
-    repeated = repeated_keys(df, keys).take(1)
-    if repeated:
-        raise ValueError(f"source key {repeated[0].asDict()} is not unique; pass latest_by to choose a row")
-
-
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Non-NULL keys that occur more than once, with their row count."""
     columns = [quoted(k) for k in keys]

@@ -40,11 +40,11 @@ def first_per_stage(jobs: DataFrame, jobs_per_stage: int = CONCURRENT_JOBS) -> D
 def admissible(jobs: DataFrame, gated_stage: str = GATED_STAGE) -> DataFrame:
     """Jobs that may run now: while the gated stage holds a top-priority job, only those may.
 
-    The gate is one aggregated row per stage, joined back, so stages need not fit in one task.
+    The gate is one yes-or-no subquery, so no stage is gathered anywhere.
     """
-    stages = jobs.groupBy("stage").agg(F.bool_or(F.col("priority") == TOP_PRIORITY).alias("_has_top"))
-    blocked = (F.col("stage") == gated_stage) & F.col("_has_top") & (F.col("priority") != TOP_PRIORITY)
-    return jobs.join(stages, "stage").where(~blocked).drop("_has_top").select(*jobs.columns)
+    top = F.col("priority") == TOP_PRIORITY
+    gate = jobs.where((F.col("stage") == gated_stage) & top)
+    return jobs.where((F.col("stage") != gated_stage) | top | ~gate.exists())
 
 
 def latest_stage(log: DataFrame, job: str = "name", order_by: tuple[str, ...] = ("ts",)) -> DataFrame:

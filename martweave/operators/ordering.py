@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martweave.functions.scalars import quoted
+from martweave.operators.sizing import broadcast_if_small
 from martweave.session import scratch_path
 
 # monotonically_increasing_id keeps the partition above, and the row within it below, this bit.
@@ -31,20 +32,24 @@ def row_index(
     partition_by: Sequence[str] = (),
     name: str = "row_index",
     ranges: int | None = None,
+    unique: bool = True,
 ) -> DataFrame:
     """1-based position of each row by ``order_by``, within each ``partition_by`` group if given.
 
-    The ordering must be unique for a repeatable result. NULLs come first. ``ranges`` fixes the
-    number of range partitions; by default Spark sizes them.
+    NULLs come first. ``ranges`` fixes the number of range partitions; by default Spark sizes
+    them. An ordering that leaves many rows equal needs ``unique=False``: a range cannot split
+    equal rows, so they are told apart by a number written down with them beforehand.
     """
-    spark = df.sparkSession
     columns = [quoted(c) for c in [*partition_by, *order_by]]
-    spread = df.repartitionByRange(*columns) if ranges is None else df.repartitionByRange(ranges, *columns)
-    path = scratch_path(spark, "row-index")
-    positioned = spread.sortWithinPartitions(*columns).withColumn("_pos", F.monotonically_increasing_id())
-    positioned.write.parquet(path)
-
-    placed = spark.read.schema(positioned.schema).parquet(path)
+    rows = df
+    if not unique:
+        rows = _written(df.withColumn("_tie", F.monotonically_increasing_id()), "row-ties")
+        columns.append(F.col("_tie"))
+    spread = rows.repartitionByRange(*columns) if ranges is None else rows.repartitionByRange(ranges, *columns)
+    placed = _written(
+        spread.sortWithinPartitions(*columns).drop("_tie").withColumn("_pos", F.monotonically_increasing_id()),
+        "row-index",
+    )
     part = F.shiftright("_pos", _ROW_BITS)
     sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -60,6 +65,12 @@ def row_index(
     return _restart_per_group(numbered, partition_by, name) if partition_by else numbered
 
 
+def _written(df: DataFrame, purpose: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _restart_per_group(numbered: DataFrame, partition_by: Sequence[str], name: str) -> DataFrame:
     """Groups are contiguous in the global order, so each starts over at its lowest number."""
     firsts = numbered.groupBy(*[quoted(c).alias(f"_group_{c}") for c in partition_by]).agg(
@@ -69,22 +80,27 @@ def _restart_per_group(numbered: DataFrame, partition_by: Sequence[str], name: s
     for column in partition_by:
         same_group = same_group & quoted(column).eqNullSafe(quoted(f"_group_{column}"))
     others = [quoted(c) for c in numbered.columns if c != name]
-    return numbered.join(firsts, same_group).select(*others, (quoted(name) - F.col("_first") + 1).alias(name))
+    # Joining on a few large groups would shuffle each to one task; few groups are broadcast.
+    return numbered.join(broadcast_if_small(firsts), same_group).select(*others, (quoted(name) - F.col("_first") + 1).alias(name))
 
 
-def chunk_ids(df: DataFrame, order_by: Sequence[str], rows_per_chunk: int, name: str = "chunk_id") -> DataFrame:
+def chunk_ids(
+    df: DataFrame, order_by: Sequence[str], rows_per_chunk: int, name: str = "chunk_id", unique: bool = True
+) -> DataFrame:
     """0-based chunk of each row; chunks hold ``rows_per_chunk`` rows, the last what remains."""
     if rows_per_chunk < 1:
         raise ValueError("rows_per_chunk must be positive")
-    indexed = row_index(df, order_by, name="_index")
+    indexed = row_index(df, order_by, name="_index", unique=unique)
     return _chunked(indexed, df.columns, rows_per_chunk, name)
 
 
-def batch_ids(df: DataFrame, order_by: Sequence[str], batches: int = 10, name: str = "batch_id") -> DataFrame:
+def batch_ids(
+    df: DataFrame, order_by: Sequence[str], batches: int = 10, name: str = "batch_id", unique: bool = True
+) -> DataFrame:
     """0-based batch of each row; at most ``batches`` batches of ``ceil(rows / batches)`` rows."""
     if batches < 1:
         raise ValueError("batches must be positive")
-    indexed = row_index(df, order_by, name="_index")
+    indexed = row_index(df, order_by, name="_index", unique=unique)
     size = max(1, -(-indexed.count() // batches))
     return _chunked(indexed, df.columns, size, name)
 

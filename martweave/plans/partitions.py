@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martweave.functions.scalars import quoted
-from martweave.operators.actions import assert_unique, delete_where, latest_per_key, upsert
+from martweave.operators.actions import delete_where, latest_per_key, put_rows, require_unique, without_keys
 from martweave.sources.files import delete_path, overwrite_partitions
 
 # Fixed values.
@@ -39,12 +39,12 @@ def upsert_partitions(
     """
     partition_by, keys = list(partition_by), list(keys)
     target = spark.read.parquet(path)
-    source = latest_per_key(source, keys, latest_by) if latest_by else source
-    if not latest_by:
-        assert_unique(source, keys)
+    small = require_unique(source, keys, bool(latest_by)).small
+    if latest_by:
+        source = latest_per_key(source, keys, latest_by)
 
     incoming = _partitions(source, partition_by)
-    outgoing = _partitions(_leaving_rows(target, source, keys if rows_move else [], condition), partition_by)
+    outgoing = _partitions(_leaving_rows(target, source, keys if rows_move else [], condition, small), partition_by)
     touched = incoming | outgoing
     if len(touched) > MAX_DYNAMIC_PARTITIONS:
         raise ValueError(f"more than {MAX_DYNAMIC_PARTITIONS} partitions change; rewrite the table as a release")
@@ -57,31 +57,54 @@ def upsert_partitions(
     if losing:
         before = target.where(_in_partitions(losing, partition_by))
         kept = before if condition is None else delete_where(before, condition)
-        remaining = kept.join(source.select(*[quoted(k) for k in keys]), keys, "left_anti")
-        emptied = losing - _partitions(remaining, partition_by)
+        emptied = losing - _partitions(without_keys(kept, source, keys, small), partition_by)
 
+    _rewrite(spark, path, target, touched, emptied, partition_by,
+             lambda before: put_rows(before, source, keys, condition, small))
+    return len(touched)
+
+
+def delete_from_partitions(spark: SparkSession, path: str, condition: Column | str, partition_by: Sequence[str]) -> int:
+    """Delete by predicate, rewriting only the partitions that hold matching rows."""
+    target = spark.read.parquet(path)
+    predicate = F.expr(condition) if isinstance(condition, str) else condition
+    touched = _partitions(target.where(predicate), partition_by)
+    if not touched:
+        return 0
+    if len(touched) > MAX_DYNAMIC_PARTITIONS:
+        raise ValueError(f"more than {MAX_DYNAMIC_PARTITIONS} partitions change; rewrite the table as a release")
+    before = target.where(_in_partitions(touched, partition_by))
+    emptied = touched - _partitions(delete_where(before, predicate), partition_by)
+    _rewrite(spark, path, target, touched, emptied, partition_by, lambda rows: delete_where(rows, predicate))
+    return len(touched)
+
+
+def _rewrite(
+    spark: SparkSession,
+    path: str,
+    target: DataFrame,
+    touched: set[tuple],
+    emptied: set[tuple],
+    partition_by: Sequence[str],
+    change: Callable[[DataFrame], DataFrame],
+) -> None:
+    """Replace the touched partitions by ``change`` of their rows and remove the emptied ones."""
     rewritten = touched - emptied
     if rewritten:
         # Dynamic overwrite writes beside the table and switches directories when all tasks are done.
         before = target.where(_in_partitions(rewritten, partition_by))
-        overwrite_partitions(upsert(before, source, keys, condition, check_keys=False), path, partition_by)
+        overwrite_partitions(change(before), path, partition_by)
     _drop_partitions(spark, target, emptied, partition_by)
-    return len(touched)
-
-
-def delete_from_partitions(
-    spark: SparkSession, path: str, condition: Column | str, keys: Sequence[str], partition_by: Sequence[str]
-) -> int:
-    """Delete by predicate, rewriting only the partitions that hold matching rows."""
-    nothing = spark.createDataFrame([], spark.read.parquet(path).schema)
-    return upsert_partitions(spark, path, nothing, keys, partition_by, condition)
 
 
-def _leaving_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], condition: Column | str | None) -> DataFrame:
+def _leaving_rows(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], condition: Column | str | None, small: bool
+) -> DataFrame:
     """Target rows that the upsert replaces (when ``keys`` are given) or deletes."""
     leaving = target.limit(0)
     if keys:
-        leaving = target.join(source.select(*[quoted(k) for k in keys]), list(keys), "left_semi").select(*target.columns)
+        changed = source.select(*[quoted(k) for k in keys])
+        leaving = target.join(F.broadcast(changed) if small else changed, list(keys), "left_semi").select(*target.columns)
     if condition is None:
         return leaving
     predicate = F.expr(condition) if isinstance(condition, str) else condition

@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -24,6 +25,8 @@ LOG_SCHEMA = (
     "sequence bigint, run_id string, published_at timestamp_ntz, table_name string, path string, "
     "row_count bigint, checksum string"
 )
+# Fixed value.
+PARALLEL_TABLES = 4
 _NEEDS_SOURCE = ("replace", "append", "insert", "upsert")
 
 
@@ -109,9 +112,9 @@ def publish_release(
 ) -> DataFrame:
     """Write, verify and switch to a release; returns its log rows.
 
-    Tables are written in the order given (dimensions first, then facts). Publishing the
-    current ``run_id`` again changes nothing, and a run that failed may be repeated under its
-    ``run_id``: what it left behind is overwritten, as no release names it.
+    Tables start in the order given (dimensions first, then facts). Publishing the current
+    ``run_id`` again changes nothing, and a run that failed may be repeated under its ``run_id``:
+    what it left behind is overwritten, as no release names it.
     """
     root = root.rstrip("/")
     run_id = run_id or new_run_id()
@@ -124,10 +127,14 @@ def publish_release(
     sequence = 1 + max((row["sequence"] for row in previous.values()), default=0)
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
+    def stage(name: str) -> StagedTable:
+        return stage_table(tables[name], f"{root}/release={run_id}/{name}", (partition_by or {}).get(name, ()))
+
     entries = {name: (row["path"], row["row_count"], row["checksum"]) for name, row in previous.items()}
-    for name, df in tables.items():
-        staged = stage_table(df, f"{root}/release={run_id}/{name}", (partition_by or {}).get(name, ()))
-        entries[name] = (staged.path, staged.row_count, staged.checksum)
+    # Tables are independent until the switch, so their jobs share the cluster.
+    with ThreadPoolExecutor(PARALLEL_TABLES) as pool:
+        for name, staged in zip(tables, pool.map(stage, tables)):
+            entries[name] = (staged.path, staged.row_count, staged.checksum)
     rows = [(sequence, run_id, now, name, *entry) for name, entry in entries.items()]
     # One file, so readers see all of the entry or nothing of it.
     spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/releases")

@@ -37,8 +37,8 @@ def merged_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Upsert the arriving orders into the stored ones, keep 60 days of the latter, add the customer."""
     customers = good_customers(spark, sf_dir)
     arriving = fk_valid(with_key(arriving_orders(spark, sf_dir), ["o_orderkey"]), customers, CUSTOMER_FK)
-    expired = F.col("o_orderdate") < F.lit(str(_RETAIN_FROM)).cast("timestamp_ntz")
-    orders = actions.upsert(stored_orders(spark, sf_dir), arriving, ["o_orderkey"], expired)
+    retained = actions.retain_days(stored_orders(spark, sf_dir), "o_orderdate", AS_OF)
+    orders = actions.upsert(retained, arriving, ["o_orderkey"])
     return orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
         "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "c_custkey", "c_name", "c_mktsegment"
     )
@@ -188,7 +188,7 @@ def partition_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         moment("2001-07-31").alias("o_orderdate"), "o_orderpriority", F.lit(2001).alias("order_year"),
     )
     upsert_partitions(spark, path, arriving, ["o_orderkey"], ["order_year"])
-    delete_from_partitions(spark, path, "order_year <= 1996", ["o_orderkey"], ["order_year"])
+    delete_from_partitions(spark, path, "order_year <= 1996", ["order_year"])
     return spark.read.parquet(path)
 
 

@@ -25,6 +25,17 @@ def row_index_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordering.row_index(orders, ["o_orderdate", "o_orderkey"], ["o_orderstatus", "o_orderpriority"])
 
 
+def row_index_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three flags order the whole table; each must own one unbroken run of numbers."""
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus")
+    indexed = ordering.row_index(lines, ["l_returnflag"], unique=False)
+    return indexed.groupBy("l_returnflag").agg(
+        F.min("row_index").alias("first_index"),
+        F.max("row_index").alias("last_index"),
+        F.count_distinct("row_index").alias("numbers"),
+    )
+
+
 def chunk_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordering.chunk_ids(table(spark, sf_dir, "orders"), ["o_orderkey"], 1000)
 
@@ -63,8 +74,8 @@ def shallow_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def deep_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     indexed = ordering.row_index(table(spark, sf_dir, "events"), ["ts", "event_id"])
-    last = indexed.agg(F.max("row_index").alias("last"))
-    return indexed.join(last).where(F.col("row_index") > F.col("last") - 500).drop("last")
+    last = indexed.agg(F.max("row_index"))
+    return indexed.where(F.col("row_index") > last.scalar() - 500)
 
 
 def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +93,11 @@ QUERIES = {
         row_number() OVER (PARTITION BY o_orderstatus, o_orderpriority ORDER BY o_orderdate, o_orderkey) AS row_index
         FROM orders""",
     ),
+    "row_index_ties": (
+        row_index_ties,
+        """SELECT l_returnflag, min(i) AS first_index, max(i) AS last_index, count(DISTINCT i) AS numbers
+        FROM (SELECT l_returnflag, row_number() OVER (ORDER BY l_returnflag) AS i FROM lineitem) GROUP BY 1""",
+    ),
     "chunk_ids": (
         chunk_ids,
         "SELECT *, (row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 AS chunk_id FROM orders",

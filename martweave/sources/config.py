@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from martweave.functions.scalars import list_values
 
-ENTRY_SCHEMA = "source_table string, foreign_keys array<struct<target_table: string>>"
+ENTRY_SCHEMA = StructType(
+    [
+        StructField("source_table", StringType()),
+        StructField("foreign_keys", ArrayType(StructType([StructField("target_table", StringType())]))),
+    ]
+)
 
 
 def read_json_config(spark: SparkSession, path: str, root: str | None = None) -> DataFrame:
@@ -18,7 +24,7 @@ def read_json_config(spark: SparkSession, path: str, root: str | None = None) ->
     """
     if root is None:
         return spark.read.schema(ENTRY_SCHEMA).json(path)
-    document = f"`{root}` array<struct<{ENTRY_SCHEMA.replace(' string', ': string').replace(' array', ': array')}>>"
+    document = StructType([StructField(root, ArrayType(ENTRY_SCHEMA))])
     nested = spark.read.schema(document).option("multiLine", True).json(path)
     return nested.select(F.inline(F.col(f"`{root}`")))
 

@@ -43,8 +43,8 @@ def admissible(jobs: DataFrame, gated_stage: str = GATED_STAGE) -> DataFrame:
     The gate is one yes-or-no subquery, so no stage is gathered anywhere.
     """
     top = F.col("priority") == TOP_PRIORITY
-    gate = jobs.where((F.col("stage") == gated_stage) & top)
-    return jobs.where((F.col("stage") != gated_stage) | top | ~gate.exists())
+    gated = F.col("stage").eqNullSafe(gated_stage)
+    return jobs.where(~gated | top | ~jobs.where(gated & top).exists())
 
 
 def latest_stage(log: DataFrame, job: str = "name", order_by: tuple[str, ...] = ("ts",)) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,21 +34,43 @@ def fk_orphans(fact: DataFrame, dimension: DataFrame, fk: ForeignKey) -> DataFra
     return fact.join(_referenced(dimension, fk), list(fk.columns), "left_anti")
 
 
-def reject_reasons(fact: DataFrame, spec: TableSpec, dimensions: dict[str, DataFrame]) -> DataFrame:
-    """``fact`` with a column ``reject_reasons``: empty when all keys hold.
+@dataclass(frozen=True)
+class CheckedKeys:
+    """Rows with their key checks; accepted and refused rows come from one set of joins."""
 
-    One left join per foreign key marks the rows, so accepted and rejected rows come from one
-    pass. The dimension side is reduced to distinct keys, hence no row is multiplied.
+    marked: DataFrame
+    columns: tuple[str, ...]
+    checks: tuple[tuple[str, Column], ...]
+
+    @property
+    def holds(self) -> Column:
+        return reduce(Column.__and__, [check for _, check in self.checks])
+
+    def accepted(self) -> DataFrame:
+        return self.marked.where(self.holds).select(*[quoted(c) for c in self.columns])
+
+    def refused(self) -> DataFrame:
+        """Rows with at least one failed check, listed in ``reject_reasons``."""
+        reasons = F.array_compact(F.array(*[F.when(~check, F.lit(reason)) for reason, check in self.checks]))
+        return self.marked.where(~self.holds).select(
+            *[quoted(c) for c in self.columns], reasons.alias("reject_reasons")
+        )
+
+
+def check_keys(df: DataFrame, spec: TableSpec, dimensions: dict[str, DataFrame]) -> CheckedKeys:
+    """Check the primary key for NULLs and each foreign key against its dimension.
+
+    One left join per foreign key marks the rows; Spark turns it into an inner join where only
+    accepted rows are asked for. Dimension keys are distinct, hence no row is multiplied.
     """
-    reasons = [F.when(~has_key(spec.primary_key), F.lit("primary key is null"))]
-    marked = fact
+    checks = [("primary key is null", has_key(spec.primary_key))]
+    marked = df
     for position, fk in enumerate(spec.foreign_keys):
         flag = f"_fk_{position}"
-        known = _referenced(dimensions[fk.references], fk).distinct().withColumn(flag, F.lit(True))
+        known = _referenced(dimensions[fk.references], fk).withColumn(flag, F.lit(True))
         marked = marked.join(known, list(fk.columns), "left")
-        reasons.append(F.when(F.col(flag).isNull(), F.lit(f"no match in {fk.references}")))
-    listed = F.array_compact(F.array(*reasons))
-    return marked.select(*[quoted(c) for c in fact.columns], listed.alias("reject_reasons"))
+        checks.append((f"no match in {fk.references}", F.col(flag).isNotNull()))
+    return CheckedKeys(marked, tuple(df.columns), tuple(checks))
 
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> list[Column]:
@@ -63,5 +87,10 @@ def assert_not_null(df: DataFrame, columns: Sequence[str]) -> None:
 
 
 def _referenced(dimension: DataFrame, fk: ForeignKey) -> DataFrame:
-    """The dimension's key columns under the names the fact uses."""
-    return dimension.select(*[quoted(r).alias(c) for c, r in zip(fk.columns, fk.ref_columns)])
+    """The dimension's distinct keys under the names the fact uses.
+
+    Repeats collapse within each task; the aggregate partitions by the join key already, so
+    the join needs no further shuffle. On the fact side Spark splits hot keys at run time,
+    which it can not do for the right side of a semi or anti join.
+    """
+    return dimension.select(*[quoted(r).alias(c) for c, r in zip(fk.columns, fk.ref_columns)]).distinct()

@@ -108,8 +108,8 @@ def reconcile_files(source: DataFrame, copy: DataFrame) -> DataFrame:
 
 
 def unprocessed(items: DataFrame, processed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Items not yet in the processed list, by exact key."""
-    return items.join(processed.select(*[quoted(k) for k in keys]), list(keys), "left_anti")
+    """Items not yet in the processed list, by exact key. The list may name an item often."""
+    return items.join(processed.select(*[quoted(k) for k in keys]).distinct(), list(keys), "left_anti")
 
 
 def lookup_one(df: DataFrame, condition: Column) -> DataFrame:

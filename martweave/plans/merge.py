@@ -7,12 +7,11 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from martweave.model import DIMENSION, FACT, TableSpec
 from martweave.operators.conform import conform, output_schema
-from martweave.operators.keys import reject_reasons
+from martweave.operators.keys import check_keys
 
 
 @dataclass(frozen=True)
@@ -51,8 +50,7 @@ def merge_extracts(specs: Sequence[TableSpec], inputs: dict[str, Sequence[DataFr
         pieces = inputs[spec.name]
         schema = spec.schema or pieces[0].schema
         schemas[spec.name] = output_schema(schema, spec)
-        checked = reject_reasons(combine(pieces, schema), spec, tables)
-        accepted = F.size("reject_reasons") == 0
-        tables[spec.name] = checked.where(accepted).drop("reject_reasons")
-        rejects[spec.name] = checked.where(~accepted)
+        checked = check_keys(combine(pieces, schema), spec, tables)
+        tables[spec.name] = checked.accepted()
+        rejects[spec.name] = checked.refused()
     return MergeResult(tables, rejects, schemas)

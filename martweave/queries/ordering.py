@@ -50,8 +50,10 @@ def chunk_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ordered_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty pieces, however large the table."""
     path = scratch_path(spark, "chunks")
-    write_chunks(table(spark, sf_dir, "part"), path, ["p_partkey"], 500)
+    part = table(spark, sf_dir, "part")
+    write_chunks(part, path, ["p_partkey"], -(-part.count() // 20))
     pieces = spark.read.parquet(path).groupBy(F.col("chunk_id").cast("bigint").alias("chunk_id"))
     return pieces.agg(
         F.count(F.lit(1)).alias("chunk_rows"),
@@ -61,10 +63,13 @@ def ordered_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bounded_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of at most a fifteenth of the table each."""
     path = scratch_path(spark, "bounded")
-    write_bounded(table(spark, sf_dir, "orders"), path, 1000)
+    orders = table(spark, sf_dir, "orders")
+    bound = orders.count() // 15
+    write_bounded(orders, path, bound)
     return rows_per_file(spark.read.parquet(path)).agg(
-        (F.max("file_rows") <= 1000).alias("within_bound"), F.sum("file_rows").alias("row_count")
+        (F.max("file_rows") <= bound).alias("within_bound"), F.sum("file_rows").alias("row_count")
     )
 
 
@@ -115,7 +120,8 @@ QUERIES = {
     "ordered_chunks": (
         ordered_chunks,
         """SELECT chunk_id, count(*) AS chunk_rows, min(p_partkey) AS first_key, max(p_partkey) AS last_key
-        FROM (SELECT p_partkey, (row_number() OVER (ORDER BY p_partkey) - 1) // 500 AS chunk_id FROM part)
+        FROM (SELECT p_partkey, (row_number() OVER (ORDER BY p_partkey) - 1) // ((SELECT count(*) + 19 FROM part) // 20)
+            AS chunk_id FROM part)
         GROUP BY 1""",
     ),
     "bounded_files": (bounded_files, "SELECT true AS within_bound, count(*) AS row_count FROM orders"),

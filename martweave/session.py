@@ -7,20 +7,29 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+CLUSTER_PARTITIONS = 20_000
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _local_scratch: dict[str, str] = {}
 
 
 def build_session(app_name: str = "martweave", master: str | None = None, **conf: str) -> SparkSession:
-    """Session with the settings the operators assume (AQE, skew joins, UTC)."""
+    """Session with the settings the operators assume.
+
+    Adaptive execution joins small shuffle partitions and splits hot ones, so on a cluster
+    shuffles start with many partitions. Stream state goes to disk instead of the heap.
+    """
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
     )
     if master:
         builder = builder.master(master)
+    if master and not master.startswith("local"):
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", CLUSTER_PARTITIONS)
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -54,7 +54,8 @@ def parse_list_config(lines: DataFrame, line: str = "value") -> DataFrame:
 
 def missing_sources(requested: DataFrame, entries: DataFrame) -> DataFrame:
     """Requested tables that the configuration does not know."""
-    return requested.select("source_table").join(entries.select("source_table"), "source_table", "left_anti")
+    known = entries.select("source_table").distinct()
+    return requested.select("source_table").join(known, "source_table", "left_anti")
 
 
 def stage_plan(requested: DataFrame, entries: DataFrame) -> DataFrame:
@@ -62,7 +63,7 @@ def stage_plan(requested: DataFrame, entries: DataFrame) -> DataFrame:
 
     A known source without foreign keys is staged alone.
     """
-    known = entries.join(requested.select("source_table"), "source_table", "left_semi")
+    known = entries.join(requested.select("source_table").distinct(), "source_table", "left_semi")
     facts = known.select(F.lit("incremental").alias("mode"), F.col("source_table").alias("table"))
     dimensions = (
         config_edges(known).where(F.col("target_table").isNotNull())

@@ -55,8 +55,12 @@ def overwrite_table_partitions(df: DataFrame, name: str, mapping: dict[str, str]
     columns = partition_columns(spark, name)
     if not columns:
         raise ValueError(f"table '{name}' is not partitioned")
-    details = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(name)}").collect()}
     ready = conform(df, spark.table(name).schema, mapping)
+    details = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(name)}").collect()}
+    if details["Provider"].lower() == "hive":
+        # Needs hive.exec.dynamic.partition.mode=nonstrict; Hive itself replaces present partitions only.
+        ready.write.mode("overwrite").insertInto(name)
+        return
     overwrite_partitions(ready, details["Location"], columns, details["Provider"])
     spark.sql(f"MSCK REPAIR TABLE {quote_name(name)}")
     spark.catalog.refreshTable(name)

@@ -412,6 +412,8 @@ def test_dispatch_and_gate(spark):
     assert order == {"DLE_1": 1, "a_MR_1": 2, "job_1": 3, "job_0": 1, "job_2": 2}
     assert {r["name"] for r in backlog.admissible(jobs).collect()} == {"DLE_1", "job_0", "job_2"}
     assert backlog.admissible(jobs.where("name <> 'DLE_1'")).count() == 4
+    unstaged = jobs.withColumn("stage", F.when(F.col("name") != "job_0", F.col("stage")))
+    assert {r["name"] for r in backlog.admissible(unstaged).collect()} == {"DLE_1", "job_0", "job_2"}
     assert backlog.first_per_stage(jobs, 1).count() == 2
 
 
@@ -432,10 +434,10 @@ def test_run_log_parsing(spark):
 
 def test_paths(spark):
     df = spark.createDataFrame(
-        [("/a/b/fact.hyper",), ("s3://x/y/",), ("plain",), ("/d/.hidden",), ("http://h/p.tar.gz?q=/1#z",)], "p string"
+        [("/a/b/fact.data",), ("s3://x/y/",), ("plain",), ("/d/.hidden",), ("http://h/p.tar.gz?q=/1#z",)], "p string"
     )
     got = [tuple(r) for r in df.select(scalars.path_name("p"), scalars.path_stem("p")).collect()]
-    assert got == [("fact.hyper", "fact"), ("y", "y"), ("plain", "plain"), (".hidden", ".hidden"), ("p.tar.gz", "p.tar")]
+    assert got == [("fact.data", "fact"), ("y", "y"), ("plain", "plain"), (".hidden", ".hidden"), ("p.tar.gz", "p.tar")]
 
 
 def test_stage_counts(spark):

@@ -36,10 +36,10 @@ def test_arrivals_are_emitted_once(spark, tmp_path):
 
 def test_names_only(spark, tmp_path):
     (tmp_path / "inbox").mkdir()
-    (tmp_path / "inbox" / "DLE_7.hyper").write_bytes(b"x" * 10)
+    (tmp_path / "inbox" / "DLE_7.data").write_bytes(b"x" * 10)
     stream = st.tag_priority(st.watch_names(spark, f"{tmp_path}/inbox"))
     st.drain_to_table(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint").awaitTermination()
-    assert rows(spark.read.parquet(f"{tmp_path}/out").select("name", "priority")) == [("DLE_7.hyper", 1)]
+    assert rows(spark.read.parquet(f"{tmp_path}/out").select("name", "priority")) == [("DLE_7.data", 1)]
 
 
 def test_repeats_across_files(spark, tmp_path):

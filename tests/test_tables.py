@@ -102,7 +102,7 @@ def test_profile_counts_nulls(spark):
 
 # --- configuration -------------------------------------------------------------------------
 
-DOCUMENT = """{"dle_merge_hyper": [
+DOCUMENT = """{"merge_tables": [
   {"source_table": "fact_a", "foreign_keys": [{"target_table": "dim_x"}, {"target_table": "dim_y"}]},
   {"source_table": "fact_b", "foreign_keys": []},
   {"source_table": "fact_c", "foreign_keys": [{"target_table": "dim_x"}]}]}"""
@@ -111,7 +111,7 @@ DOCUMENT = """{"dle_merge_hyper": [
 @pytest.fixture
 def entries(spark, tmp_path):
     (tmp_path / "merge.json").write_text(DOCUMENT)
-    return config.read_json_config(spark, f"{tmp_path}/merge.json", root="dle_merge_hyper")
+    return config.read_json_config(spark, f"{tmp_path}/merge.json", root="merge_tables")
 
 
 def requested(spark, *names):

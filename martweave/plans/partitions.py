@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from martweave.functions.scalars import quoted
 from martweave.operators.actions import delete_where, latest_per_key, put_rows, require_unique, without_keys
@@ -38,7 +39,7 @@ def upsert_partitions(
     nothing, publish a release instead.
     """
     partition_by, keys = list(partition_by), list(keys)
-    target = spark.read.parquet(path)
+    target = _read_typed(spark, path, source.schema, partition_by)
     small = require_unique(source, keys, bool(latest_by)).small
     if latest_by:
         source = latest_per_key(source, keys, latest_by)
@@ -79,6 +80,17 @@ def delete_from_partitions(spark: SparkSession, path: str, condition: Column | s
     return len(touched)
 
 
+def _read_typed(spark: SparkSession, path: str, like: StructType, partition_by: Sequence[str]) -> DataFrame:
+    """The table with partition columns of the source's types; names such as ``01`` would read as numbers."""
+    types = {name.lower(): like[name].dataType for name in like.names}
+    wanted = {name.lower() for name in partition_by}
+    fields = [
+        StructField(f.name, types[f.name.lower()] if f.name.lower() in wanted else f.dataType)
+        for f in spark.read.parquet(path).schema.fields
+    ]
+    return spark.read.schema(StructType(fields)).parquet(path)
+
+
 def _rewrite(
     spark: SparkSession,
     path: str,

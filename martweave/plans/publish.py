@@ -9,6 +9,7 @@ for inspection. Tables that did not change keep their earlier directory and are
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -16,15 +17,18 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from martweave.functions.scalars import quoted
 from martweave.model import TableAction
 from martweave.operators import actions as act
 from martweave.operators.verify import checksum_aggregates, table_checksum
 
 LOG_SCHEMA = (
     "sequence bigint, run_id string, published_at timestamp_ntz, table_name string, path string, "
-    "row_count bigint, checksum string"
+    "row_count bigint, checksum string, table_schema string"
 )
+_TABLE_COLUMNS = ("path", "row_count", "checksum", "table_schema")
 # Fixed value.
 PARALLEL_TABLES = 4
 _NEEDS_SOURCE = ("replace", "append", "insert", "upsert")
@@ -89,7 +93,7 @@ def stage_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> S
     seen = Observation()
     prepared = df
     if partition_by:
-        prepared = df.hint("rebalance", *[F.col(f"`{c}`") for c in partition_by])
+        prepared = df.hint("rebalance", *[quoted(c) for c in partition_by])
     writer = prepared.observe(seen, *checksum_aggregates(df.columns)).write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     written = table_checksum(spark.read.schema(df.schema).parquet(path), df.columns).first().asDict()
@@ -130,11 +134,11 @@ def publish_release(
     def stage(name: str) -> StagedTable:
         return stage_table(tables[name], f"{root}/release={run_id}/{name}", (partition_by or {}).get(name, ()))
 
-    entries = {name: (row["path"], row["row_count"], row["checksum"]) for name, row in previous.items()}
+    entries = {name: tuple(row[c] for c in _TABLE_COLUMNS) for name, row in previous.items()}
     # Tables are independent until the switch, so their jobs share the cluster.
     with ThreadPoolExecutor(PARALLEL_TABLES) as pool:
         for name, staged in zip(tables, pool.map(stage, tables)):
-            entries[name] = (staged.path, staged.row_count, staged.checksum)
+            entries[name] = (staged.path, staged.row_count, staged.checksum, tables[name].schema.json())
     rows = [(sequence, run_id, now, name, *entry) for name, entry in entries.items()]
     # One file, so readers see all of the entry or nothing of it.
     spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/releases")
@@ -154,8 +158,9 @@ def current_release(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_published(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """A table of the current release."""
+    """A table of the current release, with the columns and types it was published with."""
     found = current_release(spark, root).where(F.col("table_name") == table).collect()
     if len(found) != 1:
         raise LookupError(f"'{table}' is not in the current release of {root}")
-    return spark.read.parquet(found[0]["path"])
+    schema = StructType.fromJson(json.loads(found[0]["table_schema"]))
+    return spark.read.schema(schema).parquet(found[0]["path"]).select(*[quoted(c) for c in schema.names])

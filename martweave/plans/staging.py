@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martweave.plans.publish import stage_table
+from martweave.plans.publish import PARALLEL_TABLES, stage_table
 from martweave.sources.config import missing_sources, stage_plan
 from martweave.sources.extracts import extract_path
 from martweave.sources.files import append_log, delete_path
@@ -37,19 +38,23 @@ def stage_by_config(
     unknown = [row["source_table"] for row in missing_sources(requested, entries).limit(20).collect()]
     if unknown:
         raise LookupError(f"not in the merge configuration: {', '.join(sorted(unknown))}")
-    staged: dict[str, DataFrame] = {}
-    # One row per table to copy; the copies themselves are distributed writes.
-    for step in stage_plan(requested, entries).orderBy("mode", "table").collect():
+
+    def stage(step) -> DataFrame:
         source = spark.read.parquet(extract_path(roots[step["mode"]], step["table"]))
         path = f"{staging.rstrip('/')}/{step['mode']}/{step['table']}"
-        try:
-            stage_table(source, path)
-        except Exception:
-            _log(spark, log_path, run_id, step["table"], FAILED)
-            raise
-        _log(spark, log_path, run_id, step["table"], STAGED)
-        staged[step["table"]] = spark.read.schema(source.schema).parquet(path)
-    return staged
+        stage_table(source, path)
+        return spark.read.schema(source.schema).parquet(path)
+
+    # One row per table to copy; the copies themselves are distributed writes.
+    steps = stage_plan(requested, entries).orderBy("mode", "table").collect()
+    with ThreadPoolExecutor(PARALLEL_TABLES) as pool:
+        copies = {step["table"]: pool.submit(stage, step) for step in steps}
+    if log_path is not None:
+        # Written once for all tables: jobs that append to one directory at a time would collide.
+        outcomes = [(name, FAILED if copy.exception() else STAGED) for name, copy in copies.items()]
+        rows = spark.createDataFrame(outcomes, "name string, status string")
+        append_log(rows.select(F.localtimestamp().alias("ts"), F.lit(run_id).alias("run_id"), "name", "status"), log_path)
+    return {name: copy.result() for name, copy in copies.items()}
 
 
 def run_staged(
@@ -66,13 +71,3 @@ def run_staged(
     delete_path(spark, staging)
     return result
 
-
-def _log(spark: SparkSession, path: str | None, run_id: str, name: str, status: str) -> None:
-    if path is not None:
-        row = spark.range(1).select(
-            F.localtimestamp().alias("ts"),
-            F.lit(run_id).alias("run_id"),
-            F.lit(name).alias("name"),
-            F.lit(status).alias("status"),
-        )
-        append_log(row, path)

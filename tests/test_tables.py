@@ -224,6 +224,13 @@ def test_releases_switch_together_and_carry_over(spark, tmp_path):
         publish.read_published(spark, root, "nope")
 
 
+def test_published_tables_keep_columns_and_types(spark, tmp_path):
+    df = spark.createDataFrame([("01", 1, None)], "month string, k int, note string")
+    publish.publish_release(spark, f"{tmp_path}/mart", {"t": df}, partition_by={"t": ["month"]})
+    read = publish.read_published(spark, f"{tmp_path}/mart", "t")
+    assert read.schema == df.schema and rows(read) == rows(df)
+
+
 def test_failed_release_leaves_the_current_one(spark, tmp_path):
     root = f"{tmp_path}/mart"
     publish.publish_release(spark, root, {"a": spark.range(5), "b": spark.range(5)}, "good")
@@ -309,6 +316,13 @@ def test_null_partition_value(spark, tmp_path):
     assert rows(spark.read.parquet(path)) == [(2, "b", "x")]
 
 
+def test_partition_names_keep_their_type(spark, tmp_path):
+    path, schema = f"{tmp_path}/months", "k int, v string, m string"
+    files.append_partitioned(spark.createDataFrame([(1, "a", "01"), (2, "b", "02")], schema), path, ["m"])
+    upsert_partitions(spark, path, spark.createDataFrame([(1, "A", "01"), (3, "C", "01")], schema), ["k"], ["m"])
+    assert rows(spark.read.schema(schema).parquet(path)) == [(1, "A", "01"), (2, "b", "02"), (3, "C", "01")]
+
+
 def test_too_many_partitions_are_refused(spark, parted, monkeypatch):
     monkeypatch.setattr("martweave.plans.partitions.MAX_DYNAMIC_PARTITIONS", 1)
     source = spark.read.parquet(parted)

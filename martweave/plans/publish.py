@@ -23,6 +23,7 @@ from martweave.functions.scalars import quoted
 from martweave.model import TableAction
 from martweave.operators import actions as act
 from martweave.operators.verify import checksum_aggregates, table_checksum
+from martweave.sources.files import clustered
 
 LOG_SCHEMA = (
     "sequence bigint, run_id string, published_at timestamp_ntz, table_name string, path string, "
@@ -91,10 +92,7 @@ def stage_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> S
     """
     spark = df.sparkSession
     seen = Observation()
-    prepared = df
-    if partition_by:
-        prepared = df.hint("rebalance", *[quoted(c) for c in partition_by])
-    writer = prepared.observe(seen, *checksum_aggregates(df.columns)).write.mode("overwrite")
+    writer = clustered(df, partition_by).observe(seen, *checksum_aggregates(df.columns)).write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     written = table_checksum(spark.read.schema(df.schema).parquet(path), df.columns).first().asDict()
     # Spark may skip an empty plan and with it the observation.

@@ -70,7 +70,8 @@ QUERIES = {
     ),
     "top5_per_stage": (
         top5_per_stage,
-        f"SELECT *, row_number() OVER ({_ORDER}) AS position FROM ({RANKED_JOBS}) QUALIFY position <= 5",
+        f"""SELECT *, CAST(row_number() OVER ({_ORDER}) AS INTEGER) AS position FROM ({RANKED_JOBS})
+        QUALIFY position <= 5""",
     ),
     "class_gate": (
         class_gate,

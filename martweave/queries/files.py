@@ -125,7 +125,7 @@ QUERIES = {
     "delimited_scan": (delimited_scan, "SELECT * FROM supplier"),
     "text_lines": (
         text_lines,
-        """SELECT length(line) AS n_chars, count(*) AS line_count
+        """SELECT CAST(length(line) AS INTEGER) AS n_chars, count(*) AS line_count
         FROM (SELECT unnest(string_split_regex(text, '\\r\\n|\\n|\\r')) AS line FROM documents)
         WHERE line <> '' GROUP BY 1""",
     ),

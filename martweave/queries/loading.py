@@ -37,9 +37,17 @@ def conform_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conform_uncastable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = StructType([StructField("event_id", LongType()), StructField("user_id", StringType()),
-                         StructField("event_type", IntegerType()), StructField("value", IntegerType())])
-    return conform(table(spark, sf_dir, "events"), target, on_error="null")
+    """Error events carry text where the target wants a number."""
+    code = F.when(F.col("event_type") == "error", "E").otherwise(F.col("user_id").cast("string"))
+    target = StructType(
+        [
+            StructField("event_id", LongType()),
+            StructField("user_id", StringType()),
+            StructField("code", IntegerType()),
+            StructField("value", IntegerType()),
+        ]
+    )
+    return conform(table(spark, sf_dir, "events").withColumn("code", code), target, on_error="null")
 
 
 def select_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,7 +110,7 @@ def _fresh_table(spark: SparkSession, schema: StructType, partition_by: list[str
 def orc_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     name = _fresh_table(spark, orders.schema, ["o_orderstatus"], "orc")
-    catalog.append_to_table(orders, name)
+    catalog.append_to_table(orders, name, cluster=False)
     return spark.table(name)
 
 
@@ -129,9 +137,9 @@ def append_month_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def overwrite_present_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
     name = _fresh_table(spark, orders.schema, ["o_orderpriority"], "orc")
-    catalog.append_to_table(orders, name)
+    catalog.append_to_table(orders, name, cluster=False)
     urgent = orders.where("o_orderpriority IN ('1-URGENT', '2-HIGH')").where("o_totalprice >= 100000")
-    catalog.overwrite_table_partitions(urgent, name)
+    catalog.overwrite_table_partitions(urgent, name, cluster=False)
     return spark.table(name)
 
 
@@ -147,7 +155,7 @@ def rename_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def batched_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     name = _fresh_table(spark, customer.schema, ["c_mktsegment"], "parquet")
-    catalog.load_batches(customer, name, ["c_custkey"], batches=10)
+    catalog.load_batches(customer, name, ["c_custkey"], batches=10, cluster=False)
     return spark.table(name)
 
 
@@ -159,7 +167,7 @@ QUERIES = {
     ),
     "conform_uncastable": (
         conform_uncastable,
-        """SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, TRY_CAST(event_type AS INTEGER) AS event_type,
+        """SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, CASE WHEN event_type <> 'error' THEN CAST(user_id AS INTEGER) END AS code,
         CAST(trunc(value) AS INTEGER) AS value FROM events""",
     ),
     "select_alias": (

@@ -43,27 +43,30 @@ def write_delimited(df: DataFrame, path: str, separator: str = ",") -> None:
     df.write.option("sep", separator).option("quote", "\u0000").option("emptyValue", "").csv(path)
 
 
-def append_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], file_format: str = "parquet") -> None:
-    """Append to a directory table, clustering rows so a partition gets few files.
+def clustered(df: DataFrame, partition_by: Sequence[str], cluster: bool = True) -> DataFrame:
+    """``df`` shuffled so that each output partition is written by few tasks, hot ones by several.
 
-    ``rebalance`` lets Spark split the hot partitions that a plain repartition on the
-    partition columns would send to one task each.
+    Without it every task writes a file for each partition it has rows of. That is fine, and
+    saves the shuffle, for a handful of partitions: pass ``cluster=False``. ``rebalance`` is
+    used as it splits hot partitions, which a plain repartition would send to one task each.
     """
-    df.hint("rebalance", *[quoted(c) for c in partition_by]).write.mode("append").partitionBy(*partition_by).format(
-        file_format
-    ).save(path)
+    return df.hint("rebalance", *[quoted(c) for c in partition_by]) if cluster and partition_by else df
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str], file_format: str = "parquet") -> None:
-    """Replace the partitions that occur in ``df`` and leave all others alone."""
-    (
-        df.hint("rebalance", *[quoted(c) for c in partition_by])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .format(file_format)
-        .save(path)
-    )
+def append_partitioned(
+    df: DataFrame, path: str, partition_by: Sequence[str], file_format: str = "parquet", cluster: bool = True
+) -> None:
+    """Append to a directory table; see ``clustered``."""
+    writer = clustered(df, partition_by, cluster).write.mode("append")
+    writer.partitionBy(*partition_by).format(file_format).save(path)
+
+
+def overwrite_partitions(
+    df: DataFrame, path: str, partition_by: Sequence[str], file_format: str = "parquet", cluster: bool = True
+) -> None:
+    """Replace the partitions that occur in ``df`` and leave all others alone; see ``clustered``."""
+    writer = clustered(df, partition_by, cluster).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by).format(file_format).save(path)
 
 
 def write_bounded(df: DataFrame, path: str, rows_per_file: int, file_format: str = "parquet") -> None:
@@ -77,9 +80,9 @@ def write_chunks(
     """One directory ``chunk_id=N`` per chunk of an ordered table.
 
     For consumers that need the order; ``write_bounded`` is the cheaper way to bound files.
+    Numbered rows are read in ranges, so a task meets few chunks and needs no shuffle.
     """
-    chunks = chunk_ids(df, order_by, rows_per_chunk)
-    chunks.hint("rebalance", F.col("chunk_id")).write.partitionBy("chunk_id").format(file_format).save(path)
+    append_partitioned(chunk_ids(df, order_by, rows_per_chunk), path, ["chunk_id"], file_format, cluster=False)
 
 
 def rows_per_file(df: DataFrame) -> DataFrame:

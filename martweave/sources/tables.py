@@ -8,11 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
-from martweave.functions.scalars import quoted
 from martweave.operators.conform import conform, partition_columns
 from martweave.operators.ordering import batch_ids
 from martweave.session import scratch_path
-from martweave.sources.files import append_partitioned, overwrite_partitions
+from martweave.sources.files import append_partitioned, clustered, overwrite_partitions
 
 
 def quote_name(name: str) -> str:
@@ -39,17 +38,18 @@ def create_table(
     spark.sql(statement)
 
 
-def append_to_table(df: DataFrame, name: str, mapping: dict[str, str] | None = None) -> None:
-    """Conform to the table's schema and append, in one distributed write."""
+def append_to_table(
+    df: DataFrame, name: str, mapping: dict[str, str] | None = None, cluster: bool = True
+) -> None:
+    """Conform to the table's schema and append, in one distributed write; see ``files.clustered``."""
     spark = df.sparkSession
     ready = conform(df, spark.table(name).schema, mapping)
-    columns = partition_columns(spark, name)
-    if columns:
-        ready = ready.hint("rebalance", *[quoted(c) for c in columns])
-    ready.write.mode("append").insertInto(name)
+    clustered(ready, partition_columns(spark, name), cluster).write.mode("append").insertInto(name)
 
 
-def overwrite_table_partitions(df: DataFrame, name: str, mapping: dict[str, str] | None = None) -> None:
+def overwrite_table_partitions(
+    df: DataFrame, name: str, mapping: dict[str, str] | None = None, cluster: bool = True
+) -> None:
     """Conform to the table's schema and replace just the partitions that occur in ``df``."""
     spark = df.sparkSession
     columns = partition_columns(spark, name)
@@ -61,7 +61,7 @@ def overwrite_table_partitions(df: DataFrame, name: str, mapping: dict[str, str]
         # Needs hive.exec.dynamic.partition.mode=nonstrict; Hive itself replaces present partitions only.
         ready.write.mode("overwrite").insertInto(name)
         return
-    overwrite_partitions(ready, details["Location"], columns, details["Provider"])
+    overwrite_partitions(ready, details["Location"], columns, details["Provider"], cluster)
     spark.sql(f"MSCK REPAIR TABLE {quote_name(name)}")
     spark.catalog.refreshTable(name)
 
@@ -82,18 +82,20 @@ def preview_table(spark: SparkSession, name: str, rows: int = 5) -> DataFrame:
     return spark.table(name).limit(rows)
 
 
-def load_batches(df: DataFrame, name: str, order_by: Sequence[str] | None = None, batches: int = 10) -> None:
+def load_batches(
+    df: DataFrame, name: str, order_by: Sequence[str] | None = None, batches: int = 10, cluster: bool = True
+) -> None:
     """Load a frame into a table: one write, or ordered batches when ``order_by`` is given.
 
     Batches exist for targets that cannot take everything at once. They are laid out once, one
     directory each, so that no batch reads another's rows.
     """
     if order_by is None:
-        append_to_table(df, name)
+        append_to_table(df, name, cluster=cluster)
         return
     spark = df.sparkSession
     path = scratch_path(spark, "batches")
-    append_partitioned(batch_ids(df, order_by, batches), path, ["batch_id"])
+    append_partitioned(batch_ids(df, order_by, batches), path, ["batch_id"], cluster=False)
     laid_out = spark.read.parquet(path)
     for batch in range(batches):
-        append_to_table(laid_out.where(F.col("batch_id") == batch).drop("batch_id"), name)
+        append_to_table(laid_out.where(F.col("batch_id") == batch).drop("batch_id"), name, cluster=cluster)

@@ -69,6 +69,21 @@ def apply_actions(
     return result
 
 
+def apply_pieces(targets: dict[str, DataFrame], pieces: dict[str, dict[str, DataFrame]]) -> dict[str, DataFrame]:
+    """Replace tables by the pieces of a split extract: per table the first piece replaces, later ones insert.
+
+    ``pieces`` maps piece names to their tables and is taken in name order.
+    """
+    steps: list[TableAction] = []
+    sources: dict[str, DataFrame] = {}
+    for piece, tables in sorted(pieces.items()):
+        for table, df in tables.items():
+            action = "insert" if any(step.target == table for step in steps) else "replace"
+            steps.append(TableAction(action, table, source=f"{piece}/{table}"))
+            sources[f"{piece}/{table}"] = df
+    return apply_actions(targets, sources, steps)
+
+
 def _apply(target: DataFrame | None, source: DataFrame | None, step: TableAction) -> DataFrame:
     if step.action == "replace":
         return act.replace(target, source)

@@ -11,7 +11,7 @@ from martweave.operators import actions
 from martweave.operators.keys import fk_valid, with_key
 from martweave.plans.merge import MergeResult, merge_extracts
 from martweave.plans.partitions import delete_from_partitions, upsert_partitions
-from martweave.plans.publish import apply_actions, new_run_id, publish_release, read_published
+from martweave.plans.publish import apply_actions, apply_pieces, new_run_id, publish_release, read_published
 from martweave.plans.staging import run_staged, stage_by_config
 from martweave.queries.inputs import (
     ARRIVING_ORDERS,
@@ -26,7 +26,7 @@ from martweave.queries.inputs import (
 )
 from martweave.session import scratch_path
 from martweave.sources.config import ENTRY_SCHEMA
-from martweave.sources.extracts import write_table
+from martweave.sources.extracts import read_split_extract, write_table
 from martweave.sources.files import append_partitioned
 
 CUSTOMER_FK = ForeignKey(("o_custkey",), "customer", ("c_custkey",))
@@ -146,6 +146,23 @@ def staged_by_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     return release.join(log, "table_name").select("table_name", "status", "row_count")
 
 
+def split_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored tables replaced by three extracts of two tables each, split by status and segment."""
+    root = scratch_path(spark, "split")
+    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    early = ("AUTOMOBILE", "BUILDING")
+    parts = {
+        "mart_1": (F.col("o_orderstatus") == "F", F.col("c_mktsegment").isin(*early)),
+        "mart_2": (F.col("o_orderstatus") == "O", F.col("c_mktsegment") == "HOUSEHOLD"),
+        "mart_3": (F.col("o_orderstatus") == "P", ~F.col("c_mktsegment").isin(*early, "HOUSEHOLD")),
+    }
+    for piece, (of_orders, of_customer) in parts.items():
+        write_table(orders.where(of_orders), f"{root}/{piece}", "orders")
+        write_table(customer.where(of_customer), f"{root}/{piece}", "customer")
+    stored = {"orders": stored_orders(spark, sf_dir), "customer": good_customers(spark, sf_dir)}
+    return _key_totals(apply_pieces(stored, read_split_extract(spark, f"{root}/mart_*")))
+
+
 def _merged(spark: SparkSession, sf_dir: str) -> MergeResult:
     """Three order extracts that differ in columns, column case and missing keys, and one dimension."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "o_orderstatus")
@@ -258,6 +275,11 @@ QUERIES = {
             for name in ("orders", "lineitem", "customer", "part", "supplier")
         ),
     ),
+    "split_extract": (
+        split_extract,
+        """SELECT 'orders' AS table_name, count(*) AS row_count, CAST(sum(o_orderkey) AS BIGINT) AS key_sum FROM orders
+        UNION ALL SELECT 'customer', count(*), CAST(sum(c_custkey) AS BIGINT) FROM customer""",
+    ),
     "merge_extracts": (
         merged_orders,
         f"""{_MERGE_INPUT} SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM checked

@@ -49,6 +49,22 @@ def read_pieces(spark: SparkSession, pattern: str) -> DataFrame:
     return spark.read.parquet(pattern).select("*", source.alias("piece"))
 
 
+def read_split_extract(spark: SparkSession, pattern: str) -> dict[str, dict[str, DataFrame]]:
+    """Extracts that match a glob, in name order, each with its tables: piece -> table -> frame.
+
+    For a few pieces that are acted upon one after the other; ``read_pieces`` reads any number
+    of pieces of one table as a single scan.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    folder = F.regexp_extract("path", r"^(.*)/[^/]+$", 1)
+    found = files.load(pattern).select(F.url_decode(folder).alias("folder")).distinct().orderBy("folder").collect()
+    pieces: dict[str, dict[str, DataFrame]] = {}
+    for row in found:
+        piece, _schema, table = row["folder"].rsplit("/", 3)[1:]
+        pieces.setdefault(piece, {})[table] = spark.read.parquet(row["folder"])
+    return dict(sorted(pieces.items()))
+
+
 def list_columns(spark: SparkSession, tables: dict[str, DataFrame], schema: str = "public") -> DataFrame:
     """Column listing of frames, taken from their schemas."""
     rows = [

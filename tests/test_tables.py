@@ -95,6 +95,16 @@ def test_pieces_carry_their_name(spark, tmp_path):
     assert rows(pieces) == [("part_1", 2), ("part_2", 2)]
 
 
+def test_split_extract_replaces_then_inserts(spark, tmp_path):
+    for piece, tables_of_piece in {"x_2": {"a": 2, "b": 5}, "x_1": {"a": 1}, "y_1": {"a": 100}}.items():
+        for name, n in tables_of_piece.items():
+            extracts.write_table(spark.range(n), f"{tmp_path}/{piece}", name)
+    pieces = extracts.read_split_extract(spark, f"{tmp_path}/x_*")
+    assert {p: sorted(t) for p, t in pieces.items()} == {"x_1": ["a"], "x_2": ["a", "b"]}
+    result = publish.apply_pieces({"a": spark.range(50), "b": spark.range(50)}, pieces)
+    assert {name: df.count() for name, df in result.items()} == {"a": 3, "b": 5}
+
+
 def test_profile_counts_nulls(spark):
     profile = extracts.profile_columns(spark.createDataFrame([(1, None), (2, None)], "a int, b string"), "t")
     assert rows(profile) == [("t", 2, 1, "a", "int", 0), ("t", 2, 2, "b", "string", 2)]

@@ -12,7 +12,7 @@ import sys
 import time
 
 from martweave.queries import QUERIES
-from martweave.session import build_session
+from martweave.session import build_session, scratch_scope
 
 HEADLINE = [
     "merged_mart",
@@ -61,9 +61,10 @@ def main() -> None:
     for name in names:
         taken = []
         for _ in range(runs + 1):
-            start = time.perf_counter()
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            taken.append(time.perf_counter() - start)
+            with scratch_scope(spark):
+                start = time.perf_counter()
+                QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+                taken.append(time.perf_counter() - start)
         seconds[name] = round(statistics.median(taken[1:]), 4)
     spark.stop()
     print(

@@ -55,7 +55,8 @@ def upsert(
 
     One pass over the source's key columns makes that test and measures the keys: if they are
     small, they are broadcast and the target is not shuffled. ``check_keys=False`` skips the
-    pass for sources known to be unique and leaves the join to Spark.
+    pass for sources known to be unique and leaves the join to Spark. The source is read for
+    its keys and for its rows, so one that is costly to compute should be ``parked`` first.
     """
     keys = list(keys)
     small = False

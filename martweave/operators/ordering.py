@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from martweave.functions.scalars import quoted
 from martweave.operators.sizing import broadcast_if_small
-from martweave.session import scratch_path
+from martweave.session import parked
 
 # monotonically_increasing_id keeps the partition above, and the row within it below, this bit.
 _ROW_BITS = 33
@@ -43,10 +43,10 @@ def row_index(
     columns = [quoted(c) for c in [*partition_by, *order_by]]
     rows = df
     if not unique:
-        rows = _written(df.withColumn("_tie", F.monotonically_increasing_id()), "row-ties")
+        rows = parked(df.withColumn("_tie", F.monotonically_increasing_id()), "row-ties")
         columns.append(F.col("_tie"))
     spread = rows.repartitionByRange(*columns) if ranges is None else rows.repartitionByRange(ranges, *columns)
-    placed = _written(
+    placed = parked(
         spread.sortWithinPartitions(*columns).drop("_tie").withColumn("_pos", F.monotonically_increasing_id()),
         "row-index",
     )
@@ -65,12 +65,6 @@ def row_index(
     return _restart_per_group(numbered, partition_by, name) if partition_by else numbered
 
 
-def _written(df: DataFrame, purpose: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _restart_per_group(numbered: DataFrame, partition_by: Sequence[str], name: str) -> DataFrame:
     """Groups are contiguous in the global order, so each starts over at its lowest number."""
     firsts = numbered.groupBy(*[quoted(c).alias(f"_group_{c}") for c in partition_by]).agg(

@@ -11,7 +11,8 @@ from pyspark.sql.types import StructField, StructType
 
 from martweave.functions.scalars import quoted
 from martweave.operators.actions import delete_where, latest_per_key, put_rows, require_unique, without_keys
-from martweave.sources.files import delete_path, overwrite_partitions
+from martweave.session import delete_path, parked, scratch_scope
+from martweave.sources.files import overwrite_partitions
 
 # Fixed values.
 MAX_DYNAMIC_PARTITIONS = 10_000
@@ -38,11 +39,23 @@ def upsert_partitions(
     Partitions are switched one by one at the end of the write; where readers need all or
     nothing, publish a release instead.
     """
-    partition_by, keys = list(partition_by), list(keys)
+    with scratch_scope(spark):
+        # Several passes decide what to rewrite, and all must see the same rows.
+        rows = parked(latest_per_key(source, keys, latest_by) if latest_by else source, "upsert-source")
+        return _upsert_parked(spark, path, rows, list(keys), list(partition_by), condition, rows_move)
+
+
+def _upsert_parked(
+    spark: SparkSession,
+    path: str,
+    source: DataFrame,
+    keys: list[str],
+    partition_by: list[str],
+    condition: Column | str | None,
+    rows_move: bool,
+) -> int:
     target = _read_typed(spark, path, source.schema, partition_by)
-    small = require_unique(source, keys, bool(latest_by)).small
-    if latest_by:
-        source = latest_per_key(source, keys, latest_by)
+    small = require_unique(source, keys).small
 
     incoming = _partitions(source, partition_by)
     outgoing = _partitions(_leaving_rows(target, source, keys if rows_move else [], condition, small), partition_by)

@@ -131,7 +131,7 @@ def publish_release(
 
     Tables start in the order given (dimensions first, then facts). Publishing the current
     ``run_id`` again changes nothing, and a run that failed may be repeated under its ``run_id``:
-    what it left behind is overwritten, as no release names it.
+    what it left behind is overwritten, as no release names it. One publisher per root at a time.
     """
     root = root.rstrip("/")
     run_id = run_id or new_run_id()

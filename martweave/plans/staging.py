@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martweave.plans.publish import PARALLEL_TABLES, stage_table
+from martweave.session import delete_path
 from martweave.sources.config import missing_sources, stage_plan
 from martweave.sources.extracts import extract_path
-from martweave.sources.files import append_log, delete_path
+from martweave.sources.files import append_log
 
 Result = TypeVar("Result")
 

@@ -24,7 +24,7 @@ from martweave.queries.inputs import (
     stored_orders,
     table,
 )
-from martweave.session import scratch_path
+from martweave.session import parked, scratch_path
 from martweave.sources.config import ENTRY_SCHEMA
 from martweave.sources.extracts import read_split_extract, write_table
 from martweave.sources.files import append_partitioned
@@ -36,7 +36,8 @@ _RETAIN_FROM = days_before(AS_OF)
 def merged_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Upsert the arriving orders into the stored ones, keep 60 days of the latter, add the customer."""
     customers = good_customers(spark, sf_dir)
-    arriving = fk_valid(with_key(arriving_orders(spark, sf_dir), ["o_orderkey"]), customers, CUSTOMER_FK)
+    valid = fk_valid(with_key(arriving_orders(spark, sf_dir), ["o_orderkey"]), customers, CUSTOMER_FK)
+    arriving = parked(valid, "arriving")
     retained = actions.retain_days(stored_orders(spark, sf_dir), "o_orderdate", AS_OF)
     orders = actions.upsert(retained, arriving, ["o_orderkey"])
     return orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(

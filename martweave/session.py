@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CLUSTER_PARTITIONS = 20_000
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _local_scratch: dict[str, str] = {}
+_scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
 
 
 def build_session(app_name: str = "martweave", master: str | None = None, **conf: str) -> SparkSession:
@@ -54,4 +58,41 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A new, unused path below the scratch root."""
-    return f"{scratch_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+    opened = _scope.get()
+    if opened is not None:
+        opened.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove on exit the scratch paths taken inside, in this thread.
+
+    Frames are lazy: whatever is made from scratch data must have been written by then.
+    """
+    opened: list[str] = []
+    token = _scope.set(opened)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in opened:
+            delete_path(spark, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a directory through the file system Spark reads it with."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def parked(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to the scratch folder once and read back.
+
+    For rows that several jobs must see alike, or that cost more to compute than to store. Cuts
+    the lineage, and unlike a cache survives the loss of executors.
+    """
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from martweave.functions.scalars import path_name, quoted
 from martweave.operators.ordering import chunk_ids
+from martweave.session import scratch_scope
 
 # Fixed values.
 MIN_FILE_BYTES = 10
@@ -82,7 +83,8 @@ def write_chunks(
     For consumers that need the order; ``write_bounded`` is the cheaper way to bound files.
     Numbered rows are read in ranges, so a task meets few chunks and needs no shuffle.
     """
-    append_partitioned(chunk_ids(df, order_by, rows_per_chunk), path, ["chunk_id"], file_format, cluster=False)
+    with scratch_scope(df.sparkSession):
+        append_partitioned(chunk_ids(df, order_by, rows_per_chunk), path, ["chunk_id"], file_format, cluster=False)
 
 
 def rows_per_file(df: DataFrame) -> DataFrame:
@@ -117,12 +119,6 @@ def by_name(files: DataFrame) -> DataFrame:
     return files.orderBy("name", "path")
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    """Remove a directory through the file system Spark reads it with."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def append_log(df: DataFrame, path: str) -> None:
     """Append run-log rows."""
     df.write.mode("append").parquet(path)

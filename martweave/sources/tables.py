@@ -10,7 +10,7 @@ from pyspark.sql.types import DataType, StructType
 
 from martweave.operators.conform import conform, partition_columns
 from martweave.operators.ordering import batch_ids
-from martweave.session import scratch_path
+from martweave.session import scratch_path, scratch_scope
 from martweave.sources.files import append_partitioned, clustered, overwrite_partitions
 
 
@@ -94,8 +94,9 @@ def load_batches(
         append_to_table(df, name, cluster=cluster)
         return
     spark = df.sparkSession
-    path = scratch_path(spark, "batches")
-    append_partitioned(batch_ids(df, order_by, batches), path, ["batch_id"], cluster=False)
-    laid_out = spark.read.parquet(path)
-    for batch in range(batches):
-        append_to_table(laid_out.where(F.col("batch_id") == batch).drop("batch_id"), name, cluster=cluster)
+    with scratch_scope(spark):
+        path = scratch_path(spark, "batches")
+        append_partitioned(batch_ids(df, order_by, batches), path, ["batch_id"], cluster=False)
+        laid_out = spark.read.parquet(path)
+        for batch in range(batches):
+            append_to_table(laid_out.where(F.col("batch_id") == batch).drop("batch_id"), name, cluster=cluster)

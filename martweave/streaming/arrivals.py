@@ -77,9 +77,7 @@ def drain_to_upserts(
     """
 
     def apply(batch: DataFrame, _batch_id: int) -> None:
-        batch.persist()
         upsert_partitions(batch.sparkSession, path, batch, keys, partition_by, latest_by=latest_by)
-        batch.unpersist()
 
     return (
         arrivals.writeStream.foreachBatch(apply)
@@ -100,12 +98,11 @@ def drain_latest_stage(log: DataFrame, path: str, checkpoint: str) -> StreamingQ
     def apply(batch: DataFrame, _batch_id: int) -> None:
         spark = batch.sparkSession
         stored = spark.read.parquet(path)
-        newest = latest_per_key(batch.select(*stored.columns), ["name"], ["ts"]).persist()
+        newest = latest_per_key(batch.select(*stored.columns), ["name"], ["ts"])
         known = stored.join(newest.select("name"), "name", "left_semi").select(*stored.columns)
         upsert_partitions(
             spark, path, newest.unionByName(known), ["name"], ["bucket"], latest_by=["ts"], rows_move=False
         )
-        newest.unpersist()
 
     return (
         log.writeStream.foreachBatch(apply)

@@ -9,7 +9,7 @@ from martweave.operators.verify import reconcile_files, same_content
 from martweave.plans import publish
 from martweave.plans.partitions import delete_from_partitions, upsert_partitions
 from martweave.plans.staging import run_staged, stage_by_config
-from martweave.session import scratch_path, scratch_root
+from martweave.session import parked, scratch_path, scratch_root, scratch_scope
 from martweave.sources import config, extracts, files, tables
 
 
@@ -25,6 +25,19 @@ def test_scratch_follows_the_session(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
+def test_scope_removes_its_own_scratch_only(spark, tmp_path):
+    from pathlib import Path
+
+    before = parked(spark.range(3), "before")
+    with scratch_scope(spark):
+        inner = parked(before.union(spark.range(2)), "inner")
+        inner.write.parquet(f"{tmp_path}/result")
+        inside = [Path(f.removeprefix("file:")) for f in inner.inputFiles()]
+        assert all(f.exists() for f in inside)
+    assert not any(f.exists() for f in inside)
+    assert before.count() == 3 and spark.read.parquet(f"{tmp_path}/result").count() == 5
+
+
 # --- files ---------------------------------------------------------------------------------
 
 

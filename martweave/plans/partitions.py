@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from martweave.functions.scalars import quoted
 from martweave.operators.actions import delete_where, latest_per_key, put_rows, require_unique, without_keys
@@ -73,14 +73,30 @@ def _upsert_parked(
         kept = before if condition is None else delete_where(before, condition)
         emptied = losing - _partitions(without_keys(kept, source, keys, small), partition_by)
 
-    _rewrite(spark, path, target, touched, emptied, partition_by,
-             lambda before: put_rows(before, source, keys, condition, small))
+    _rewrite(
+        spark,
+        path,
+        target,
+        touched,
+        emptied,
+        partition_by,
+        lambda before: put_rows(before, source, keys, condition, small),
+    )
     return len(touched)
 
 
-def delete_from_partitions(spark: SparkSession, path: str, condition: Column | str, partition_by: Sequence[str]) -> int:
-    """Delete by predicate, rewriting only the partitions that hold matching rows."""
-    target = spark.read.parquet(path)
+def delete_from_partitions(
+    spark: SparkSession,
+    path: str,
+    condition: Column | str,
+    partition_by: Sequence[str],
+    schema: StructType | None = None,
+) -> int:
+    """Delete by predicate, rewriting only the partitions that hold matching rows.
+
+    Without ``schema`` Spark infers the types of the partition columns from directory names.
+    """
+    target = spark.read.parquet(path) if schema is None else spark.read.schema(schema).parquet(path)
     predicate = F.expr(condition) if isinstance(condition, str) else condition
     touched = _partitions(target.where(predicate), partition_by)
     if not touched:
@@ -114,6 +130,7 @@ def _rewrite(
     change: Callable[[DataFrame], DataFrame],
 ) -> None:
     """Replace the touched partitions by ``change`` of their rows and remove the emptied ones."""
+    _assert_same_directories(target.where(_in_partitions(touched, partition_by)), partition_by)
     rewritten = touched - emptied
     if rewritten:
         # Dynamic overwrite writes beside the table and switches directories when all tasks are done.
@@ -122,6 +139,22 @@ def _rewrite(
     _drop_partitions(spark, target, emptied, partition_by)
 
 
+def _assert_same_directories(rows: DataFrame, partition_by: Sequence[str]) -> None:
+    """Raise when a partition would be written back under another name than it has.
+
+    A directory ``m=01`` read as the number 1 would come back as ``m=1`` beside the old one.
+    Text keeps directory names as they are and needs no check.
+    """
+    path = F.col("_metadata.file_path")
+    for name in partition_by:
+        if rows.schema[name].dataType == StringType():
+            continue
+        directory = F.concat(F.lit(f"/{name}="), quoted(name).cast("string"), F.lit("/"))
+        other = rows.where(quoted(name).isNotNull() & ~F.contains(path, directory))
+        if other.take(1):
+            raise ValueError(f"partition directories of '{name}' do not match its type; use text for it")
+
+
 def _leaving_rows(
     target: DataFrame, source: DataFrame, keys: Sequence[str], condition: Column | str | None, small: bool
 ) -> DataFrame:

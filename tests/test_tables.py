@@ -346,6 +346,18 @@ def test_partition_names_keep_their_type(spark, tmp_path):
     assert rows(spark.read.schema(schema).parquet(path)) == [(1, "A", "01"), (2, "b", "02"), (3, "C", "01")]
 
 
+def test_partition_names_that_would_change_are_refused(spark, tmp_path):
+    path, schema = f"{tmp_path}/months", "k int, m string"
+    files.append_partitioned(spark.createDataFrame([(1, "01"), (2, "01"), (3, "11")], schema), path, ["m"])
+    with pytest.raises(ValueError, match="use text"):
+        delete_from_partitions(spark, path, "k = 1", ["m"])
+    with pytest.raises(ValueError, match="use text"):
+        upsert_partitions(spark, path, spark.createDataFrame([(1, 1)], "k int, m int"), ["k"], ["m"])
+    typed = spark.createDataFrame([], schema).schema
+    assert delete_from_partitions(spark, path, "k = 1", ["m"], typed) == 1
+    assert rows(spark.read.schema(typed).parquet(path)) == [(2, "01"), (3, "11")]
+
+
 def test_too_many_partitions_are_refused(spark, parted, monkeypatch):
     monkeypatch.setattr("martweave.plans.partitions.MAX_DYNAMIC_PARTITIONS", 1)
     source = spark.read.parquet(parted)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 from martweave.model import DIMENSION, FACT, TableSpec
 from martweave.operators.conform import conform, output_schema
 from martweave.operators.keys import check_keys
+from martweave.session import parked
 
 
 @dataclass(frozen=True)
@@ -28,12 +29,15 @@ def combine(pieces: Sequence[DataFrame], schema: StructType) -> DataFrame:
     return reduce(DataFrame.union, [conform(piece, schema) for piece in pieces])
 
 
-def merge_extracts(specs: Sequence[TableSpec], inputs: dict[str, Sequence[DataFrame]]) -> MergeResult:
+def merge_extracts(
+    specs: Sequence[TableSpec], inputs: dict[str, Sequence[DataFrame]], park_facts: bool = False
+) -> MergeResult:
     """Merge the pieces of every table in ``specs``.
 
     Rows without a primary key are refused, and fact rows also when a foreign key finds no
     dimension row. Dimensions are merged first, so facts are checked against accepted rows.
-    Schema problems raise here, before anything runs.
+    Schema problems raise here, before anything runs. ``park_facts`` runs the joins of each fact
+    once and keeps their outcome in scratch, for callers that use both results or use one often.
     """
     by_name = {spec.name: spec for spec in specs}
     for spec in specs:
@@ -51,6 +55,8 @@ def merge_extracts(specs: Sequence[TableSpec], inputs: dict[str, Sequence[DataFr
         schema = spec.schema or pieces[0].schema
         schemas[spec.name] = output_schema(schema, spec)
         checked = check_keys(combine(pieces, schema), spec, tables)
+        if park_facts and spec.foreign_keys:
+            checked = replace(checked, marked=parked(checked.marked, "merged-fact"))
         tables[spec.name] = checked.accepted()
         rejects[spec.name] = checked.refused()
     return MergeResult(tables, rejects, schemas)

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -135,7 +135,7 @@ def publish_release(
     """
     root = root.rstrip("/")
     run_id = run_id or new_run_id()
-    spark.createDataFrame([], LOG_SCHEMA).write.mode("ignore").parquet(f"{root}/releases")
+    _ensure_log(spark, root)
     previous = {row["table_name"]: row for row in current_release(spark, root).collect()}
     if any(row["run_id"] == run_id for row in previous.values()):
         return current_release(spark, root)
@@ -175,5 +175,19 @@ def read_published(spark: SparkSession, root: str, table: str) -> DataFrame:
     found = current_release(spark, root).where(F.col("table_name") == table).collect()
     if len(found) != 1:
         raise LookupError(f"'{table}' is not in the current release of {root}")
-    schema = StructType.fromJson(json.loads(found[0]["table_schema"]))
-    return spark.read.schema(schema).parquet(found[0]["path"]).select(*[quoted(c) for c in schema.names])
+    return _read_entry(spark, found[0])
+
+
+def published_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """All tables of the current release; none for a root without releases."""
+    _ensure_log(spark, root)
+    return {entry["table_name"]: _read_entry(spark, entry) for entry in current_release(spark, root).collect()}
+
+
+def _read_entry(spark: SparkSession, entry: Row) -> DataFrame:
+    schema = StructType.fromJson(json.loads(entry["table_schema"]))
+    return spark.read.schema(schema).parquet(entry["path"]).select(*[quoted(c) for c in schema.names])
+
+
+def _ensure_log(spark: SparkSession, root: str) -> None:
+    spark.createDataFrame([], LOG_SCHEMA).write.mode("ignore").parquet(f"{root.rstrip('/')}/releases")

@@ -9,6 +9,7 @@ from martweave.functions.scalars import days_before
 from martweave.model import FACT, ForeignKey, TableAction, TableSpec
 from martweave.operators import actions
 from martweave.operators.keys import fk_valid, with_key
+from martweave.plans.mart import refresh_mart
 from martweave.plans.merge import MergeResult, merge_extracts
 from martweave.plans.partitions import delete_from_partitions, upsert_partitions
 from martweave.plans.publish import apply_actions, apply_pieces, new_run_id, publish_release, read_published
@@ -164,6 +165,22 @@ def split_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _key_totals(apply_pieces(stored, read_split_extract(spark, f"{root}/mart_*")))
 
 
+def mart_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two refreshes: the stored orders create the mart, the arriving ones and a dimension snapshot update it."""
+    root = scratch_path(spark, "mart")
+    specs = [
+        TableSpec("customer", ("c_custkey",)),
+        TableSpec("orders", ("o_orderkey",), (CUSTOMER_FK,), FACT, partition_by=("o_orderstatus",)),
+    ]
+    everyone = table(spark, sf_dir, "customer")
+    refresh_mart(spark, root, specs, {"customer": [everyone], "orders": [stored_orders(spark, sf_dir)]})
+    arriving = {"customer": [good_customers(spark, sf_dir)], "orders": [arriving_orders(spark, sf_dir)]}
+    expired = {"orders": "o_orderdate < TIMESTAMP_NTZ '1996-01-01 00:00:00'"}
+    rejected = refresh_mart(spark, root, specs, arriving, conditions=expired).rejects["orders"]
+    accepted = read_published(spark, root, "orders").withColumn("reject_reasons", F.lit(""))
+    return accepted.unionByName(rejected.withColumn("reject_reasons", F.concat_ws(", ", "reject_reasons")))
+
+
 def _merged(spark: SparkSession, sf_dir: str) -> MergeResult:
     """Three order extracts that differ in columns, column case and missing keys, and one dimension."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "o_orderstatus")
@@ -281,6 +298,14 @@ QUERIES = {
         """SELECT 'orders' AS table_name, count(*) AS row_count, CAST(sum(o_orderkey) AS BIGINT) AS key_sum FROM orders
         UNION ALL SELECT 'customer', count(*), CAST(sum(c_custkey) AS BIGINT) FROM customer""",
     ),
+    "mart_refresh": (
+        mart_refresh,
+        f"""WITH arriving AS (SELECT *, o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0) AS known
+            FROM ({ARRIVING_ORDERS}))
+        SELECT * EXCLUDE (known), CASE WHEN known THEN '' ELSE 'no match in customer' END AS reject_reasons FROM arriving
+        UNION ALL SELECT *, '' FROM ({STORED_ORDERS}) s WHERE o_orderdate >= TIMESTAMP '1996-01-01'
+            AND NOT EXISTS (SELECT 1 FROM arriving a WHERE known AND a.o_orderkey = s.o_orderkey)""",
+    ),
     "merge_extracts": (
         merged_orders,
         f"""{_MERGE_INPUT} SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM checked

@@ -5,8 +5,10 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from martweave.model import ForeignKey, TableSpec
 from martweave.operators.verify import reconcile_files, same_content
 from martweave.plans import publish
+from martweave.plans.mart import actions_for, refresh_mart
 from martweave.plans.partitions import delete_from_partitions, upsert_partitions
 from martweave.plans.staging import run_staged, stage_by_config
 from martweave.session import parked, scratch_path, scratch_root, scratch_scope
@@ -265,6 +267,26 @@ def test_failed_release_leaves_the_current_one(spark, tmp_path):
     assert publish.read_published(spark, root, "b").count() == 50, "a failed run can be repeated"
 
 
+def test_refresh_creates_then_updates(spark, tmp_path):
+    root = f"{tmp_path}/mart"
+    fact = TableSpec("fact", ("id",), (ForeignKey(("d",), "dim", ("k",)),), "fact")
+    specs = [fact, TableSpec("dim", ("k",))]
+    assert [(a.action, a.target) for a in actions_for(specs)] == [("replace", "dim"), ("upsert", "fact")]
+    schema = "id int, d int, v string"
+    first = spark.createDataFrame([(1, 1, "a"), (2, 2, "a"), (3, 9, "orphan")], schema)
+    run = refresh_mart(spark, root, specs, {"dim": [spark.createDataFrame([(1,), (2,)], "k int")], "fact": [first]})
+    assert rows(run.rejects["fact"].select("id", "reject_reasons")) == [(3, ["no match in dim"])]
+    second = spark.createDataFrame([(2, 2, "b"), (4, 3, "b")], schema)
+    dims = spark.createDataFrame([(2,), (3,)], "k int")
+    refresh_mart(spark, root, specs, {"dim": [dims], "fact": [second]}, conditions={"fact": "id = 1"})
+    assert rows(publish.read_published(spark, root, "fact")) == [(2, 2, "b"), (4, 3, "b")]
+    assert rows(publish.read_published(spark, root, "dim")) == [(2,), (3,)]
+    repeated = spark.createDataFrame([(5, 2, "x"), (5, 3, "y")], schema)
+    with pytest.raises(ValueError, match="not unique"):
+        refresh_mart(spark, root, specs, {"dim": [dims], "fact": [repeated]})
+    assert publish.read_published(spark, root, "fact").count() == 2
+
+
 def test_staged_table_is_checked(spark, tmp_path, monkeypatch):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "k int, v string")
     staged = publish.stage_table(df, f"{tmp_path}/t", ["k"])

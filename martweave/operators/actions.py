@@ -25,9 +25,12 @@ def append(target: DataFrame | None, source: DataFrame) -> DataFrame:
 
 
 def delete_where(target: DataFrame, condition: Column | str) -> DataFrame:
-    """Remove the rows for which ``condition`` is true; a NULL condition keeps the row, as in SQL."""
+    """Remove the rows for which ``condition`` is true; a NULL condition keeps the row, as in SQL.
+
+    Written so that Spark can push comparisons down to the scan, which ``coalesce`` would prevent.
+    """
     predicate = F.expr(condition) if isinstance(condition, str) else condition
-    return target.where(~F.coalesce(predicate, F.lit(False)))
+    return target.where(predicate.isNull() | ~predicate)
 
 
 def delete_before(target: DataFrame, column: str, day: dt.date | dt.datetime) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType
 
-from martweave.functions.scalars import path_name, path_stem, stage_path, with_prefix
+from martweave.functions.scalars import path_name, path_stem, stage_path
 from martweave.model import TableSpec
 from martweave.operators.actions import add_column, fill_default
 from martweave.operators.conform import add_load_time, add_prefixed, conform, conform_to_table, output_schema, select_as

@@ -91,6 +91,13 @@ def test_retention_reaches_the_scan(spark, sf_dir):
     assert "GreaterThanOrEqual(o_orderdate" in text.split("PushedFilters")[1]
 
 
+def test_delete_reaches_the_scan(spark, sf_dir):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    plan = actions.delete_where(orders, "o_orderdate < TIMESTAMP_NTZ '1999-01-01 00:00:00'")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate" in text.split("PushedFilters")[1]
+
+
 def test_upsert_semantics(spark):
     target = spark.createDataFrame([(1, "old"), (2, "old"), (None, "old"), (4, "gone")], "k int, v string")
     source = spark.createDataFrame([(2, "new"), (3, "new"), (None, "new"), (4, "new")], "k int, v string")

@@ -393,3 +393,22 @@ def test_append_log(spark, tmp_path):
     files.append_log(row, f"{tmp_path}/log")
     files.append_log(row, f"{tmp_path}/log")
     assert spark.read.parquet(f"{tmp_path}/log").count() == 2
+
+
+def test_scratch_must_be_shared_on_a_cluster():
+    class Conf:
+        def __init__(self, values):
+            self.values = values
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+    class Session:
+        def __init__(self, **values):
+            self.conf = Conf({k.replace("_", "."): v for k, v in values.items()})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_root(Session(spark_master="yarn"))
+    assert scratch_root(Session(spark_master="yarn", spark_checkpoint_dir="hdfs:///shared/")) == "hdfs:///shared"
+    local = Session(spark_master="local[2]", spark_app_id="only-here")
+    assert scratch_root(local) == scratch_root(local)

@@ -16,6 +16,7 @@ from martweave.session import build_session, scratch_scope
 
 HEADLINE = [
     "merged_mart",
+    "mart_refresh",
     "conform_orders",
     "upsert_orders",
     "upsert_latest",

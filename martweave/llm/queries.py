@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martweave.llm import chat, langid, licenses, toxicity, url_filter
+from martweave.llm import chat, decontaminate, langid, licenses, packing, substrings, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +26,34 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *(F.col(f"_license.{n}").alias(n) for n in names))
 
 
+def tokenizer_json(name: str = "word_bpe_49k.json") -> str:
+    """A public tokenizer's file, read on the driver and sent along."""
+    import public_tokenizers
+
+    return Path(public_tokenizers.path(name)).read_text()
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_json())
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"], with_text=False)
+    return cut.select("doc_id", F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"), F.col("_kept_sha256").alias("kept_sha256"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.fit(langid.training_counts(docs))
@@ -112,9 +142,49 @@ SELECT conv_id, count(*) AS n_turns,
 FROM f GROUP BY conv_id
 """
 
+_DECONTAMINATION_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '{_WORDS}') AS words FROM documents),
+i AS (SELECT item_id, regexp_extract_all({_LOWER}, '{_WORDS}') AS words FROM benchmark),
+iw AS (
+    SELECT item_id, k, array_to_string(words[p : p + k - 1], ' ') AS w
+    FROM (SELECT *, least(len(words), 10) AS k, unnest(range(1, len(words) - least(len(words), 10) + 2)) AS p FROM i WHERE len(words) > 0)
+),
+dw AS (
+    SELECT r, k, p, array_to_string(words[p : p + k - 1], ' ') AS w
+    FROM (SELECT r, words, k, unnest(range(1, len(words) - k + 2)) AS p FROM d, (SELECT DISTINCT k FROM iw) WHERE len(words) >= k)
+),
+hit AS (SELECT DISTINCT dw.r, dw.p, dw.k, iw.item_id FROM dw JOIN iw USING (k, w)),
+covered AS (SELECT r, count(DISTINCT place) AS n FROM (SELECT r, unnest(range(p, p + k)) AS place FROM hit) GROUP BY r),
+listed AS (
+    SELECT r, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT r, item_id::VARCHAR AS id FROM hit) GROUP BY r
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(covered.n, 0)::BIGINT AS n_hit, coalesce(listed.n, 0)::BIGINT AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, coalesce(covered.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN listed USING (r)
+"""
+
+_SUBSTRING_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+w AS (
+    SELECT r, p, md5(array_to_string(words[p : p + 34], ' ')) AS h
+    FROM (SELECT r, words, unnest(range(1, len(words) - 33)) AS p FROM d WHERE len(words) >= 35)
+),
+again AS (SELECT h FROM w GROUP BY h HAVING count(*) > 1),
+covered AS (SELECT DISTINCT r, unnest(range(p, p + 35)) AS place FROM w SEMI JOIN again USING (h)),
+each AS (SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM d),
+kept AS (
+    SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS line FROM each ANTI JOIN covered USING (r, place) GROUP BY r
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(line, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
 QUERIES = {
     "op1_toxicity": (op1_toxicity, None),
     "op2_licenses": (op2_licenses, _LICENSE_SQL),
+    "op3_packing": (op3_packing, None),
+    "op4_decontamination": (op4_decontamination, _DECONTAMINATION_SQL),
+    "op5_substrings": (op5_substrings, _SUBSTRING_SQL),
     "op7_language": (op7_language, None),
     "op9_urls": (op9_urls, None),
     "op10_chat": (op10_chat, _CHAT_SQL),

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martweave.llm import toxicity
+from martweave.llm import decontaminate, near, packing, substrings, toxicity
+from martweave.llm.queries import tokenizer_json
 from martweave.session import scratch_path
 
 
@@ -17,7 +18,36 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.classify(docs, labels).where(F.col("_toxic") == 0).drop("_score", "_toxic")
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("toxicity", drop_toxic)]
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates."""
+    return near.keep_one_of_each(docs)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents; passages of 35 words or more that stand in several places are cut from their texts."""
+    cut = substrings.remove_repeats(docs)
+    n_chars = F.when(F.col("_n_removed") > 0, F.length("_kept").cast("bigint")).otherwise(F.col("n_chars"))
+    changed = cut.withColumns({"text": F.col("_kept"), "n_chars": n_chars})
+    return changed.select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark window."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences, neighbours on the curve together."""
+    return packing.pack(docs, tokenizer_json())
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("substrings", cut_repeats),
+    ("decontamination", drop_contaminated),
+    ("packing", pack),
+]
 
 #: The stages learn models and hash texts, which SQL cannot express; tests compare with brute force.
 ORACLE_SQL = None

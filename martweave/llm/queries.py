@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martweave.llm import chat, decontaminate, langid, licenses, packing, substrings, toxicity, url_filter
+from martweave.llm import chat, decontaminate, langid, licenses, near, packing, substrings, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,11 @@ def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"), F.col("_kept_sha256").alias("kept_sha256"))
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "class_id", "class_size", "n_links", "stays")
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.fit(langid.training_counts(docs))
@@ -185,6 +190,7 @@ QUERIES = {
     "op3_packing": (op3_packing, None),
     "op4_decontamination": (op4_decontamination, _DECONTAMINATION_SQL),
     "op5_substrings": (op5_substrings, _SUBSTRING_SQL),
+    "op6_near_duplicates": (op6_near_duplicates, None),
     "op7_language": (op7_language, None),
     "op9_urls": (op9_urls, None),
     "op10_chat": (op10_chat, _CHAT_SQL),

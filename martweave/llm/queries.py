@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martweave.llm import chat, decontaminate, langid, licenses, near, packing, substrings, toxicity, url_filter
+from martweave.llm import ann, chat, decontaminate, langid, licenses, near, packing, substrings, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,10 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), F.col("_lang").alias("lang_pred"), F.col("_lang_score").alias("score"))
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 100 == 0)
+
+
 URL_RULES = (
     ("allow", "com", "/"),
     ("block", "example.com", "/en/"),
@@ -192,6 +196,7 @@ QUERIES = {
     "op5_substrings": (op5_substrings, _SUBSTRING_SQL),
     "op6_near_duplicates": (op6_near_duplicates, None),
     "op7_language": (op7_language, None),
+    "op8_neighbours": (op8_neighbours, None),
     "op9_urls": (op9_urls, None),
     "op10_chat": (op10_chat, _CHAT_SQL),
 }

@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martweave.llm.words import ALNUM, Words, map_texts, mixed, pieces, ship, signed, spans_hash, split_words
+from martweave.functions.scalars import quoted
+from martweave.llm.words import ALNUM, Words, map_texts, mixed, pieces, ship, signed, spans_hash, split_words, unused
 from martweave.session import parked
 
 WINDOW, GRAM = 10, 5
@@ -229,6 +230,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without those that hold a benchmark window, found by their content."""
     bad = decontaminate(docs, benchmark).where("n_hit > 0").select("key1", "key2").distinct()
+    one, two, bad_one, bad_two = unused(docs, "key1", "key2", "bad1", "bad2")
     keys = content_key(F.col("text"))
-    keyed = docs.select("*", keys[0].alias("_key1"), keys[1].alias("_key2"))
-    return keyed.join(bad, (F.col("_key1") == F.col("key1")) & (F.col("_key2") == F.col("key2")), "left_anti").drop("_key1", "_key2")
+    keyed = docs.select("*", keys[0].alias(one), keys[1].alias(two))
+    left = keyed.join(bad.toDF(bad_one, bad_two), (F.col(one) == F.col(bad_one)) & (F.col(two) == F.col(bad_two)), "left_anti")
+    return left.select(*map(quoted, docs.columns))

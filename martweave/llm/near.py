@@ -18,12 +18,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martweave.functions.scalars import quoted
 from martweave.llm.decontaminate import content_key
-from martweave.llm.words import ALNUM, Words, mixed, pieces, ship, signed, spans_hash, split_words
+from martweave.llm.words import ALNUM, Words, mixed, pieces, ship, signed, spans_hash, split_words, unused
 from martweave.session import parked
 
 SHINGLE = 5
@@ -279,12 +279,13 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
 
 def keep_one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with one document of each class of near duplicates, of equal rows with one id just one."""
-    row = [*content_key(F.col("text")), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.col("doc_id").isNull().alias("absent")]
-    staying = near_duplicates(docs, similarity).where("stays")
-    staying = staying.select("key1", "key2", F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.col("doc_id").isNull().alias("absent"))
-    marked = docs.select("*", F.struct(*row).alias("_row")).select("*", *(F.col(f"_row.{n}").alias(f"_{n}") for n in ("key1", "key2", "id", "absent")))
-    mine = [f"_{n}" for n in staying.columns]
-    renamed = staying.toDF(*(f"_stays_{n}" for n in staying.columns))
-    found = marked.join(renamed, [F.col(f"_{n}") == F.col(f"_stays_{n}") for n in staying.columns])
-    once = found.withColumn("_nth", F.row_number().over(Window.partitionBy(*mine).orderBy("_key1"))).where("_nth = 1")
+    def row(*keys: Column) -> list[Column]:
+        return [*keys, F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("doc_id").isNull()]
+
+    names = unused(docs, "key1", "key2", "id", "absent", "stays1", "stays2", "stays3", "stays4", "nth")
+    mine, others, nth = names[:4], names[4:8], names[8]
+    staying = near_duplicates(docs, similarity).where("stays").select(*(c.alias(n) for c, n in zip(row(F.col("key1"), F.col("key2")), others, strict=True)))
+    marked = docs.select("*", *(c.alias(n) for c, n in zip(row(*content_key(F.col("text"))), mine, strict=True)))
+    found = marked.join(staying, [F.col(a) == F.col(b) for a, b in zip(mine, others, strict=True)])
+    once = found.withColumn(nth, F.row_number().over(Window.partitionBy(*mine).orderBy(mine[0]))).where(F.col(nth) == 1)
     return once.select(*map(quoted, docs.columns))

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from martweave.functions.scalars import quoted
 from martweave.llm.decontaminate import content_key
-from martweave.llm.words import SPACED, Words, pieces, ship, signed, spans_hash, split_words
+from martweave.llm.words import SPACED, Words, pieces, ship, signed, spans_hash, split_words, unused
 from martweave.session import parked
 
 WINDOW = 35
@@ -191,8 +191,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, keep: Sequence[str] |
     kept = [c for c in (docs.columns if keep is None else keep) if c not in added]
     spans = repeated_spans(docs, window)
     keys = content_key(F.col("text"))
-    left = docs.select(*map(quoted, kept), F.col("text").alias("_text"), keys[0].alias("_key1"), keys[1].alias("_key2"))
-    joined = left.join(spans, (F.col("_key1") == F.col("key1")) & (F.col("_key2") == F.col("key2")), "left").select(*map(quoted, kept), "_text", "spans")
+    text, one, two, span_one, span_two, found = unused(docs, "text", "key1", "key2", "span1", "span2", "spans")
+    left = docs.select(*map(quoted, kept), F.col("text").alias(text), keys[0].alias(one), keys[1].alias(two))
+    joined = left.join(spans.toDF(span_one, span_two, found), (F.col(one) == F.col(span_one)) & (F.col(two) == F.col(span_two)), "left")
+    joined = joined.select(*map(quoted, [*kept, text, found]))
     fields = [*joined.schema.fields[: len(kept)], T.StructField("_n_words", T.LongType()), T.StructField("_n_removed", T.LongType())]
     fields += [T.StructField("_kept_sha256", T.StringType())] + [T.StructField("_kept", T.StringType())] * with_text
     schema = T.StructType(fields)

@@ -12,9 +12,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martweave.llm.linear import Sparse, fit_logistic, sigmoid
-from martweave.llm.words import mixed, ship, spans_hash
+from martweave.llm.words import mixed, ship, spans_hash, unused
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 N_FEATURES = 1 << 16
@@ -135,9 +136,12 @@ def filter_urls(
             )
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], out], [*batch.schema.names[:-1], "_url"])
 
+    pages = pages.drop("_url")
+    (parts,) = unused(pages, "parts")
     host, path = url_host(F.col(url)), url_path(F.col(url))
-    split = pages.select("*", F.struct(host.alias("host"), path.alias("path")).alias("_parts"))
-    rule = longest_rule(F.col("_parts.host"), F.col("_parts.path"), rules)
-    split = split.withColumn("_parts", F.struct("_parts.host", "_parts.path", rule["rule"].alias("rule"), rule["verdict"].alias("verdict")))
-    fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in pages.schema.fields)
-    return split.mapInArrow(judge, f"{fields}, _url struct<host:string,path:string,rule:string,score:double,verdict:string>")
+    split = pages.select("*", F.struct(host.alias("host"), path.alias("path")).alias(parts))
+    host, path = F.col(parts)["host"], F.col(parts)["path"]
+    rule = longest_rule(host, path, rules)
+    split = split.withColumn(parts, F.struct(host.alias("host"), path.alias("path"), rule["rule"].alias("rule"), rule["verdict"].alias("verdict")))
+    judged = T.StructType.fromDDL("host string, path string, rule string, score double, verdict string")
+    return split.mapInArrow(judge, T.StructType([*pages.schema.fields, T.StructField("_url", judged)]))

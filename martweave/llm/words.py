@@ -164,6 +164,17 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def unused(docs: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores added where ``docs`` has such a column (the case of letters aside)."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def map_texts(
     docs: DataFrame,
     compute: Callable[[pa.Array], list[pa.Array]],

@@ -100,10 +100,10 @@ def log_line(moment: Column, name: Column, status: Column) -> Column:
 
 
 def parse_log_line(line: Column | str) -> tuple[Column, Column, Column]:
-    """Timestamp, name and status of a run-log line (NULL timestamp when it is none)."""
+    """Timestamp, name and status of a run-log line (NULL timestamp when it is none, or no real moment)."""
     moment = F.nullif(F.regexp_extract(_col(line), _LOG_LINE, 1), F.lit(""))
     return (
-        moment.cast("timestamp_ntz").alias("ts"),
+        moment.try_cast("timestamp_ntz").alias("ts"),
         F.regexp_extract(_col(line), _LOG_LINE, 2).alias("name"),
         F.regexp_extract(_col(line), _LOG_LINE, 3).alias("status"),
     )

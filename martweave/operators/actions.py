@@ -14,9 +14,9 @@ from martweave.operators.conform import conform
 from martweave.operators.sizing import KeySize, key_size
 
 
-def replace(target: DataFrame | None, source: DataFrame) -> DataFrame:
-    """Source rows in the target's columns; with no target yet, the source as it is."""
-    return source if target is None else conform(source, target.schema)
+def replace(target: DataFrame | None, source: DataFrame, keep_schema: bool = False) -> DataFrame:
+    """Source rows as they are; with ``keep_schema`` in the columns of the target, others dropped."""
+    return conform(source, target.schema) if keep_schema and target is not None else source
 
 
 def append(target: DataFrame | None, source: DataFrame) -> DataFrame:
@@ -54,7 +54,7 @@ def upsert(
     """Source rows replace target rows of equal key and new keys are added.
 
     ``condition`` deletes from the target only, before the source arrives. NULL keys match
-    nothing. Repeated source keys raise, unless ``latest_by`` says which row counts.
+    nothing. Columns that only one side has are kept, NULL on the other. Repeated source keys raise, unless ``latest_by`` says which row counts.
 
     One pass over the source's key columns makes that test and measures the keys: if they are
     small, they are broadcast and the target is not shuffled. ``check_keys=False`` skips the
@@ -81,9 +81,7 @@ def put_rows(
     if target is None:
         return source
     kept = target if condition is None else delete_where(target, condition)
-    return without_keys(kept, source, keys, small).unionByName(source, allowMissingColumns=True).select(
-        *[quoted(c) for c in target.columns]
-    )
+    return without_keys(kept, source, keys, small).unionByName(source, allowMissingColumns=True)
 
 
 def without_keys(target: DataFrame, source: DataFrame, keys: Sequence[str], small: bool = False) -> DataFrame:

@@ -12,6 +12,7 @@ from martweave.operators.ordering import row_index
 CONCURRENT_JOBS = 5
 GATED_STAGE = "hyper"
 TOP_PRIORITY = 1
+UNPARSED = "unparsed"
 
 
 def with_priority(jobs: DataFrame, loose: bool = False) -> DataFrame:
@@ -59,11 +60,11 @@ def stage_counts(paths: DataFrame, path: str = "path") -> DataFrame:
 
 
 def run_summary(lines: DataFrame, line: str = "value") -> DataFrame:
-    """Log lines per status, with the first and last time seen; other lines are left out."""
+    """Log lines per status, with the first and last time seen; other lines count as ``unparsed``."""
     moment, name, status = parse_log_line(line)
     return (
         lines.select(moment, name, status)
-        .where(F.col("ts").isNotNull())
+        .withColumn("status", F.when(F.col("ts").isNull(), UNPARSED).otherwise(F.col("status")))
         .groupBy("status")
         .agg(F.count(F.lit(1)).alias("runs"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
     )

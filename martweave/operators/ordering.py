@@ -110,16 +110,16 @@ def chunk_actions(chunked: DataFrame, chunk: str = "chunk_id", name: str = "acti
     return chunked.withColumn(name, F.when(quoted(chunk) == 0, "replace").otherwise("insert"))
 
 
-def page(df: DataFrame, order_by: Sequence[str], offset: int, rows: int) -> DataFrame:
-    """``rows`` rows after skipping ``offset``.
+def page(df: DataFrame, order_by: Sequence[str], offset: int, rows: int, unique: bool = True) -> DataFrame:
+    """``rows`` rows after skipping ``offset``, in order. ``unique=False`` for orderings with many equal rows.
 
     Spark answers shallow pages with a per-task top-k merged on the driver; a deep page would
     merge ``offset + rows`` rows there, so it goes through ``row_index`` instead.
     """
     if offset + rows <= _SHALLOW_PAGE_ROWS:
         return df.orderBy(*[quoted(c) for c in order_by]).offset(offset).limit(rows)
-    indexed = row_index(df, order_by, name="_index")
-    return indexed.where((F.col("_index") > offset) & (F.col("_index") <= offset + rows)).drop("_index")
+    indexed = row_index(df, order_by, name="_index", unique=unique)
+    return indexed.where((F.col("_index") > offset) & (F.col("_index") <= offset + rows)).orderBy("_index").drop("_index")
 
 
 def preview(df: DataFrame, order_by: Sequence[str] = (), rows: int = 5) -> DataFrame:

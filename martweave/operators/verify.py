@@ -14,6 +14,7 @@ ONLY_LEFT = "only_left"
 ONLY_RIGHT = "only_right"
 CHANGED = "changed"
 EQUAL = "equal"
+UNVERIFIED = "unverified"
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -53,12 +54,14 @@ def bucket_checksums(df: DataFrame, keys: Sequence[str], buckets: int, columns:
     return df.groupBy(bucket.alias("bucket")).agg(*checksum_aggregates(columns or df.columns))
 
 
-def portable_checksum(df: DataFrame, columns: Sequence[str], separator: str = "|") -> DataFrame:
+def portable_checksum(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count and checksum another SQL engine can repeat: the sum of 32 bits of each row's MD5.
 
-    For integer and text columns; other types print differently from engine to engine.
+    Each value is led by its length in characters, and NULL has a mark of its own, so that no two
+    rows print alike. For integer and text columns; other types print differently from engine to engine.
     """
-    text = F.concat_ws(separator, *[F.coalesce(quoted(c).cast("string"), F.lit("\\N")) for c in columns])
+    printed = [quoted(c).cast("string") for c in columns]
+    text = F.concat(*[F.coalesce(F.concat(F.char_length(v).cast("string"), F.lit(":"), v), F.lit("N:")) for v in printed])
     word = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
     return df.agg(F.count(F.lit(1)).alias("row_count"), F.sum(word.cast("decimal(28,0)")).alias("checksum"))
 
@@ -102,9 +105,40 @@ def row_diff(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFram
 
 
 def reconcile_files(source: DataFrame, copy: DataFrame) -> DataFrame:
-    """Compare two file inventories by ``name``, on length and, when both have it, ``md5``."""
-    compared = ["length"] + [c for c in ("md5",) if c in source.columns and c in copy.columns]
-    return row_diff(source.select("name", *compared), copy.select("name", *compared), ["name"])
+    """Compare two file inventories by ``name``, on length and ``md5``.
+
+    Files of equal length are ``equal`` or ``changed`` by their hashes; where one is missing,
+    nothing is known about the content and the status is ``unverified``.
+    """
+
+    def side(files: DataFrame, sign: int) -> DataFrame:
+        md5 = F.col("md5") if "md5" in files.columns else F.lit(None).cast("string")
+        return files.select("name", "length", md5.alias("md5"), F.lit(sign).alias("_sign"))
+
+    def gap(columns: list[str]) -> Column:
+        return F.sum(row_hash(columns).cast("decimal(28,0)") * F.col("_sign"))
+
+    grouped = (
+        side(source, 1)
+        .unionByName(side(copy, -1))
+        .groupBy("name")
+        .agg(
+            F.count_if(F.col("_sign") > 0).alias("left_rows"),
+            F.count_if(F.col("_sign") < 0).alias("right_rows"),
+            gap(["length"]).alias("_length_gap"),
+            gap(["length", "md5"]).alias("_gap"),
+            F.bool_and(F.col("md5").isNotNull()).alias("_hashed"),
+        )
+    )
+    status = (
+        F.when(F.col("right_rows") == 0, ONLY_LEFT)
+        .when(F.col("left_rows") == 0, ONLY_RIGHT)
+        .when((F.col("left_rows") != F.col("right_rows")) | (F.col("_length_gap") != 0), CHANGED)
+        .when(~F.col("_hashed"), UNVERIFIED)
+        .when(F.col("_gap") != 0, CHANGED)
+        .otherwise(EQUAL)
+    )
+    return grouped.select("name", "left_rows", "right_rows", status.alias("status"))
 
 
 def unprocessed(items: DataFrame, processed: DataFrame, keys: Sequence[str]) -> DataFrame:

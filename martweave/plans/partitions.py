@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +26,7 @@ def upsert_partitions(
     condition: Column | str | None = None,
     latest_by: Sequence[str] = (),
     rows_move: bool = True,
+    max_partitions: int | None = MAX_DYNAMIC_PARTITIONS,
 ) -> int:
     """Upsert ``source`` into the table at ``path``; returns how many partitions were rewritten.
 
@@ -42,7 +42,7 @@ def upsert_partitions(
     with scratch_scope(spark):
         # Several passes decide what to rewrite, and all must see the same rows.
         rows = parked(latest_per_key(source, keys, latest_by) if latest_by else source, "upsert-source")
-        return _upsert_parked(spark, path, rows, list(keys), list(partition_by), condition, rows_move)
+        return _upsert_parked(spark, path, rows, list(keys), list(partition_by), condition, rows_move, max_partitions)
 
 
 def _upsert_parked(
@@ -53,15 +53,20 @@ def _upsert_parked(
     partition_by: list[str],
     condition: Column | str | None,
     rows_move: bool,
+    max_partitions: int | None,
 ) -> int:
     target = _read_typed(spark, path, source.schema, partition_by)
+    known = {c.lower() for c in target.columns}
+    added = [c for c in source.columns if c.lower() not in known]
+    if added:
+        raise ValueError(f"columns {', '.join(added)} are not in the table at {path}; add them to it first")
     small = require_unique(source, keys).small
 
-    incoming = _partitions(source, partition_by)
-    outgoing = _partitions(_leaving_rows(target, source, keys if rows_move else [], condition, small), partition_by)
+    incoming = _partitions(source, partition_by, max_partitions)
+    leaving = _leaving_rows(target, source, keys if rows_move else [], condition, small)
+    outgoing = _partitions(leaving, partition_by, max_partitions)
     touched = incoming | outgoing
-    if len(touched) > MAX_DYNAMIC_PARTITIONS:
-        raise ValueError(f"more than {MAX_DYNAMIC_PARTITIONS} partitions change; rewrite the table as a release")
+    _refuse_beyond(max_partitions, touched)
     if not touched:
         return 0
     # No output row names a partition that the upsert empties, so the overwrite would leave its
@@ -69,9 +74,9 @@ def _upsert_parked(
     losing = outgoing - incoming
     emptied: set[tuple] = set()
     if losing:
-        before = target.where(_in_partitions(losing, partition_by))
+        before = target.where(_in_partitions(target, losing, partition_by))
         kept = before if condition is None else delete_where(before, condition)
-        emptied = losing - _partitions(without_keys(kept, source, keys, small), partition_by)
+        emptied = losing - _partitions(without_keys(kept, source, keys, small), partition_by, None)
 
     _rewrite(
         spark,
@@ -91,6 +96,7 @@ def delete_from_partitions(
     condition: Column | str,
     partition_by: Sequence[str],
     schema: StructType | None = None,
+    max_partitions: int | None = MAX_DYNAMIC_PARTITIONS,
 ) -> int:
     """Delete by predicate, rewriting only the partitions that hold matching rows.
 
@@ -98,13 +104,12 @@ def delete_from_partitions(
     """
     target = spark.read.parquet(path) if schema is None else spark.read.schema(schema).parquet(path)
     predicate = F.expr(condition) if isinstance(condition, str) else condition
-    touched = _partitions(target.where(predicate), partition_by)
+    touched = _partitions(target.where(predicate), partition_by, max_partitions)
     if not touched:
         return 0
-    if len(touched) > MAX_DYNAMIC_PARTITIONS:
-        raise ValueError(f"more than {MAX_DYNAMIC_PARTITIONS} partitions change; rewrite the table as a release")
-    before = target.where(_in_partitions(touched, partition_by))
-    emptied = touched - _partitions(delete_where(before, predicate), partition_by)
+    _refuse_beyond(max_partitions, touched)
+    before = target.where(_in_partitions(target, touched, partition_by))
+    emptied = touched - _partitions(delete_where(before, predicate), partition_by, None)
     _rewrite(spark, path, target, touched, emptied, partition_by, lambda rows: delete_where(rows, predicate))
     return len(touched)
 
@@ -130,11 +135,11 @@ def _rewrite(
     change: Callable[[DataFrame], DataFrame],
 ) -> None:
     """Replace the touched partitions by ``change`` of their rows and remove the emptied ones."""
-    _assert_same_directories(target.where(_in_partitions(touched, partition_by)), partition_by)
+    _assert_same_directories(target.where(_in_partitions(target, touched, partition_by)), partition_by)
     rewritten = touched - emptied
     if rewritten:
         # Dynamic overwrite writes beside the table and switches directories when all tasks are done.
-        before = target.where(_in_partitions(rewritten, partition_by))
+        before = target.where(_in_partitions(target, rewritten, partition_by))
         overwrite_partitions(change(before), path, partition_by)
     _drop_partitions(spark, target, emptied, partition_by)
 
@@ -145,7 +150,8 @@ def _assert_same_directories(rows: DataFrame, partition_by: Sequence[str]) -> No
     A directory ``m=01`` read as the number 1 would come back as ``m=1`` beside the old one.
     Text keeps directory names as they are and needs no check.
     """
-    path = F.col("_metadata.file_path")
+    # Directory names are escaped once by the table format and once more in the URI.
+    path = _uri_decoded(_uri_decoded(F.col("_metadata.file_path")))
     for name in partition_by:
         if rows.schema[name].dataType == StringType():
             continue
@@ -169,25 +175,30 @@ def _leaving_rows(
     return leaving.unionByName(target.where(predicate))
 
 
-def _partitions(df: DataFrame, partition_by: Sequence[str]) -> set[tuple]:
-    """Distinct partition values; never more than one beyond the limit reach the driver."""
-    found = df.select(*[quoted(c) for c in partition_by]).distinct().limit(MAX_DYNAMIC_PARTITIONS + 1)
-    return {tuple(row) for row in found.collect()}
+def _partitions(df: DataFrame, partition_by: Sequence[str], at_most: int | None) -> set[tuple]:
+    """Distinct partition values; with a limit, no more than one beyond it reach the driver."""
+    found = df.select(*[quoted(c) for c in partition_by]).distinct()
+    return {tuple(row) for row in (found if at_most is None else found.limit(at_most + 1)).collect()}
 
 
-def _in_partitions(values: set[tuple], partition_by: Sequence[str]) -> Column:
-    """Literal predicate on the partition columns, so the scan is pruned to these partitions."""
-    name, rest = partition_by[0], partition_by[1:]
-    by_value: dict = {}
-    for value, *others in values:
-        by_value.setdefault(value, set()).add(tuple(others))
-    if rest:
-        branches = [
-            quoted(name).eqNullSafe(F.lit(value)) & _in_partitions(others, rest) for value, others in by_value.items()
-        ]
-        return reduce(Column.__or__, branches)
-    listed = quoted(name).isin([v for v in by_value if v is not None])
-    return listed | quoted(name).isNull() if None in by_value else listed
+def _refuse_beyond(max_partitions: int | None, touched: set[tuple]) -> None:
+    if max_partitions is not None and len(touched) > max_partitions:
+        raise ValueError(f"more than {max_partitions} partitions change; raise max_partitions or rewrite the table as a release")
+
+
+def _in_partitions(rows: DataFrame, values: set[tuple], partition_by: Sequence[str]) -> Column:
+    """Literal predicate on the partition columns, so the scan is pruned to these partitions.
+
+    One set lookup over all columns: its size does not nest, and NULL equals NULL in a struct.
+    """
+    kind = StructType([StructField(f"c{i}", rows.schema[name].dataType) for i, name in enumerate(partition_by)])
+    wanted = [F.struct(*[F.lit(v) for v in value]).cast(kind) for value in values]
+    return F.struct(*[quoted(name) for name in partition_by]).cast(kind).isin(wanted)
+
+
+def _uri_decoded(path: Column) -> Column:
+    """A path as the file system has it. In the path of a URI a plus sign is just that."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
 def _drop_partitions(spark: SparkSession, target: DataFrame, emptied: set[tuple], partition_by: Sequence[str]) -> None:
@@ -195,9 +206,10 @@ def _drop_partitions(spark: SparkSession, target: DataFrame, emptied: set[tuple]
     if not emptied:
         return
     file = F.col("_metadata.file_path")
-    folders = target.where(_in_partitions(emptied, partition_by)).select(
-        F.url_decode(F.regexp_extract(file, r"^(.*)/[^/]*$", 1)).alias("folder")
+    folders = target.where(_in_partitions(target, emptied, partition_by)).select(
+        _uri_decoded(F.regexp_extract(file, r"^(.*)/[^/]*$", 1)).alias("folder")
     )
-    # One folder per emptied partition, of which there are at most MAX_DYNAMIC_PARTITIONS.
+    # One folder per emptied partition.
     for row in folders.distinct().collect():
-        delete_path(spark, row["folder"])
+        if not delete_path(spark, row["folder"]):
+            raise OSError(f"{row['folder']} holds rows that have left it, but could not be removed")

@@ -19,6 +19,7 @@ Result = TypeVar("Result")
 
 STAGED = "staged"
 FAILED = "failed"
+_NAMED_UNKNOWN = 20
 
 
 def stage_by_config(
@@ -29,16 +30,20 @@ def stage_by_config(
     staging: str,
     run_id: str,
     log_path: str | None = None,
-) -> dict[str, DataFrame]:
+    parallel: int = PARALLEL_TABLES,
+) -> dict[tuple[str, str], DataFrame]:
     """Copy the requested facts and their dimensions to ``staging`` and verify every copy.
 
     ``roots`` gives the extract for each load mode, ``incremental`` for facts and ``full`` for
-    dimensions. A dimension that several facts share is staged once. A requested table that the
+    dimensions, and the copies are keyed by load mode and table: one table may be staged in both
+    modes. A dimension that several facts share is staged once. A requested table that the
     configuration does not know stops the run before anything is copied.
     """
-    unknown = [row["source_table"] for row in missing_sources(requested, entries).limit(20).collect()]
+    missing = missing_sources(requested, entries)
+    unknown = [row["source_table"] for row in missing.orderBy("source_table").limit(_NAMED_UNKNOWN).collect()]
     if unknown:
-        raise LookupError(f"not in the merge configuration: {', '.join(sorted(unknown))}")
+        more = missing.count() - len(unknown)
+        raise LookupError(f"not in the merge configuration: {', '.join(unknown)}" + f" and {more} more" * (more > 0))
 
     def stage(step) -> DataFrame:
         source = spark.read.parquet(extract_path(roots[step["mode"]], step["table"]))
@@ -48,21 +53,21 @@ def stage_by_config(
 
     # One row per table to copy; the copies themselves are distributed writes.
     steps = stage_plan(requested, entries).orderBy("mode", "table").collect()
-    with ThreadPoolExecutor(PARALLEL_TABLES) as pool:
-        copies = {step["table"]: pool.submit(stage, step) for step in steps}
+    with ThreadPoolExecutor(parallel) as pool:
+        copies = {(step["mode"], step["table"]): pool.submit(stage, step) for step in steps}
     if log_path is not None:
         # Written once for all tables: jobs that append to one directory at a time would collide.
-        outcomes = [(name, FAILED if copy.exception() else STAGED) for name, copy in copies.items()]
-        rows = spark.createDataFrame(outcomes, "name string, status string")
-        append_log(rows.select(F.localtimestamp().alias("ts"), F.lit(run_id).alias("run_id"), "name", "status"), log_path)
-    return {name: copy.result() for name, copy in copies.items()}
+        outcomes = [(mode, name, FAILED if copy.exception() else STAGED) for (mode, name), copy in copies.items()]
+        rows = spark.createDataFrame(outcomes, "mode string, name string, status string")
+        append_log(rows.select(F.localtimestamp().alias("ts"), F.lit(run_id).alias("run_id"), "mode", "name", "status"), log_path)
+    return {step: copy.result() for step, copy in copies.items()}
 
 
 def run_staged(
     spark: SparkSession,
-    staged: dict[str, DataFrame],
+    staged: dict[tuple[str, str], DataFrame],
     staging: str,
-    process: Callable[[dict[str, DataFrame]], Result],
+    process: Callable[[dict[tuple[str, str], DataFrame]], Result],
 ) -> Result:
     """Run ``process`` on staged tables and remove the staging area once it has succeeded.
 

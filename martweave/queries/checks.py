@@ -44,7 +44,7 @@ def table_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = table(spark, sf_dir, "lineitem")
     columns = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"]
     checksum = verify.portable_checksum(lineitem, columns)
-    return checksum.select("row_count", F.col("checksum").cast("bigint").alias("checksum"))
+    return checksum.select("row_count", F.col("checksum").cast("string").alias("checksum"))
 
 
 def copies_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,6 +185,9 @@ def _listed_sql(status: str, name: str) -> str:
     return f"""coalesce(string_agg("column", ',' ORDER BY "column") FILTER (WHERE status = '{status}'), '') AS {name}"""
 
 
+_CHECKED = "l_orderkey l_partkey l_suppkey l_linenumber l_returnflag l_linestatus".split()
+_PRINTED = " || ".join(f"coalesce(length({c}::VARCHAR) || ':' || {c}::VARCHAR, 'N:')" for c in _CHECKED)
+
 QUERIES = {
     "pk_filter": (pk_filter, f"SELECT * FROM ({_ORDERS_WITH_GAPS}) WHERE o_custkey IS NOT NULL"),
     "pk_missing": (
@@ -199,8 +202,8 @@ QUERIES = {
     ),
     "table_checksum": (
         table_checksum,
-        """SELECT count(*) AS row_count, CAST(sum(CAST('0x' || substr(md5(concat_ws('|', l_orderkey, l_partkey,
-        l_suppkey, l_linenumber, l_returnflag, l_linestatus)), 1, 8) AS BIGINT)) AS BIGINT) AS checksum FROM lineitem""",
+        f"""SELECT count(*) AS row_count, CAST(sum(CAST('0x' || substr(md5({_PRINTED}), 1, 8) AS BIGINT)) AS VARCHAR) AS checksum
+        FROM lineitem""",
     ),
     "copies_agree": (
         copies_agree,

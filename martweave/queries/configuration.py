@@ -60,16 +60,9 @@ def config_stage_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def config_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Targets of the configured source tables that suppliers and customers name: a two-sided match.
-
-    Every customer asks for the table of its own key; tables exist for customers with recent urgent orders.
-    """
-    asked = table(spark, sf_dir, "customer").select(
-        F.concat(F.lit("orders_of_"), F.col("c_custkey").cast("string")).alias("source_table")
-    )
-    urgent = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT' AND o_orderdate >= '2001-01-01'")
-    known = urgent.select(F.concat(F.lit("orders_of_"), F.col("o_custkey").cast("string")).alias("source_table"))
-    return config.missing_sources(asked, known)
+    """What the entries of one configured table point at: the first part by name that is not ``STANDARD``."""
+    first = table(spark, sf_dir, "part").where("p_type <> 'STANDARD'").agg(F.min("p_name")).first()[0]
+    return config.targets_of(_entries(spark, sf_dir), first)
 
 
 _SIZES = "'size_' || CAST(p_size AS VARCHAR)"
@@ -98,9 +91,9 @@ QUERIES = {
         UNION SELECT 'full', p_brand FROM known WHERE p_type <> 'STANDARD'
         UNION SELECT 'full', p_type FROM known WHERE p_type <> 'STANDARD'""",
     ),
-    "config_missing_per_customer": (
+    "config_targets": (
         config_targets,
-        """SELECT 'orders_of_' || CAST(c_custkey AS VARCHAR) AS source_table FROM customer WHERE c_custkey NOT IN
-        (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderdate >= TIMESTAMP '2001-01-01')""",
+        """SELECT unnest([p_brand, p_type]) AS target_table FROM part WHERE p_type <> 'STANDARD'
+        AND p_name = (SELECT min(p_name) FROM part WHERE p_type <> 'STANDARD')""",
     ),
 }

@@ -39,10 +39,22 @@ def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of all documents by length. A document spans as many lines as it has line breaks."""
     path = scratch_path(spark, "lines")
     table(spark, sf_dir, "documents").select("text").write.text(path)
-    lines = io.read_lines(spark, path).where("value <> ''")
+    lines = io.read_lines(spark, path)
     return lines.groupBy(F.length("value").alias("n_chars")).agg(F.count(F.lit(1)).alias("line_count"))
 
 
+_SAMPLES = (None, "", ' "two", lines\r\nof, ', "plain", 'ends in "', "\\", "\t|")
+
+
+def csv_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as CSV and back, each beside a text of quotes, separators, line breaks, blanks, NULL or nothing."""
+    samples = F.array(*[F.lit(s) for s in _SAMPLES])
+    documents = table(spark, sf_dir, "documents").withColumn("sample", samples[F.pmod(F.col("doc_id"), F.lit(len(_SAMPLES))).cast("int")])
+    path = scratch_path(spark, "csv")
+    io.write_csv(documents, path)
+    return io.read_csv(spark, path, documents.schema, multi_line=True)
+
+
 def _split_orders(spark: SparkSession, sf_dir: str) -> str:
     root = scratch_path(spark, "extract")
     orders = table(spark, sf_dir, "orders")
@@ -66,14 +78,19 @@ def collection_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A log line per event; errors are failures, views are starts."""
+    """A log line per event; errors are failures, views are starts. Each error adds an impossible moment and a trace line."""
     status = (
         F.when(F.col("event_type") == "error", "failed").when(F.col("event_type") == "view", "started")
         .otherwise("succeeded")
     )
     name = F.concat(F.lit("script_"), F.col("user_id").cast("string"), F.lit(".sh"))
     path = scratch_path(spark, "run-log")
-    table(spark, sf_dir, "events").select(log_line(F.col("ts"), name, status).alias("value")).write.text(path)
+    events = table(spark, sf_dir, "events")
+    lines = events.select(log_line(F.col("ts"), name, status).alias("value"))
+    errors = events.where("event_type = 'error'")
+    broken = errors.select(F.concat(F.lit("2024-13-45 00:00:00 - "), name, F.lit(": failed")).alias("value"))
+    other = errors.select(F.concat(F.lit("  at line "), F.col("event_id").cast("string")).alias("value"))
+    lines.unionByName(broken).unionByName(other).write.text(path)
     return io.read_lines(spark, path)
 
 
@@ -97,37 +114,43 @@ def log_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcome_totals(spark.read.parquet(path))
 
 
-def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table files themselves, with the size guard's verdict."""
-    files = io.file_inventory(spark, sf_dir, max_hash_bytes=io.MAX_FILE_BYTES)
-    return io.by_name(files).select("name", "length", "md5", io.size_reason().alias("reason"))
+def _page_files(spark: SparkSession, pages: DataFrame, purpose: str) -> DataFrame:
+    """The pages written as one text file each, and the inventory of these files, named by page."""
+    path = scratch_path(spark, purpose)
+    pages.select("page_id", "html").write.partitionBy("page_id").text(path)
+    page = F.regexp_extract("path", r"page_id=([0-9]+)/", 1)
+    return io.file_inventory(spark, path, recursive=True, hashed=True).withColumn("name", F.concat(F.lit("page_"), page))
 
 
-def copy_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One file per page; the copy lacks the pages with a fragment and has altered those without TLS."""
-    url, html = F.col("url"), F.col("html")
+def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files on disk with lengths and hashes; the size guard refuses those beyond its bounds and hashes them all the same."""
+    files = _page_files(spark, table(spark, sf_dir, "pages"), "pages")
+    reason = io.size_reason(min_bytes=500, max_bytes=1500)
+    return io.by_name(files).select("name", "length", "md5", reason.alias("reason"))
 
-    def inventory(pages: DataFrame, content) -> DataFrame:
-        name = F.concat(F.lit("page_"), F.col("page_id").cast("string"), F.lit(".html"))
-        return pages.select(
-            name.alias("name"), F.octet_length(content).cast("bigint").alias("length"), F.md5(content).alias("md5")
-        )
 
+def copy_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two folders of files: the copy lacks the pages with a fragment and has altered those without TLS, length kept."""
     pages = table(spark, sf_dir, "pages")
-    altered = F.when(F.startswith(url, F.lit("http:")), F.upper(html)).otherwise(html)
-    copied = pages.where(~F.contains(url, F.lit("#")))
-    return reconcile_files(inventory(pages, html), inventory(copied, altered))
+    altered = F.when(F.startswith("url", F.lit("http:")), F.concat(F.lit("#"), F.substring("html", 2, 1 << 30))).otherwise(F.col("html"))
+    copied = pages.where(~F.contains("url", F.lit("#"))).withColumn("html", altered)
+    return reconcile_files(_page_files(spark, pages, "pages"), _page_files(spark, copied, "copy"))
 
 
 QUERIES = {
     "csv_roundtrip": (csv_roundtrip, "SELECT * FROM customer"),
+    "csv_documents": (
+        csv_documents,
+        """SELECT *, CASE doc_id % 7 WHEN 1 THEN '' WHEN 2 THEN ' "two", lines' || chr(13) || chr(10) || 'of, '
+        WHEN 3 THEN 'plain' WHEN 4 THEN 'ends in "' WHEN 5 THEN chr(92) WHEN 6 THEN chr(9) || '|' END AS sample FROM documents""",
+    ),
     "csv_inferred": (csv_inferred, "SELECT * FROM part"),
     "delimited_scan": (delimited_scan, "SELECT * FROM supplier"),
     "text_lines": (
         text_lines,
         """SELECT CAST(length(line) AS INTEGER) AS n_chars, count(*) AS line_count
         FROM (SELECT unnest(string_split_regex(text, '\\r\\n|\\n|\\r')) AS line FROM documents)
-        WHERE line <> '' GROUP BY 1""",
+        GROUP BY 1""",
     ),
     "split_scan": (split_scan, "SELECT *, 'orders_' || o_orderstatus AS piece FROM orders"),
     "first_table": (first_table, "SELECT * FROM orders WHERE o_orderstatus = 'F'"),
@@ -139,17 +162,23 @@ QUERIES = {
         log_summary,
         """SELECT CASE event_type WHEN 'error' THEN 'failed' WHEN 'view' THEN 'started' ELSE 'succeeded' END AS status,
         count(*) AS runs, date_trunc('second', min(ts)) AS first_ts, date_trunc('second', max(ts)) AS last_ts
-        FROM events GROUP BY 1""",
+        FROM events GROUP BY 1
+        UNION ALL SELECT 'unparsed', 2 * count(*), NULL, NULL FROM events WHERE event_type = 'error'""",
     ),
     "run_log": (
         log_append,
         """SELECT count(*) AS total, count(*) FILTER (WHERE o_orderstatus = 'F') AS successful,
         count(*) FILTER (WHERE o_orderstatus <> 'F') AS failed FROM orders""",
     ),
-    "file_inventory": (file_inventory, None),
+    "file_inventory": (
+        file_inventory,
+        """SELECT 'page_' || CAST(page_id AS VARCHAR) AS name, CAST(strlen(html) + 1 AS BIGINT) AS length,
+        md5(html || chr(10)) AS md5,
+        CASE WHEN strlen(html) + 1 < 500 THEN 'too small' WHEN strlen(html) + 1 > 1500 THEN 'too large' END AS reason FROM pages""",
+    ),
     "copy_reconcile": (
         copy_reconcile,
-        """SELECT 'page_' || CAST(page_id AS VARCHAR) || '.html' AS name, CAST(1 AS BIGINT) AS left_rows,
+        """SELECT 'page_' || CAST(page_id AS VARCHAR) AS name, CAST(1 AS BIGINT) AS left_rows,
         CAST(NOT contains(url, '#') AS BIGINT) AS right_rows,
         CASE WHEN contains(url, '#') THEN 'only_left' WHEN starts_with(url, 'http:') THEN 'changed' ELSE 'equal' END
         AS status FROM pages""",

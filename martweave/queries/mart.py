@@ -137,14 +137,18 @@ def staged_by_config(spark: SparkSession, sf_dir: str) -> DataFrame:
         write_table(table(spark, sf_dir, name), roots["incremental"], name)
     for name in ("customer", "part", "supplier", "region"):
         write_table(table(spark, sf_dir, name), roots["full"], name)
-    edges = {"orders": ["customer"], "lineitem": ["part", "supplier", "customer"], "events": []}
+    # Orders are a fact of their own and what lines refer to, so they are staged in both modes.
+    write_table(table(spark, sf_dir, "orders"), roots["full"], "orders")
+    edges = {"orders": ["customer"], "lineitem": ["part", "supplier", "orders"], "events": []}
     entries = spark.createDataFrame([(f, [(d,) for d in dims]) for f, dims in edges.items()], ENTRY_SCHEMA)
     requested = spark.createDataFrame([("orders",), ("lineitem",)], "source_table string")
 
     staging, root = scratch_path(spark, "staging"), scratch_path(spark, "mart")
     staged = stage_by_config(spark, requested, entries, roots, staging, new_run_id(), f"{root}/log")
-    release = run_staged(spark, staged, staging, lambda tables: publish_release(spark, root, tables))
-    log = spark.read.parquet(f"{root}/log").select(F.col("name").alias("table_name"), "status")
+    release = run_staged(
+        spark, staged, staging, lambda tables: publish_release(spark, root, {f"{mode}_{name}": df for (mode, name), df in tables.items()})
+    )
+    log = spark.read.parquet(f"{root}/log").select(F.concat_ws("_", "mode", "name").alias("table_name"), "status")
     return release.join(log, "table_name").select("table_name", "status", "row_count")
 
 
@@ -270,7 +274,7 @@ QUERIES = {
     ),
     "replace_dim": (
         replace_dim,
-        "SELECT c_custkey, upper(c_name) AS c_name, c_mktsegment FROM customer WHERE c_acctbal >= 0",
+        "SELECT * REPLACE (upper(c_name) AS c_name) FROM customer WHERE c_acctbal >= 0",
     ),
     "append_fact": (
         append_fact,
@@ -289,8 +293,9 @@ QUERIES = {
     "staged_by_config": (
         staged_by_config,
         " UNION ALL ".join(
-            f"SELECT '{name}' AS table_name, 'staged' AS status, count(*) AS row_count FROM {name}"
-            for name in ("orders", "lineitem", "customer", "part", "supplier")
+            f"SELECT '{mode}_{name}' AS table_name, 'staged' AS status, count(*) AS row_count FROM {name}"
+            for mode, names in (("incremental", ("orders", "lineitem")), ("full", ("customer", "part", "supplier", "orders")))
+            for name in names
         ),
     ),
     "split_extract": (

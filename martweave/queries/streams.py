@@ -11,6 +11,9 @@ from martweave.sources.files import append_partitioned
 from martweave.streaming import arrivals as st
 
 
+_NAMES_PER_BUCKET = 100_000
+
+
 def _land(spark: SparkSession, df: DataFrame, purpose: str) -> str:
     path = scratch_path(spark, purpose)
     df.write.parquet(path)
@@ -29,15 +32,14 @@ def stream_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_no_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same jobs delivered twice under other file names count once."""
+    """The same jobs delivered again under other file names count once, however late a job first arrives."""
     incoming = jobs(spark, sf_dir)
     landed = _land(spark, incoming, "landing")
     incoming.write.mode("append").parquet(landed)
     out, checkpoint = scratch_path(spark, "arrived"), scratch_path(spark, "checkpoint")
-    arrived = st.watch_folder(spark, landed, incoming.schema).drop("source_file")
-    unique = st.drop_repeats(arrived, ["event_id"], "ts", "60 days")
-    st.drain_to_table(unique, out, checkpoint).awaitTermination()
-    return spark.read.parquet(out).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    arrived = st.watch_folder(spark, landed, incoming.schema, files_per_trigger=1).drop("source_file")
+    st.drain_new(arrived, out, checkpoint, ["event_id"], ["ts"]).awaitTermination()
+    return spark.read.parquet(out).drop("batch")
 
 
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +56,8 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_stage_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last stage of each user's work. The table starts with the first entries, the stream brings all."""
     log = jobs(spark, sf_dir).select(F.concat(F.lit("job_"), F.col("user_id").cast("string")).alias("name"), "ts", "stage")
-    log = log.withColumn("bucket", F.pmod(F.xxhash64("name"), F.lit(4)).cast("int"))
+    buckets = max(4, log.select("name").distinct().count() // _NAMES_PER_BUCKET)
+    log = log.withColumn("bucket", F.pmod(F.xxhash64("name"), F.lit(buckets)).cast("int"))
     first = log.groupBy("name").agg(F.min(F.struct("ts", "stage", "bucket")).alias("entry")).select("name", "entry.*")
     path = scratch_path(spark, "stages")
     append_partitioned(first, path, ["bucket"])

@@ -11,16 +11,19 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession
 
 CLUSTER_PARTITIONS = 20_000
+_INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _local_scratch: dict[str, str] = {}
 _scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
 
 
-def build_session(app_name: str = "martweave", master: str | None = None, **conf: str) -> SparkSession:
+def build_session(
+    app_name: str = "martweave", master: str | None = None, cluster_partitions: int = CLUSTER_PARTITIONS, **conf: str
+) -> SparkSession:
     """Session with the settings the operators assume.
 
     Adaptive execution joins small shuffle partitions and splits hot ones, so on a cluster
-    shuffles start with many partitions. Stream state goes to disk instead of the heap.
+    shuffles start with ``cluster_partitions`` unless the session says otherwise. Stream state goes to disk instead of the heap.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -32,11 +35,13 @@ def build_session(app_name: str = "martweave", master: str | None = None, **conf
     )
     if master:
         builder = builder.master(master)
-    if master and not master.startswith("local"):
-        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", CLUSTER_PARTITIONS)
     for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    # Under spark-submit only the running session knows its master.
+    if not session.sparkContext.master.startswith("local") and session.conf.get(_INITIAL_PARTITIONS, None) is None:
+        session.conf.set(_INITIAL_PARTITIONS, str(cluster_partitions))
+    return session
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -48,7 +53,7 @@ def scratch_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not (spark.conf.get("spark.master", None) or "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     app = spark.conf.get("spark.app.id", "local")
     if app not in _local_scratch:
@@ -81,10 +86,16 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
             delete_path(spark, path)
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    """Remove a directory through the file system Spark reads it with."""
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Remove a directory through the file system Spark reads it with; whether there was one."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything is at ``path``, asked of the file system Spark reads it with."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
 
 
 def parked(df: DataFrame, purpose: str) -> DataFrame:

@@ -57,7 +57,7 @@ def read_split_extract(spark: SparkSession, pattern: str) -> dict[str, dict[str,
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
     folder = F.regexp_extract("path", r"^(.*)/[^/]+$", 1)
-    found = files.load(pattern).select(F.url_decode(folder).alias("folder")).distinct().orderBy("folder").collect()
+    found = files.load(pattern).select(folder.alias("folder")).distinct().orderBy("folder").collect()
     pieces: dict[str, dict[str, DataFrame]] = {}
     for row in found:
         piece, _schema, table = row["folder"].rsplit("/", 3)[1:]

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from martweave.functions.scalars import path_name, quoted
 from martweave.operators.ordering import chunk_ids
@@ -15,11 +16,20 @@ from martweave.session import scratch_scope
 # Fixed values.
 MIN_FILE_BYTES = 10
 MAX_FILE_BYTES = 10 * 1024 * 1024
+_NO_SUCH_TEXT = "\u0001never-a-value-5d1c0e5e\u0001"
+_MAX_ROW_BYTES = (1 << 31) - 64
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: StructType | str | None = None) -> DataFrame:
-    """CSV with a header. Without ``schema`` the types are inferred, at the price of a second pass."""
-    reader = spark.read.option("header", True)
+def read_csv(
+    spark: SparkSession, path: str | list[str], schema: StructType | str | None = None, multi_line: bool = False
+) -> DataFrame:
+    """CSV with a header and doubled quotes. Without ``schema`` the types are inferred, at the price of a second pass.
+
+    ``multi_line`` reads line breaks inside quotes; a file is then read by one task.
+    """
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    # Only what is not quoted is NULL; this text merely must not occur, or a quoted empty text would be NULL too.
+    reader = reader.option("nullValue", _NO_SUCH_TEXT)
     return reader.csv(path, inferSchema=True) if schema is None else reader.schema(schema).csv(path)
 
 
@@ -34,12 +44,24 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV part files with a header line each; no index column."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """CSV part files with a header line each; no index column.
+
+    Any text survives: quotes are doubled, blanks at the ends stay, an empty text is quoted and
+    NULL is not. Texts with line breaks need ``multi_line`` when read; so that such reading stays
+    parallel, bound the files with ``spark.sql.files.maxRecordsPerFile``.
+    """
+    writer = df.write.mode(mode).option("header", True).option("escape", '"')
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    writer.csv(path)
 
 
 def write_delimited(df: DataFrame, path: str, separator: str = ",") -> None:
-    """Text rows without header or quoting."""
+    """Text rows without header or quoting; raises when a text holds a separator or a line break."""
+    unsafe = "|".join(re.escape(c) for c in (separator, "\n", "\r"))
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    for name in texts:
+        refused = F.raise_error(F.concat(F.lit(f"a value of '{name}' holds a separator or a line break: "), quoted(name)))
+        df = df.withColumn(name, F.when(quoted(name).rlike(unsafe), refused.cast("string")).otherwise(quoted(name)))
     # The NUL quote character is Spark's way to switch quoting off when writing.
     df.write.option("sep", separator).option("quote", "\u0000").option("emptyValue", "").csv(path)
 
@@ -92,18 +114,18 @@ def rows_per_file(df: DataFrame) -> DataFrame:
     return df.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("file_rows"))
 
 
-def file_inventory(spark: SparkSession, path: str, recursive: bool = False, max_hash_bytes: int | None = None) -> DataFrame:
+def file_inventory(spark: SparkSession, path: str, recursive: bool = False, hashed: bool = False) -> DataFrame:
     """Files below ``path``: path, name, modification time and length.
 
-    ``max_hash_bytes`` adds ``md5`` for files up to that size (NULL above). Only then are
-    contents read at all, and one file must fit in one row; larger data is verified as tables.
+    ``hashed`` adds ``md5``; only then are contents read at all. Spark reads a file as one row, so
+    the hash is NULL beyond 2 GB; larger data is verified as tables. The hash does not depend on ``size_reason``.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(path)
     listed = files.select("path", path_name("path").alias("name"), "modificationTime", "length")
-    if max_hash_bytes is None:
+    if not hashed:
         return listed
-    hashed = files.where(F.col("length") <= max_hash_bytes).select("path", F.md5("content").alias("md5"))
-    return listed.join(hashed, "path", "left")
+    readable = files.where(F.col("length") < _MAX_ROW_BYTES).select("path", F.md5("content").alias("md5"))
+    return listed.join(readable, "path", "left")
 
 
 def size_reason(

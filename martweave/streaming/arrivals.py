@@ -7,11 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
-from martweave.functions.scalars import path_name, priority_class
+from martweave.functions.scalars import path_name, priority_class, quoted
 from martweave.operators.actions import latest_per_key
-from martweave.plans.partitions import upsert_partitions
+from martweave.plans.partitions import MAX_DYNAMIC_PARTITIONS, upsert_partitions
+from martweave.session import path_exists
 
 
 def watch_folder(
@@ -43,13 +44,32 @@ def tag_priority(arrivals: DataFrame, name: str = "name", loose: bool = False) -
     return arrivals.withColumn("priority", priority_class(name, loose))
 
 
-def drop_repeats(arrivals: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
-    """Drop arrivals whose key came before, forgetting keys ``delay`` after they were seen.
+def drain_new(arrivals: DataFrame, path: str, checkpoint: str, keys: Sequence[str], first_by: Sequence[str]) -> StreamingQuery:
+    """Append arrivals whose key was not delivered before, and stop; late ones count like others.
 
-    Zone-free times are cast, since watermarks need instants.
+    Of several rows with one key in a batch the first by ``first_by`` counts. Each batch writes its own
+    directory ``batch=N`` below ``path``, so running it again after a failure replaces what it
+    wrote. Delivered keys are read from there, key columns only, and never forgotten.
     """
-    timed = arrivals.withColumn(event_time, F.col(event_time).cast("timestamp"))
-    return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+    keys = list(keys)
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rest = [c for c in batch.columns if c not in keys]
+        order = [*first_by, *(c for c in rest if c not in first_by)]
+        first = batch.groupBy(*map(quoted, keys)).agg(F.min(F.struct(*map(quoted, order))).alias("_first"))
+        rows = first.select(*[(quoted(c) if c in keys else F.col("_first").getField(c)).alias(c) for c in batch.columns])
+        if path_exists(spark, path):
+            delivered = spark.read.schema(StructType([*batch.schema.fields, StructField("batch", LongType())])).parquet(path).where(F.col("batch") < batch_id)
+            rows = rows.join(delivered.select(*map(quoted, keys)).distinct(), keys, "left_anti").select(*map(quoted, batch.columns))
+        rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
+
+    return (
+        arrivals.writeStream.foreachBatch(apply)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
 
 
 def drain_to_table(arrivals: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -70,14 +90,28 @@ def drain_to_upserts(
     keys: Sequence[str],
     partition_by: Sequence[str],
     latest_by: Sequence[str] = (),
+    rows_move: bool = True,
 ) -> StreamingQuery:
     """Upsert everything that has arrived into a partitioned table, and stop.
 
     A batch that runs again after a failure meets its own rows by key and leaves the same table.
+    With ``latest_by`` an older row that arrives late does not undo a newer stored one.
+    ``rows_move=False`` promises that a key stays in its partition, so that only the partitions
+    of the batch are searched.
     """
 
     def apply(batch: DataFrame, _batch_id: int) -> None:
-        upsert_partitions(batch.sparkSession, path, batch, keys, partition_by, latest_by=latest_by)
+        spark = batch.sparkSession
+        rows = batch
+        if latest_by:
+            newest = latest_per_key(batch, keys, latest_by)
+            stored = spark.read.schema(batch.schema).parquet(path)
+            if not rows_move:
+                places = newest.select(*map(quoted, partition_by)).distinct()
+                stored = stored.join(F.broadcast(places) if places.count() < MAX_DYNAMIC_PARTITIONS else places, list(partition_by), "left_semi")
+            known = stored.join(newest.select(*map(quoted, keys)), list(keys), "left_semi").select(*map(quoted, batch.columns))
+            rows = newest.unionByName(known)
+        upsert_partitions(spark, path, rows, keys, partition_by, latest_by=latest_by, rows_move=rows_move)
 
     return (
         arrivals.writeStream.foreachBatch(apply)

@@ -167,7 +167,9 @@ def test_append_and_replace(spark):
     target = spark.createDataFrame([(1, "a")], "k int, v string")
     source = spark.createDataFrame([(2, 9)], "K int, w int")
     assert rows(actions.append(target, source)) == [(1, "a", None), (2, None, 9)]
-    assert rows(actions.replace(target, source)) == [(2, None)]
+    assert rows(actions.replace(target, source)) == [(2, 9)]
+    assert rows(actions.replace(target, source, keep_schema=True)) == [(2, None)]
+    assert rows(actions.upsert(target, source.withColumnRenamed("K", "k"), ["k"])) == [(1, "a", None), (2, None, 9)]
     assert rows(actions.replace(None, source)) == [(2, 9)]
 
 
@@ -436,7 +438,7 @@ def test_run_log_parsing(spark):
         "value string",
     )
     summary = {r["status"]: r["runs"] for r in backlog.run_summary(lines).collect()}
-    assert summary == {"started": 1, "succeeded": 1, "failed": 1}
+    assert summary == {"started": 1, "succeeded": 1, "failed": 1, "unparsed": 1}
 
 
 def test_paths(spark):

@@ -46,9 +46,31 @@ def test_repeats_across_files(spark, tmp_path):
     inbox = f"{tmp_path}/inbox"
     land(spark, inbox, [("a", AT, "extract"), ("b", AT, "extract")])
     land(spark, inbox, [("a", AT, "extract"), ("c", AT, "extract")])
-    stream = st.drop_repeats(st.watch_folder(spark, inbox, SCHEMA), ["name"], "ts", "1 day")
-    st.drain_to_table(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint").awaitTermination()
-    assert rows(spark.read.parquet(f"{tmp_path}/out").select("name")) == [("a",), ("b",), ("c",)]
+    late = dt.datetime(2001, 1, 1)
+    land(spark, inbox, [("late", late, "extract"), ("b", late, "publish")])
+
+    def drain():
+        stream = st.watch_folder(spark, inbox, SCHEMA, files_per_trigger=1).drop("source_file")
+        st.drain_new(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint", ["name"], ["ts"]).awaitTermination()
+        return rows(spark.read.parquet(f"{tmp_path}/out").select("name"))
+
+    assert drain() == [("a",), ("b",), ("c",), ("late",)]
+    land(spark, inbox, [("d", late, "extract"), ("late", AT, "extract")])
+    assert drain() == [("a",), ("b",), ("c",), ("d",), ("late",)]
+
+
+def test_a_late_older_row_does_not_undo_a_newer_one(spark, tmp_path):
+    path, inbox = f"{tmp_path}/table", f"{tmp_path}/inbox"
+    schema = "k int, version int, p int"
+    files.append_partitioned(spark.createDataFrame([(1, 5, 1), (2, 5, 2)], schema), path, ["p"])
+    for version, checkpoint in ((4, "a"), (6, "b")):
+        land(spark, f"{inbox}{version}", [(1, version, 1), (3, version, 1)], schema)
+        for rows_move in (True, False):
+            stream = st.watch_folder(spark, f"{inbox}{version}", schema).drop("source_file")
+            st.drain_to_upserts(
+                stream, path, f"{tmp_path}/{checkpoint}{rows_move}", ["k"], ["p"], latest_by=["version"], rows_move=rows_move
+            ).awaitTermination()
+        assert rows(spark.read.parquet(path)) == [(1, max(5, version), 1), (2, 5, 2), (3, version, 1)]
 
 
 def test_upserts_converge_on_replay(spark, tmp_path):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from martweave.functions.scalars import quoted
 from martweave.model import ForeignKey, TableSpec
-from martweave.operators.actions import has_key
+from martweave.operators.actions import has_key, repeated_keys
 
 
 def with_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -57,14 +57,20 @@ class CheckedKeys:
         )
 
 
-def check_keys(df: DataFrame, spec: TableSpec, dimensions: dict[str, DataFrame]) -> CheckedKeys:
-    """Check the primary key for NULLs and each foreign key against its dimension.
+def check_keys(df: DataFrame, spec: TableSpec, dimensions: dict[str, DataFrame], unique: bool = False) -> CheckedKeys:
+    """Check the primary key for NULLs, with ``unique`` also for repeats, and each foreign key against its dimension.
+
+    All rows of a repeated key fail, since none of them is known to be the right one.
 
     One left join per foreign key marks the rows; Spark turns it into an inner join where only
     accepted rows are asked for. Dimension keys are distinct, hence no row is multiplied.
     """
     checks = [("primary key is null", has_key(spec.primary_key))]
     marked = df
+    if unique:
+        repeats = repeated_keys(df, spec.primary_key).select(*[quoted(k) for k in spec.primary_key], F.lit(True).alias("_repeats"))
+        marked = marked.join(repeats, list(spec.primary_key), "left")
+        checks.append(("primary key repeats", F.col("_repeats").isNull()))
     for position, fk in enumerate(spec.foreign_keys):
         flag = f"_fk_{position}"
         known = _referenced(dimensions[fk.references], fk).withColumn(flag, F.lit(True))
@@ -86,6 +92,11 @@ def assert_not_null(df: DataFrame, columns: Sequence[str]) -> None:
         raise ValueError(f"NULLs in non-nullable columns: {empty}")
 
 
+def lost_keys(before: DataFrame, after: DataFrame, fk: ForeignKey) -> DataFrame:
+    """Keys that left a dimension, under the names the fact uses."""
+    return _referenced(before, fk).join(_referenced(after, fk), list(fk.columns), "left_anti")
+
+
 def _referenced(dimension: DataFrame, fk: ForeignKey) -> DataFrame:
     """The dimension's distinct keys under the names the fact uses.
 

@@ -34,8 +34,8 @@ def merge_extracts(
 ) -> MergeResult:
     """Merge the pieces of every table in ``specs``.
 
-    Rows without a primary key are refused, and fact rows also when a foreign key finds no
-    dimension row. Dimensions are merged first, so facts are checked against accepted rows.
+    Rows without a primary key are refused, dimension rows also when their key repeats (a repeated
+    fact key stops the upsert instead), and fact rows when a foreign key finds no dimension row. Dimensions are merged first, so facts are checked against accepted rows.
     Schema problems raise here, before anything runs. ``park_facts`` runs the joins of each fact
     once and keeps their outcome in scratch, for callers that use both results or use one often.
     """
@@ -54,7 +54,7 @@ def merge_extracts(
         pieces = inputs[spec.name]
         schema = spec.schema or pieces[0].schema
         schemas[spec.name] = output_schema(schema, spec)
-        checked = check_keys(combine(pieces, schema), spec, tables)
+        checked = check_keys(combine(pieces, schema), spec, tables, unique=spec.kind == DIMENSION)
         if park_facts and spec.foreign_keys:
             checked = replace(checked, marked=parked(checked.marked, "merged-fact"))
         tables[spec.name] = checked.accepted()

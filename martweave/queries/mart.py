@@ -185,6 +185,23 @@ def mart_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accepted.unionByName(rejected.withColumn("reject_reasons", F.concat_ws(", ", "reject_reasons")))
 
 
+def mart_key_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a refresh publishes and refuses when the snapshot repeats some customers and lacks others."""
+    root = scratch_path(spark, "mart")
+    specs = [TableSpec("customer", ("c_custkey",)), TableSpec("orders", ("o_orderkey",), (CUSTOMER_FK,), FACT)]
+    refresh_mart(spark, root, specs, {"customer": [table(spark, sf_dir, "customer")], "orders": [stored_orders(spark, sf_dir)]})
+    good = good_customers(spark, sf_dir)
+    arriving = {"customer": [good, good.where("c_custkey % 50 = 0")], "orders": [arriving_orders(spark, sf_dir)]}
+    rejects = refresh_mart(spark, root, specs, arriving).rejects
+    result = None
+    for name, key in (("customer", "c_custkey"), ("orders", "o_orderkey")):
+        published = read_published(spark, root, name).select(F.lit(name).alias("table_name"), F.col(key).alias("key"), F.lit("").alias("reason"))
+        refused = rejects[name].select(F.lit(name).alias("table_name"), F.col(key).alias("key"), F.concat_ws(", ", "reject_reasons").alias("reason"))
+        both = published.unionByName(refused)
+        result = both if result is None else result.unionByName(both)
+    return result
+
+
 def _merged(spark: SparkSession, sf_dir: str) -> MergeResult:
     """Three order extracts that differ in columns, column case and missing keys, and one dimension."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "o_orderstatus")
@@ -308,9 +325,22 @@ QUERIES = {
         f"""WITH arriving AS (SELECT *, o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0) AS known
             FROM ({ARRIVING_ORDERS}))
         SELECT * EXCLUDE (known), CASE WHEN known THEN '' ELSE 'no match in customer' END AS reject_reasons FROM arriving
-        UNION ALL SELECT *, '' FROM ({STORED_ORDERS}) s WHERE o_orderdate >= TIMESTAMP '1996-01-01'
+        UNION ALL SELECT *, CASE WHEN o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0) THEN ''
+            ELSE 'no match in customer' END
+        FROM ({STORED_ORDERS}) s WHERE o_orderdate >= TIMESTAMP '1996-01-01'
             AND NOT EXISTS (SELECT 1 FROM arriving a WHERE known AND a.o_orderkey = s.o_orderkey)""",
     ),
+    "mart_key_rules": (
+        mart_key_rules,
+        f"""WITH good AS (SELECT c_custkey FROM customer WHERE c_acctbal >= 0),
+        kept AS (SELECT c_custkey FROM good WHERE c_custkey % 50 <> 0),
+        arriving AS (SELECT o_orderkey, o_custkey IN (SELECT c_custkey FROM kept) AS known FROM ({ARRIVING_ORDERS}))
+        SELECT 'customer' AS table_name, c_custkey AS "key", '' AS reason FROM kept
+        UNION ALL SELECT 'customer', c_custkey, 'primary key repeats' FROM good, range(2) WHERE c_custkey % 50 = 0
+        UNION ALL SELECT 'orders', o_orderkey, CASE WHEN known THEN '' ELSE 'no match in customer' END FROM arriving
+        UNION ALL SELECT 'orders', o_orderkey, CASE WHEN o_custkey IN (SELECT c_custkey FROM kept) THEN '' ELSE 'no match in customer' END
+        FROM ({STORED_ORDERS}) s WHERE NOT EXISTS (SELECT 1 FROM arriving a WHERE known AND a.o_orderkey = s.o_orderkey)""",
+    ),
     "merge_extracts": (
         merged_orders,
         f"""{_MERGE_INPUT} SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM checked

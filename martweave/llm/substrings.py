@@ -123,7 +123,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     anywhere else in ``docs``, the same text and further copies of it included.
     """
     counted = _stretch_rows(docs, window, False).groupBy("gram", "path").agg(F.count(F.lit(1)).alias("copies"))
-    counted = parked(counted, "stretches")
+    # Used twice below; Spark reuses its shuffle, so the stretches are neither made nor stored twice.
     shared = counted.groupBy("gram").agg(F.count(F.lit(1)).alias("paths"), F.sum("copies").alias("total")).where("total > 1").select("gram", "paths")
     # Stretches alone with their gram drop out here: most of any corpus.
     candidates = counted.join(shared, "gram").select("gram", "path", "copies", (F.col("paths") > 1).alias("mixed"))

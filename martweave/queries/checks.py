@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from martweave.operators import keys, verify
 from martweave.operators.schema_diff import schema_diff, schema_diff_by_table
-from martweave.queries.inputs import TABLES, good_customers, moment, table
+from martweave.queries.inputs import TABLES, checksum_sql, good_customers, moment, table
 from martweave.queries.mart import CUSTOMER_FK
 from martweave.sources.extracts import profile_columns
 
@@ -186,7 +186,6 @@ def _listed_sql(status: str, name: str) -> str:
 
 
 _CHECKED = "l_orderkey l_partkey l_suppkey l_linenumber l_returnflag l_linestatus".split()
-_PRINTED = " || ".join(f"coalesce(length({c}::VARCHAR) || ':' || {c}::VARCHAR, 'N:')" for c in _CHECKED)
 
 QUERIES = {
     "pk_filter": (pk_filter, f"SELECT * FROM ({_ORDERS_WITH_GAPS}) WHERE o_custkey IS NOT NULL"),
@@ -202,8 +201,7 @@ QUERIES = {
     ),
     "table_checksum": (
         table_checksum,
-        f"""SELECT count(*) AS row_count, CAST(sum(CAST('0x' || substr(md5({_PRINTED}), 1, 8) AS BIGINT)) AS VARCHAR) AS checksum
-        FROM lineitem""",
+        f"SELECT count(*) AS row_count, {checksum_sql(_CHECKED)} AS checksum FROM lineitem",
     ),
     "copies_agree": (
         copies_agree,

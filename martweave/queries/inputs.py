@@ -70,3 +70,9 @@ JOBS = """SELECT event_id, user_id,
     FROM events"""
 RANKED_JOBS = f"""SELECT *, CASE WHEN contains(name, 'DLE') THEN 1 WHEN contains(name, '_MR_') THEN 2 ELSE 3 END
     AS priority FROM ({JOBS})"""
+
+
+def checksum_sql(columns) -> str:
+    """SQL of ``verify.portable_checksum`` over the same columns, as text."""
+    printed = " || ".join(f"coalesce(length({c}::VARCHAR) || ':' || {c}::VARCHAR, 'N:')" for c in columns)
+    return f"CAST(sum(CAST('0x' || substr(md5({printed}), 1, 8) AS BIGINT)) AS VARCHAR)"

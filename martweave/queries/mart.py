@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martweave.functions.scalars import days_before
 from martweave.model import FACT, ForeignKey, TableAction, TableSpec
-from martweave.operators import actions
+from martweave.operators import actions, verify
 from martweave.operators.keys import fk_valid, with_key
 from martweave.plans.mart import refresh_mart
 from martweave.plans.merge import MergeResult, merge_extracts
@@ -15,6 +17,7 @@ from martweave.plans.partitions import delete_from_partitions, upsert_partitions
 from martweave.plans.publish import apply_actions, apply_pieces, new_run_id, publish_release, read_published
 from martweave.plans.staging import run_staged, stage_by_config
 from martweave.queries.inputs import (
+    checksum_sql,
     ARRIVING_ORDERS,
     AS_OF,
     STORED_ORDERS,
@@ -101,21 +104,26 @@ def _star_actions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return apply_actions(targets, sources, steps)
 
 
-_STAR_KEYS = {"customer": "c_custkey", "nation": "n_nationkey", "orders": "o_orderkey", "supplier": "s_suppkey"}
+#: Columns that tell rows apart and print alike everywhere; the status tells an arrived order from a stored one.
+_STAR_COLUMNS = {
+    "customer": ("c_custkey", "c_name", "c_mktsegment"),
+    "nation": ("n_nationkey", "n_name"),
+    "orders": ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"),
+    "supplier": ("s_suppkey", "s_name"),
+}
 
 
-def _key_totals(tables: dict[str, DataFrame]) -> DataFrame:
-    totals = None
-    for name, df in tables.items():
-        key = F.col(_STAR_KEYS[name]).cast("bigint")
-        one = df.agg(F.count(F.lit(1)).alias("row_count"), F.sum(key).alias("key_sum"))
-        one = one.select(F.lit(name).alias("table_name"), "row_count", "key_sum")
-        totals = one if totals is None else totals.unionByName(one)
-    return totals
+def _totals(tables: dict[str, DataFrame]) -> DataFrame:
+    """Count and content checksum of each table."""
+    each = [
+        verify.portable_checksum(df, _STAR_COLUMNS[name]).select(F.lit(name).alias("table_name"), "row_count", F.col("checksum").cast("string").alias("checksum"))
+        for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, each)
 
 
 def action_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _key_totals(_star_actions(spark, sf_dir))
+    return _totals(_star_actions(spark, sf_dir))
 
 
 def staged_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,7 +135,7 @@ def staged_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     changed = _star_actions(spark, sf_dir)
     del changed["supplier"]
     publish_release(spark, root, changed, partition_by=by_status)
-    return _key_totals({name: read_published(spark, root, name) for name in _STAR_KEYS})
+    return _totals({name: read_published(spark, root, name) for name in _STAR_COLUMNS})
 
 
 def staged_by_config(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,7 +174,7 @@ def split_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
         write_table(orders.where(of_orders), f"{root}/{piece}", "orders")
         write_table(customer.where(of_customer), f"{root}/{piece}", "customer")
     stored = {"orders": stored_orders(spark, sf_dir), "customer": good_customers(spark, sf_dir)}
-    return _key_totals(apply_pieces(stored, read_split_extract(spark, f"{root}/mart_*")))
+    return _totals(apply_pieces(stored, read_split_extract(spark, f"{root}/mart_*")))
 
 
 def mart_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,13 +262,16 @@ _MERGE_INPUT = """WITH pieces AS (
     good AS (SELECT c_custkey FROM customer WHERE c_acctbal >= 0),
     checked AS (SELECT p.*, c_custkey IS NOT NULL AS known FROM pieces p LEFT JOIN good ON o_custkey = c_custkey)"""
 
+def _total_sql(name: str, rows: str) -> str:
+    return f"""SELECT '{name}' AS table_name, count(*) AS row_count, {checksum_sql(_STAR_COLUMNS[name])} AS checksum FROM {rows}"""
+
+
 _STAR_TOTALS = f"""WITH arriving AS ({ARRIVING_ORDERS}),
-    kept AS (SELECT o_orderkey FROM ({STORED_ORDERS}) s WHERE o_orderdate >= TIMESTAMP '1996-01-01'
+    kept AS (SELECT * FROM ({STORED_ORDERS}) s WHERE o_orderdate >= TIMESTAMP '1996-01-01'
         AND NOT EXISTS (SELECT 1 FROM arriving a WHERE a.o_orderkey = s.o_orderkey)
-        UNION ALL SELECT o_orderkey FROM arriving)
-    SELECT 'orders' AS table_name, count(*) AS row_count, CAST(sum(o_orderkey) AS BIGINT) AS key_sum FROM kept
-    UNION ALL SELECT 'customer', count(*), CAST(sum(c_custkey) AS BIGINT) FROM customer WHERE c_acctbal >= 0
-    UNION ALL SELECT 'nation', count(*), CAST(sum(n_nationkey) AS BIGINT) FROM nation"""
+        UNION ALL SELECT * FROM arriving)
+    {_total_sql("orders", "kept")} UNION ALL {_total_sql("customer", "customer WHERE c_acctbal >= 0")}
+    UNION ALL {_total_sql("nation", "nation")}"""
 
 QUERIES = {
     "merged_mart": (
@@ -300,12 +311,12 @@ QUERIES = {
     ),
     "action_list": (
         action_list,
-        f"""{_STAR_TOTALS} UNION ALL SELECT 'supplier', count(*), CAST(sum(s_suppkey) AS BIGINT)
-        FROM (SELECT s_suppkey FROM supplier UNION ALL SELECT s_suppkey FROM supplier WHERE s_acctbal < 0)""",
+        f"""{_STAR_TOTALS} UNION ALL
+        {_total_sql("supplier", "(SELECT * FROM supplier UNION ALL SELECT * FROM supplier WHERE s_acctbal < 0)")}""",
     ),
     "staged_publish": (
         staged_publish,
-        f"{_STAR_TOTALS} UNION ALL SELECT 'supplier', count(*), CAST(sum(s_suppkey) AS BIGINT) FROM supplier",
+        f"{_STAR_TOTALS} UNION ALL {_total_sql('supplier', 'supplier')}",
     ),
     "staged_by_config": (
         staged_by_config,
@@ -317,8 +328,7 @@ QUERIES = {
     ),
     "split_extract": (
         split_extract,
-        """SELECT 'orders' AS table_name, count(*) AS row_count, CAST(sum(o_orderkey) AS BIGINT) AS key_sum FROM orders
-        UNION ALL SELECT 'customer', count(*), CAST(sum(c_custkey) AS BIGINT) FROM customer""",
+        f"{_total_sql('orders', 'orders')} UNION ALL {_total_sql('customer', 'customer')}",
     ),
     "mart_refresh": (
         mart_refresh,

@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,9 +26,10 @@ from martweave.session import parked
 SEQUENCE_TOKENS = 2048
 END_ID = 1
 _DIMS, _BITS = 4, 10
-_CACHED_WORDS = 400_000
-#: A full stop or comma that ends a word of ASCII letters is a token piece of its own.
-_STOP = re.compile(rb"(?<=[a-z])[.,](?=[ \n\t\r\x0b\x0c]|$)")
+_CACHED_WORDS = 800_000
+#: Marks that end a word after a letter are token pieces of their own, so words are known without them. Marks
+#: that special tokens or contractions are made of stay where they are.
+_MARKS = re.compile(rb"(?:(?<=[a-z])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))[!#$%&*+,./:;=?@^_~-]+(?=[ \n\t\r\x0b\x0c]|$)")
 _encoders: dict[str, _Encoder] = {}
 
 
@@ -41,19 +43,20 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        narrow = self.tokenizer.get_vocab_size() <= 1 << 16
+        self.dtype, self.code = np.dtype("<u2" if narrow else "<u4"), "H" if narrow else "I"
         self.known: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        words = [_STOP.sub(rb" \g<0>", text.lower()).split() for text in texts]
+        words = [_MARKS.sub(rb" \g<0>", text.lower()).split() for text in texts]
         new = list(set().union(*words).difference(self.known)) if words else []
         if len(self.known) + len(new) > _CACHED_WORDS:
             self.known = {}
             new = list(set().union(*words))
         for a in range(0, len(new), 20_000):
             part = new[a : a + 20_000]
-            found = self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(part, found, strict=True))
+            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
+            self.known.update((w, array(self.code, e.ids).tobytes()) for w, e in zip(part, found, strict=True))
         return [b"".join(map(self.known.__getitem__, own)) for own in words]
 
 
@@ -89,10 +92,11 @@ def hilbert_key(points: np.ndarray, bits: int = _BITS) -> np.ndarray:
 
 
 def curve_keys(ids: np.ndarray, ends: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Hilbert key of each document's mean token vector; documents without tokens lie at the origin."""
-    sizes = np.diff(ends, prepend=0)
-    doc = np.repeat(np.arange(len(ends)), sizes)
-    mean = np.stack([np.bincount(doc, column[ids], minlength=len(ends)) for column in table], axis=1) / np.maximum(sizes, 1)[:, None]
+    """Hilbert key of each document's mean token vector. ``ends`` are where documents end in ``ids``."""
+    if not len(ends):
+        return np.zeros(0, np.int64)
+    # Every document has its end id, so none is empty.
+    mean = np.add.reduceat(table[ids], np.append(0, ends[:-1]), axis=0, dtype=np.float64) / np.diff(ends, prepend=0)[:, None]
     return hilbert_key(np.minimum((np.tanh(4 * mean) + 1) / 2 * (1 << _BITS), (1 << _BITS) - 1))
 
 
@@ -104,7 +108,7 @@ def tokenize(docs: DataFrame, tokenizer_json: str, end_id: int = END_ID) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(spec.value)
         end = np.array([end_id], encoder.dtype).tobytes()
-        table = np.random.default_rng(11).standard_normal((_DIMS, max(encoder.tokenizer.get_vocab_size(), end_id + 1)))
+        table = np.random.default_rng(11).standard_normal((max(encoder.tokenizer.get_vocab_size(), end_id + 1), _DIMS), np.float32)
         for batch in pieces(batches, 1):
             texts = batch.column(1).fill_null("").cast(pa.binary()).to_pylist()
             coded = [own + end for own in encoder.encode(texts)]

@@ -5,9 +5,10 @@ one shingle and a weight level, and two texts agree on a sample as often as thei
 similarity says. Bands of four samples make buckets; what meets in a bucket is verified with the
 weighted Jaccard similarity of the whole texts.
 
-A bucket of m texts does not become m * m pairs. All are compared with its first text. Two texts
-both alike to it are in one class already. For the others, distances to the first bound those
-between each other (the Jaccard distance is a metric), and only pairs within the bound are compared.
+A bucket of m texts does not become m * m rows. All its texts are compared with the first. What that
+links is one class, and a bucket within one class is settled. In the others, texts of different classes
+are compared: pair by pair in small buckets, where distances to the first text bound those between
+each other (the Jaccard distance is a metric), and block by block inside tasks in large ones.
 """
 
 from __future__ import annotations
@@ -32,6 +33,11 @@ BANDS, ROWS = 16, 4
 _IDF_BITS = 20
 _CHUNK_BITS = 14
 _DRAW_BITS = 16
+#: Buckets of up to so many texts are compared pair by pair, larger ones in blocks of about so many.
+_SMALL, _BLOCK = 12, 384
+#: Weight of a block's texts, about three a shingle; long texts make blocks of fewer.
+_BLOCK_WEIGHT = 1_000_000.0
+_COLUMNS = 8192
 #: Shingles in fewer than one text in this many weigh alike, so that copies of a text do not make it light.
 _RARE = 8.0
 
@@ -213,10 +219,98 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _alike(texts: list[str], idf: np.ndarray) -> np.ndarray:
+    """Weighted Jaccard similarity of all texts of a block with each other."""
+    parts, first = [], 0
+    for piece in pieces(iter([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])])):
+        doc, hashes, counts = shingles(split_words(piece.column("text"), ALNUM, True))
+        parts.append((doc + first, hashes, counts))
+        first += piece.num_rows
+    doc, hashes, counts = (np.concatenate(c) for c in zip(*parts, strict=True))
+    weights = idf[_idf_bins(hashes)].astype(float)
+    total = np.bincount(doc, weights * counts, minlength=len(texts))
+    # The n-th occurrence of a shingle is a shingle of its own, so that common weight is a product of matrices.
+    row = np.repeat(np.arange(len(doc)), counts)
+    nth = (np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)).astype(np.uint64)
+    _, column, often = np.unique(mixed(hashes[row] ^ mixed(nth, 71)), return_inverse=True, return_counts=True)
+    shared = often[column] > 1
+    names, column = np.unique(column[shared], return_inverse=True)
+    doc, weights = doc[row][shared], np.sqrt(weights[row][shared])
+    order = np.argsort(column, kind="stable")
+    doc, weights, column = doc[order], weights[order], column[order]
+    common = np.zeros((len(texts), len(texts)))
+    for a in range(0, len(names), _COLUMNS):
+        own = slice(*np.searchsorted(column, [a, a + _COLUMNS]))
+        dense = np.zeros((len(texts), _COLUMNS))
+        dense[doc[own], column[own] - a] = weights[own]
+        common += dense @ dense.T
+    either = total[:, None] + total[None] - common
+    return np.divide(common, either, out=np.zeros_like(common), where=either > 0)
+
+
+def _forest(links: np.ndarray) -> list[tuple[int, int]]:
+    """As few of the links (rows of two) as connect what all of them connect."""
+    parent: dict[int, int] = {}
+
+    def root(i: int) -> int:
+        while parent.setdefault(i, i) != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    kept = []
+    for a, b in links.tolist():
+        x, y = root(a), root(b)
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            kept.append((a, b))
+    return kept
+
+
+def _linked_in_blocks(members: DataFrame, texts: DataFrame, idf: Broadcast, similarity: float) -> DataFrame:
+    """Rows (a, b, sim) that connect the alike members of large buckets, as far as their components differ.
+
+    A bucket is dealt into blocks, and each pair of blocks is compared by one step of a task, which
+    holds these two alone and emits no more links than texts. Pairs never become rows.
+    """
+    n_blocks = F.ceil(F.greatest(F.col("size") / _BLOCK, F.col("mass") / _BLOCK_WEIGHT)).cast("int")
+    dealt = members.withColumn("block", F.pmod(F.xxhash64("vid"), n_blocks).cast("int"))
+    meets = dealt.select("bucket", "vid", "comp", "block", F.explode(F.sequence(F.lit(0), n_blocks - 1)).alias("other"))
+    meets = meets.select("bucket", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "vid", "comp")
+    n_parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = ["bucket", "x", "y"]
+    ordered = meets.join(texts, "vid").repartition(n_parts, *keys).sortWithinPartitions(*keys).select(*keys, "block", "vid", "comp", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+        for batch in batches:
+            columns = [c.to_pylist() for c in batch.columns]
+            for bucket, x, y, *row in zip(*columns, strict=True):
+                if (bucket, x, y) != key:
+                    yield from compare(key, held)
+                    key, held = (bucket, x, y), []
+                held.append(row)
+        yield from compare(key, held)
+
+    def compare(key: tuple | None, held: list) -> Iterator[pa.RecordBatch]:
+        if key is None:
+            return
+        block, vid, comp = (np.array(c) for c in list(zip(*held, strict=True))[:3])
+        sim = _alike([row[3] for row in held], idf.value)
+        apart = (block[:, None] != block[None]) if key[1] != key[2] else np.ones_like(sim, bool)
+        at = np.argwhere((sim >= similarity) & apart & (comp[:, None] != comp[None]) & (vid[:, None] < vid[None]))
+        kept = _forest(at)
+        if kept:
+            a, b = np.array(kept).T
+            yield pa.RecordBatch.from_arrays([pa.array(vid[a]), pa.array(vid[b]), pa.array(sim[a, b])], ["a", "b", "sim"])
+
+    return ordered.mapInArrow(run, "a bigint, b bigint, sim double")
+
+
 def _links(distinct: DataFrame, docs: DataFrame, idf: Broadcast, similarity: float) -> DataFrame:
-    """Rows (a, b, sim), a < b, of texts at least ``similarity`` alike."""
+    """Rows (a, b, sim), a < b, of texts at least ``similarity`` alike: enough of them to connect all such texts."""
     members = distinct.select("vid", "weight", F.explode("bands").alias("bucket"))
-    leaders = members.groupBy("bucket").agg(F.min("vid").alias("leader"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    leaders = members.groupBy("bucket").agg(F.min("vid").alias("leader"), F.count(F.lit(1)).alias("size"), F.sum("weight").alias("mass")).where("size > 1")
     members = parked(members.join(leaders, "bucket"), "buckets")
     star = members.where("vid != leader").select(F.col("leader").alias("a"), F.col("vid").alias("b")).distinct()
     # All members of a bucket stand in its star, so these are all texts that are ever compared.
@@ -224,30 +318,37 @@ def _links(distinct: DataFrame, docs: DataFrame, idf: Broadcast, similarity: flo
     once = docs.select("text", *content_key(F.col("text"))).groupBy("key1", "key2").agg(F.first("text").alias("text"))
     texts = parked(once.join(needed, ["key1", "key2"]).select("vid", "text"), "candidates")
     first = parked(_verified(star, texts, idf), "star-pairs")
+    linked = first.where(F.col("sim") >= similarity)
+    labels = components(linked)
+
+    # Buckets within one component are settled.
+    placed = members.where("size > 2").join(labels, "vid", "left").withColumn("comp", F.coalesce("label", "vid")).drop("label")
+    open_ = placed.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high").select("bucket")
+    placed = parked(placed.join(open_, "bucket"), "open-buckets")
 
-    reach = 1 - similarity
+    reach, slack = 1 - similarity, 1e-9
     sims = first.select(F.col("a").alias("leader"), F.col("b").alias("vid"), (1 - F.col("sim")).alias("far"))
-    around = members.where("size > 2 and vid != leader").join(sims, ["leader", "vid"]).select("bucket", "vid", "weight", "far")
-    x = around.where(F.col("far") > reach)
-    y = around.select("bucket", F.col("vid").alias("vid2"), F.col("weight").alias("weight2"), F.col("far").alias("far2"))
-    slack = 1e-9
+    x = placed.where((F.col("size") <= _SMALL) & (F.col("vid") != F.col("leader"))).join(sims, ["leader", "vid"])
+    x = x.select("bucket", "vid", "weight", "comp", "far")
+    y = x.select("bucket", *(F.col(c).alias(f"{c}2") for c in ("vid", "weight", "comp", "far")))
     close = (
-        (F.col("vid") != F.col("vid2"))
-        & ((F.col("far2") <= reach) | (F.col("vid") < F.col("vid2")))
+        (F.col("vid") < F.col("vid2"))
+        & (F.col("comp") != F.col("comp2"))
         & (F.abs(F.col("far") - F.col("far2")) <= reach + slack)
         & (F.least("weight", "weight2") >= similarity * F.greatest("weight", "weight2") - slack)
     )
-    rest = x.join(y, "bucket").where(close).select(F.least("vid", "vid2").alias("a"), F.greatest("vid", "vid2").alias("b")).distinct()
+    rest = x.join(y, "bucket").where(close).select(F.col("vid").alias("a"), F.col("vid2").alias("b")).distinct()
     rest = rest.join(first.select("a", "b"), ["a", "b"], "left_anti")
-    return first.unionByName(_verified(rest, texts, idf)).where(F.col("sim") >= similarity)
+    in_small = _verified(rest, texts, idf).where(F.col("sim") >= similarity)
+    in_large = _linked_in_blocks(placed.where(F.col("size") > _SMALL), texts, idf, similarity)
+    return linked.unionByName(in_small).unionByName(in_large).dropDuplicates(["a", "b"])
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """One row per document: doc_id, key1, key2, uid, class_id, class_size, n_links, stays.
+    """One row per document: doc_id, key1, key2, uid, class_id, class_size, stays.
 
     A class holds the copies of a text and all texts connected by links of ``similarity`` or more;
-    ``class_id`` is its smallest doc_id (NULL if it has none) and ``n_links`` the number of other texts the
-    document's text is linked with. One document of each class stays: the one with the smallest id,
+    ``class_id`` is its smallest doc_id (NULL if it has none). One document of each class stays: the one with the smallest id,
     NULL last. NULL is an empty text; texts without words are alike only to exact copies.
     """
     spark: SparkSession = docs.sparkSession
@@ -258,10 +359,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     links = parked(_links(distinct, docs, idf, similarity), "near-links")
     labels = components(links)
 
-    ends = links.select(F.col("a").alias("vid")).unionByName(links.select(F.col("b").alias("vid")))
-    degree = ends.groupBy("vid").agg(F.count(F.lit(1)).alias("n_links"))
-    named = distinct.select("key1", "key2", "vid").join(labels, "vid", "left").join(degree, "vid", "left")
-    named = named.select("key1", "key2", F.coalesce("label", "vid").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    named = distinct.select("key1", "key2", "vid").join(labels, "vid", "left")
+    named = named.select("key1", "key2", F.coalesce("label", "vid").alias("label"))
     placed = rows.select("doc_id", "key1", "key2", "uid").join(named, ["key1", "key2"])
     first = F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "uid")).alias("first")
     classes = placed.groupBy("label").agg(first, F.count(F.lit(1)).alias("class_size"))
@@ -272,7 +371,6 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
         "uid",
         F.col("first.doc_id").alias("class_id"),
         "class_size",
-        "n_links",
         (F.col("uid") == F.col("first.uid")).alias("stays"),
     )
 

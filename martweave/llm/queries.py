@@ -56,7 +56,7 @@ def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select("doc_id", "class_id", "class_size", "n_links", "stays")
+    return found.select("doc_id", "class_id", "class_size", "stays")
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:

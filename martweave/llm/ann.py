@@ -27,6 +27,8 @@ TARGET_RECALL = 0.97
 LEAF_ROWS = 1024
 _MAX_BITS = 24
 _FIT_ROWS = 4096
+_FOUND = np.dtype([("q", np.int64), ("rep", np.int64), ("far", np.float64)])
+_HELD = 400_000
 
 
 def usable(vector: Column) -> Column:
@@ -216,10 +218,22 @@ def _search(members: DataFrame, asking: DataFrame, forest: _Forest, dims: int, k
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", F.col("far").alias("score"))
 
 
+def _nearest_of(found: list[np.ndarray], k: int) -> np.ndarray:
+    """Of rows (q, rep, far), the ``k + 1`` nearest different ``rep`` of each ``q``, ties to the smaller."""
+    rows = np.concatenate(found)
+    rows = rows[np.lexsort((rows["rep"], rows["far"], rows["q"]))]
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows["q"][1:] != rows["q"][:-1]) | (rows["rep"][1:] != rows["rep"][:-1])
+    rows = rows[new]
+    head = np.flatnonzero(np.append(True, rows["q"][1:] != rows["q"][:-1]))
+    nth = np.arange(len(rows)) - np.repeat(head, np.diff(np.append(head, len(rows))))
+    return rows[nth <= k]
+
+
 def _compare(rows: DataFrame, dims: int, k: int) -> DataFrame:
-    """Rows (q, rep, far): in each block of a sorted array, the nearest rows of each query asked there.
+    """Rows (q, rep, far): of the blocks of a sorted array that a task gets, the nearest rows of each query asked there.
 
-    Blocks are hash-partitioned and sorted; a task streams them and holds one block of at most about
+    A task keeps the best of each query over its blocks, and passes them on when they are many. Blocks are hash-partitioned and sorted; a task streams them and holds one block of at most about
     twice ``LEAF_ROWS`` vectors, the queries after them in bounded slices.
     """
     n_parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -228,6 +242,7 @@ def _compare(rows: DataFrame, dims: int, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, ids, vectors = None, [], []
+        found, held = [], 0
         for batch in batches:
             key = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(3)], axis=1)
             asks = batch.column(3).to_numpy(zero_copy_only=False)
@@ -246,8 +261,20 @@ def _compare(rows: DataFrame, dims: int, k: int) -> DataFrame:
                     far = _distances(rows_[a:b], vectors[0])
                     top = np.lexsort((np.broadcast_to(ids[0], far.shape), far), axis=1)[:, : k + 1]
                     at = np.repeat(np.arange(b - a), top.shape[1])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(own[a:b][at]), pa.array(ids[0][top.reshape(-1)]), pa.array(far[at, top.reshape(-1)])], ["q", "rep", "far"]
-                    )
+                    best = np.empty(len(at), _FOUND)
+                    best["q"], best["rep"], best["far"] = own[a:b][at], ids[0][top.reshape(-1)], far[at, top.reshape(-1)]
+                    found.append(best)
+                    held += len(best)
+                    if held > _HELD:
+                        found = [_nearest_of(found, k)]
+                        held = len(found[0])
+                        if held > _HELD // 2:
+                            yield emit(found[0])
+                            found, held = [], 0
+        if found:
+            yield emit(_nearest_of(found, k))
+
+    def emit(best: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(best[n])) for n in ("q", "rep", "far")], ["q", "rep", "far"])
 
     return ordered.mapInArrow(run, "q bigint, rep bigint, far double")

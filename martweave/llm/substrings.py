@@ -122,8 +122,10 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     Ranges (start, end) are ordered, apart and counted in words from 0. A window is repeated if its words also start
     anywhere else in ``docs``, the same text and further copies of it included.
     """
-    counted = _stretch_rows(docs, window, False).groupBy("gram", "path").agg(F.count(F.lit(1)).alias("copies"))
-    # Used twice below; Spark reuses its shuffle, so the stretches are neither made nor stored twice.
+    # Counted stretches are used twice below. The joins would filter their keys unlike each other; with the
+    # filter here both uses have the same plan, and Spark shuffles the stretches once.
+    named = _stretch_rows(docs, window, False).where("gram IS NOT NULL AND path IS NOT NULL")
+    counted = named.groupBy("gram", "path").agg(F.count(F.lit(1)).alias("copies"))
     shared = counted.groupBy("gram").agg(F.count(F.lit(1)).alias("paths"), F.sum("copies").alias("total")).where("total > 1").select("gram", "paths")
     # Stretches alone with their gram drop out here: most of any corpus.
     candidates = counted.join(shared, "gram").select("gram", "path", "copies", (F.col("paths") > 1).alias("mixed"))

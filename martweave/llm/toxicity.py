@@ -1,12 +1,14 @@
 """Toxicity by a counterfactually regularised classifier.
 
-A logistic regression over the words of a text. In a copy of each training text the identity terms
-are swapped for others, or one is put in where there is none; the squared change of the score is
-penalised, so that naming a group costs nothing by itself.
+A logistic regression over the words of a text and the beginnings of its words, which endings leave
+as they are; a beginning counts again where it is repeated. In a copy of each training text the
+identity terms are swapped for others, or one is put in where there is none; the squared change of
+the score is penalised, so that naming a group costs nothing by itself.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martweave.llm.linear import Sparse, fit_logistic, sigmoid
-from martweave.llm.words import ALNUM, map_texts, pieces, ship, split_words
+from martweave.llm.words import ALNUM, Words, beginnings, map_texts, mixed, pieces, ship, split_words
 
 #: Terms that name groups of people; swapping one for another must not change a score.
 IDENTITY_TERMS = (
@@ -29,13 +31,17 @@ IDENTITY_TERMS = (
 SAMPLE_ROWS = 10_000
 MAX_FEATURES = 4_096
 MIN_TEXTS = 4
+#: Letters of the beginnings of words that are features.
+BEGINNINGS = (4, 5, 6, 7, 8)
+#: Salt of the feature that a beginning is there several times.
+_SEVERAL = 100
 _FOLDS = 3
 _TEST_FOLD = 1
 
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    """Weights by word hash; a text's score is the logistic of their sum over its distinct words."""
+    """Weights by feature hash; a text's score is the logistic of their sum over its distinct features."""
 
     hashes: np.ndarray
     weights: np.ndarray
@@ -47,8 +53,37 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % _FOLDS == _TEST_FOLD, F.lit(True))
 
 
+def _places(words: Words) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """Places and hashes of the words, then those of the beginnings of each length; whether repeats count."""
+    yield np.arange(len(words.hashes)), words.hashes, False
+    for at, own in beginnings(words, BEGINNINGS, True):
+        yield at, own, True
+
+
+def _feature_sets(texts: pa.Array) -> list[np.ndarray]:
+    """Each text's features: words, beginnings of words, and beginnings that it repeats."""
+    words = split_words(texts, ALNUM, True)
+    doc_of = words.doc_of()
+    docs, hashes = [], []
+    for at, own, repeats in _places(words):
+        order = np.lexsort((own, doc_of[at]))
+        doc, own = doc_of[at][order], own[order]
+        new = np.ones(len(own), bool)
+        new[1:] = (own[1:] != own[:-1]) | (doc[1:] != doc[:-1])
+        docs.append(doc[new])
+        hashes.append(own[new])
+        if repeats:
+            again = np.zeros(len(own), bool)
+            again[1:] = ~new[1:] & new[:-1]
+            docs.append(doc[again])
+            hashes.append(mixed(own[again], _SEVERAL))
+    doc, found = np.concatenate(docs), np.concatenate(hashes)
+    order = np.lexsort((found, doc))
+    return np.split(found[order], np.searchsorted(doc[order], np.arange(1, len(texts))))
+
+
 def training_words(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> pa.Table:
-    """Distinct word hashes and label of at most ``sample_rows`` labelled training texts.
+    """Distinct features and label of at most ``sample_rows`` labelled training texts.
 
     The sample is the labelled ids with the smallest hashes, so it is the same at every run and, up
     to the bound, holds all labelled rows. Contradicting labels of one id count as toxic.
@@ -65,8 +100,7 @@ def training_words(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            words = split_words(batch.column("text"), ALNUM, True)
-            sets = [np.unique(words.hashes[a:b]).view(np.int64) for a, b in zip(words.first, words.first[1:], strict=False)]
+            sets = [s.view(np.int64) for s in _feature_sets(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), pa.array(sets, pa.list_(pa.int64())), batch.column("toxic").cast(pa.int32())],
                 ["doc_id", "words", "toxic"],
@@ -87,34 +121,41 @@ def fit(
 ) -> ToxicityModel:
     """Model from rows of (words, toxic). Without rows of both labels the score is their share everywhere.
 
-    Features are the words whose presence differs most between the labels (chi-square) among those
-    in ``MIN_TEXTS`` texts or more, and the identity terms.
+    Features are those whose presence differs most between the labels (chi-square) among those in
+    ``MIN_TEXTS`` texts or more, and the identity terms. Beginnings of identity terms are none: a
+    term counts as a word only, so that a swap changes nothing but what the penalty sees.
     """
-    rows = rows.sort_by([("toxic", "ascending"), ("doc_id", "ascending")])
-    sets = [s.values.to_numpy() for s in rows["words"]]
-    unique = {s.tobytes(): i for i, s in enumerate(sets)}
+    sets = [s.values.to_numpy().view(np.uint64) for s in rows["words"]]
+    order = np.lexsort((rows["doc_id"].to_numpy(), rows["toxic"].to_numpy()))
+    unique = {hashlib.sha256(sets[i]).digest(): i for i in order.tolist()}
     sets = [sets[i] for i in unique.values()]
     y = rows["toxic"].to_numpy()[list(unique.values())].astype(float)
-    terms = split_words(pa.array(list(identity_terms)), np.ones(256, bool), True).hashes
+    named = split_words(pa.array(list(identity_terms)), np.ones(256, bool), True)
+    terms = named.hashes
+    begun = np.concatenate([own for _, own in beginnings(named, BEGINNINGS, True)])
     if not len(y) or y.min() == y.max():
         share = (y.sum() + 0.5) / (len(y) + 1)
         return ToxicityModel(terms, np.zeros(len(terms)), float(np.log(share / (1 - share))))
-    sizes = np.array([len(s) for s in sets], np.int64)
-    flat = np.concatenate(sets).view(np.uint64)
-    words, column = np.unique(flat, return_inverse=True)
-    row = np.repeat(np.arange(len(y)), sizes)
-    total = np.bincount(column, minlength=len(words)).astype(float)
-    toxic = np.bincount(column, y[row], minlength=len(words))
+    # Sorted in place and looked up text by text: all features of the sample stand in memory once.
+    flat = np.concatenate(sets)
+    flat.sort()
+    new = np.flatnonzero(np.append(True, flat[1:] != flat[:-1])) if len(flat) else np.zeros(0, np.int64)
+    words, total = flat[new], np.diff(new, append=len(flat))
+    del flat, new
+    toxic = np.zeros(len(words))
+    for own in (s for s, label in zip(sets, y, strict=True) if label):
+        toxic[np.searchsorted(words, own)] += 1
     expected = total * y.mean()
     spread = (toxic - expected) ** 2 / np.maximum(expected * (1 - y.mean()) * (1 - total / len(y)), 1e-9)
     spread[total < MIN_TEXTS] = 0
-    # A word must stand out beyond what the number of words tried makes likely by chance.
+    spread[np.isin(words, np.concatenate([begun, mixed(begun, _SEVERAL)]))] = 0
+    # A feature must stand out beyond what the number of features tried makes likely by chance.
     strong = np.flatnonzero(spread > 2 * np.log(max(len(words), 2)))
     strong = strong[np.argsort(-spread[strong], kind="stable")][:max_features]
     known = np.union1d(words[strong], terms)
-    place = np.minimum(np.searchsorted(known, flat), len(known) - 1)
-    kept = known[place] == flat
-    x = Sparse(np.concatenate([[0], np.cumsum(np.bincount(row[kept], minlength=len(y)))]), place[kept], np.ones(int(kept.sum())))
+    kept = [np.searchsorted(known, np.intersect1d(s, known, assume_unique=True)) for s in sets]
+    place = np.concatenate(kept)
+    x = Sparse(np.cumsum([0, *map(len, kept)]), place, np.ones(len(place)))
     change = _counterfactuals(x, len(y), np.searchsorted(known, terms), np.random.default_rng(seed))
     w, b = fit_logistic(x, y, len(known), l2, rounds=300, rate=0.1, pairs=(change, np.full(len(y), penalty)))
     return ToxicityModel(known, w, b)
@@ -145,16 +186,22 @@ def score_texts(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7, k
     """
     used = np.flatnonzero(model.weights)
     hashes, weights, bias = model.hashes[used], model.weights[used], model.bias
+    # Most features are unknown by their first bits already.
+    begun = np.zeros(1 << 16, bool)
+    begun[hashes >> np.uint64(48)] = True
 
     def score(texts: pa.Array) -> list[pa.Array]:
         words = split_words(texts, ALNUM, True)
         total = np.zeros(len(texts))
-        if len(hashes):
-            at = np.minimum(np.searchsorted(hashes, words.hashes), len(hashes) - 1)
-            hit = np.flatnonzero(hashes[at] == words.hashes)
-            doc = np.searchsorted(words.first, hit, side="right") - 1
-            pairs = np.unique(doc * len(hashes) + at[hit])
-            total = np.bincount(pairs // len(hashes), weights[pairs % len(hashes)], minlength=len(texts))
+        for place, own, repeats in _places(words) if len(hashes) else ():
+            for found, least in ((own, 1), (mixed(own, _SEVERAL), 2))[: 1 + repeats]:
+                maybe = np.flatnonzero(begun[found >> np.uint64(48)])
+                at = np.minimum(np.searchsorted(hashes, found[maybe]), len(hashes) - 1)
+                hit = hashes[at] == found[maybe]
+                doc = np.searchsorted(words.first, place[maybe[hit]], side="right") - 1
+                pairs, times = np.unique(doc * len(hashes) + at[hit], return_counts=True)
+                pairs = pairs[times >= least]
+                total += np.bincount(pairs // len(hashes), weights[pairs % len(hashes)], minlength=len(texts))
         scores = sigmoid(total + bias)
         return [pa.array(scores, pa.float64()), pa.array((scores >= threshold).astype(np.int32), pa.int32())]
 

@@ -64,9 +64,16 @@ def _power(base: int, n: int) -> np.ndarray:
 
 def _ranges(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
     """Polynomial of each range of ``values``, whatever its position."""
+    return _between(*_sums(values, base), starts, ends)
+
+
+def _sums(values: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
     total = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * _power(base, len(values)), out=total[1:])
-    back = _power(pow(base, -1, 2**64), len(values) + 1)
+    return total, _power(pow(base, -1, 2**64), len(values) + 1)
+
+
+def _between(total: np.ndarray, back: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return _mix((total[ends] - total[starts]) * back[starts])
 
 
@@ -124,6 +131,20 @@ def split_words(texts: pa.Array, alphabet: np.ndarray, lower: bool) -> Words:
     return Words(data, offsets, starts, ends, np.searchsorted(starts, offsets), hashes)
 
 
+def beginnings(words: Words, lengths: Sequence[int], lower: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each length, the words of so many letters or more and the hash of their first letters. ``lower`` as in ``split_words``."""
+    raw = np.frombuffer(words.data, np.uint8)
+    # A letter of UTF-8 begins at each byte that does not continue one; the end of the data follows the last.
+    begins = np.append((raw & 0xC0) != 0x80, True)
+    letters, before = np.flatnonzero(begins), np.cumsum(begins) - begins
+    first = before[words.starts]
+    count = before[words.ends] - first
+    sums = _sums((_LOWER_BYTE if lower else _BYTE)[raw], _BASE)
+    for k in lengths:
+        at = np.flatnonzero(count >= k)
+        yield at, mixed(_between(*sums, words.starts[at], letters[first[at] + k]), k)
+
+
 def word_hash(word: str) -> int:
     """Hash of one word, as ``split_words`` gives it."""
     return int(split_words(pa.array([word]), np.ones(256, bool), False).hashes[0])

@@ -75,6 +75,48 @@ def test_toxicity(spark, docs, no_docs):
     assert toxicity.classify(no_docs, labels).count() == 0
 
 
+def test_toxic_word_beginnings(spark):
+    """Toxic texts repeat a stem whose endings differ; calm ones have it once at most, or repeat another."""
+    rng = random.Random(3)
+
+    def text(i, stem, times):
+        own = [f"{stem}{''.join(rng.choices('abcdefghij', k=4))}" for _ in range(times)] + words(20, 7000 + i).split()
+        rng.shuffle(own)
+        return " ".join(own)
+
+    rows = [(i, text(i, "réeux", 3), "fr", "s", 1) for i in range(40)]
+    rows += [(100 + i, text(100 + i, ("réeux", "calmè")[i % 2], (1, 3)[i % 2]), "fr", "s", 1) for i in range(120)]
+    table = spark.createDataFrame(rows, DOCS)
+    labels = spark.createDataFrame([(r[0], 1, int(r[0] < 100)) for r in rows], "doc_id bigint, quality int, toxic int")
+    scored = {r.doc_id: r for r in toxicity.classify(table, labels).collect()}
+    held = [r.doc_id for r in table.where(toxicity.held_out(F.col("doc_id"))).select("doc_id").collect()]
+    assert sum(i < 100 for i in held) > 5
+    assert [scored[i]["_toxic"] for i in held] == [int(i < 100) for i in held]
+
+
+def test_scores_are_those_of_the_training_features(spark):
+    texts = ["Éa abcd abcde abcdefgh abcdx", "women Womens womenfolk", "漢字漢字漢 漢字漢字", "", None, "x abcd x abcd"]
+    sets = toxicity._feature_sets(pa.array(texts))
+    hashes = np.unique(np.concatenate(sets))
+    model = toxicity.ToxicityModel(hashes, np.linspace(-1, 1, len(hashes)) + 0.01, 0.2)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    expected = [1 / (1 + np.exp(-0.2 - model.weights[np.searchsorted(hashes, s)].sum())) for s in sets]
+    found = [r["_score"] for r in toxicity.score_texts(rows, model).orderBy("doc_id").collect()]
+    assert np.allclose(found, expected)
+    # Five words and beginnings of four to eight letters; those of four and five are there several times.
+    assert [len(s) for s in sets] == [5 + 1 + 2 + 1 + 1 + 1 + 2, 3 + 5 + 1 + 2, 2 + 2 + 1, 0, 0, 2 + 1 + 1]
+
+
+def test_beginnings_of_identity_terms_are_no_features():
+    sets = toxicity._feature_sets(pa.array([f"x{i} {w}like {w} idiot" if i % 2 else f"x{i} calm" for i, w in enumerate(["muslims", "women"] * 40)]))
+    rows = pa.table({"doc_id": pa.array(range(80)), "words": pa.array([s.view(np.int64) for s in sets]), "toxic": pa.array([i % 2 for i in range(80)], pa.int32())})
+    model = toxicity.fit(rows)
+    begun = toxicity._feature_sets(pa.array(["women", "women women", "idiot"]))
+    terms = split_words(pa.array(["women"]), ALNUM, True).hashes
+    assert not np.isin(model.hashes, np.setdiff1d(np.concatenate(begun[:2]), terms)).any()
+    assert np.isin(begun[2], model.hashes).all()
+
+
 def test_held_out_labels_are_never_read(spark):
     rows = [(i, f"word{i % 7} idiot" if i % 2 else f"word{i % 7} calm", "en", "s", 1) for i in range(60)]
     table = spark.createDataFrame(rows, DOCS)

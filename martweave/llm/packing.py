@@ -37,6 +37,8 @@ class _Encoder:
     """Token ids of texts, word by word; a worker keeps the words it has met, up to a bound.
 
     The tokenizer never joins across white space, so a text's ids are those of its words in order.
+    It ignores case, except in special tokens, which it looks for in the text as it stands: words
+    that hold one, in whatever case, are kept as they are written.
     """
 
     def __init__(self, spec: str) -> None:
@@ -46,9 +48,26 @@ class _Encoder:
         narrow = self.tokenizer.get_vocab_size() <= 1 << 16
         self.dtype, self.code = np.dtype("<u2" if narrow else "<u4"), "H" if narrow else "I"
         self.known: dict[bytes, bytes] = {}
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = tuple({t.content.encode().lower() for t in added if not t.normalized})
+        self.marks = frozenset(s[:1] for s in self.special)
+
+    def _holds_special(self, low: bytes) -> bool:
+        # One byte is found faster than a word, and most texts lack it.
+        return any(m in low for m in self.marks) and any(s in low for s in self.special)
+
+    def _words(self, text: bytes) -> list[bytes]:
+        low = text.lower()
+        words = _MARKS.sub(rb" \g<0>", low).split()
+        if low == text or not self._holds_special(low):
+            return words
+        # Lower case leaves lengths as they are, so the text is cut where its lower case is.
+        cuts = [0, *(m.start() for m in _MARKS.finditer(low)), len(text)]
+        written = b" ".join(text[a:b] for a, b in zip(cuts, cuts[1:], strict=False)).split()
+        return [own if self._holds_special(word) else word for word, own in zip(words, written, strict=True)]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        words = [_MARKS.sub(rb" \g<0>", text.lower()).split() for text in texts]
+        words = list(map(self._words, texts))
         new = list(set().union(*words).difference(self.known)) if words else []
         if len(self.known) + len(new) > _CACHED_WORDS:
             self.known = {}

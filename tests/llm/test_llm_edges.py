@@ -173,7 +173,19 @@ def test_packing(spark, docs, no_docs):
     assert packing.pack(no_docs, tokenizer_json()).count() == 0
 
 
-@pytest.mark.parametrize("text", ["Don't stop... it's 'fine', 5.5%,,", "a. b.c .d e,.", "ß ǅ İ x̌ é.", "<|endoftext|> <|startoftext|>a", "…. «x», x\u2003y"])
+@pytest.mark.parametrize(
+    "text",
+    [
+        "Don't stop... it's 'fine', 5.5%,,",
+        "a. b.c .d e,.",
+        "ß ǅ İ x̌ é.",
+        "<|endoftext|> <|startoftext|>a",
+        "…. «x», x\u2003y",
+        "<|ENDOFTEXT|>",
+        "<|EndOfText|> <|STARTOFTEXT|> <|endoftext|> <|ENDOFTEXT|>",
+        "Stop. Über!! X<|endoftext|>Y,. A<|ENDOFTEXT|>B<|StartOfText|><|startoftext|>É. \tEnd...",
+    ],
+)
 def test_word_by_word_ids_are_the_tokenizers(text):
     encoder = packing._encoder(tokenizer_json())
     whole = encoder.tokenizer.encode(text, add_special_tokens=False).ids

@@ -5,10 +5,12 @@ Neighbouring windows of a text that have the same smallest gram form a stretch:
 branch, known by that gram and a hash of its words. Stretches are what Spark counts and joins.
 
 1. Equal stretches are counted. A stretch whose smallest gram stands nowhere else cannot repeat.
-2. Repeated stretches that follow each other everywhere, without a branch, compact into paths.
+2. Repeated stretches that follow each other everywhere, without a branch, are marked by joins. The
+   marks decide nothing yet: ranges that meet become one in each text, with the same result.
 3. Stretches with a common smallest gram but other words share some of their windows at most: the
    ends of repeats. Their windows are counted one by one, read at one source place of each.
-4. Paths and windows go back to the places of their texts, where the words are checked again.
+4. Stretches and windows go back to the places of their texts. Equal hashes count as equal words:
+   nothing compares the words of two places, so a collision of 64-bit hashes would not be noticed.
 """
 
 from __future__ import annotations
@@ -166,7 +168,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def _merged(found: list[dict], window: int) -> list[dict]:
-    """Word ranges of one text's stretches; those of one path, and ranges that meet, become one."""
+    """Word ranges of one text's stretches; ranges that meet become one, whatever ``goes_on`` says."""
     spans: list[list[int]] = []
     for piece in found:
         start, n, windows = piece["start"], piece["n"], piece["windows"]

@@ -49,7 +49,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", pack),
 ]
 
-#: The stages learn models and hash texts, which SQL cannot express; tests compare with brute force.
+#: The stages learn models and hash texts, which SQL cannot express; a test compares ``run`` with plain Python on a small corpus.
 ORACLE_SQL = None
 
 

@@ -1,6 +1,10 @@
 """Odd inputs of every operator: NULLs, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
 
+import itertools
+import math
 import random
+import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -448,3 +452,76 @@ def test_pipeline_stages(spark, sf_dir, docs, no_docs, tmp_path):
             if i < len(corpus_pipeline.STAGES) - 1:
                 assert rows.columns == table.columns, name
         assert (rows.count() > 0) == (table is odd)
+
+
+def brute_classes(texts):
+    """Least id of each text's class, from the weighted Jaccard similarity of all pairs."""
+    bags = {}
+    for i, text in texts.items():
+        own = "".join(c if c.isalnum() else " " for c in text.lower()).split()
+        n = min(5, len(own))
+        bags[i] = Counter(tuple(own[p : p + n]) for p in range(len(own) - n + 1)) if n else Counter()
+    frequency = Counter(g for bag in bags.values() for g in bag)
+    weight = {g: 1 + math.log(min((len(texts) + 1) / (f + 1), 8)) for g, f in frequency.items()}
+    label = {i: i for i in texts}
+    for a, b in itertools.combinations(sorted(texts), 2):
+        common, either = ((bags[a] & bags[b]), (bags[a] | bags[b]))
+        if sum(n * weight[g] for g, n in common.items()) >= 0.8 * sum(n * weight[g] for g, n in either.items()):
+            low, high = sorted((label[a], label[b]))
+            label = {i: low if k == high else k for i, k in label.items()}
+    return label
+
+
+def test_the_whole_pipeline_equals_plain_python(spark, tmp_path):
+    """``run`` over a small corpus against the five stages in plain Python, given the toxicity scores."""
+    passage, leak, hidden = words(45, 501), words(40, 502), words(40, 503)
+    window = " ".join(hidden.split()[5:17])
+    texts = {i: f"{words(20, 600 + i)} you {'idiot' if i < 30 else 'friend'} {words(60, 700 + i)}" for i in range(110)}
+    for i in range(40, 46):
+        edited = texts[i].split()
+        edited[70] = "edited"
+        texts[i + 10] = " ".join(edited)
+    texts[60] = texts[61] = texts[40]
+    # The toxic copy has the smaller id, and it must not take the clean one along.
+    texts[0] = texts[70].replace("friend", "idiot")
+    for i in (72, 73):
+        texts[i] = f"{words(50, 800 + i)} {passage}\n{words(50, 900 + i)} <|ENDOFTEXT|>"
+    texts[74] = f"{words(9, 810)} {' '.join(leak.split()[3:15])} {words(50, 811)}"
+    # A benchmark window that leaves with a repeated passage, and one that stays.
+    texts[75] = f"{words(50, 820)} {words(20, 821)} {window} {words(20, 822)} {words(50, 823)}"
+    texts[76] = f"{words(50, 824)} {words(20, 821)} {window} {words(20, 822)} {words(50, 825)}"
+    texts[77] = f"{words(50, 826)} {window}"
+    items = [(1, leak), (2, hidden)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts.items()], DOCS)
+    labels = spark.createDataFrame([(i, 1, int(i < 30)) for i in texts], "doc_id bigint, quality int, toxic int")
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    for name, table in (("documents", docs), ("labels", labels), ("benchmark", benchmark)):
+        table.write.parquet(str(tmp_path / f"{name}.parquet"))
+
+    score = {r.doc_id: r["_score"] for r in toxicity.classify(docs, labels).collect()}
+    clean = {i: t for i, t in texts.items() if score[i] < 0.7}
+    assert sorted(clean) == list(range(30, 110))
+    label = brute_classes(clean)
+    single = {i: clean[i] for i in sorted(set(label.values()))}
+    assert len(clean) - len(single) == 8
+    cut = {i: left for i, (_, _, left) in zip(single, brute_cut(list(single.values())), strict=True)}
+    assert [i for i in cut if len(cut[i].split()) < len(single[i].split())] == [72, 73, 75, 76]
+    last = {i: t for i, t in cut.items() if not brute_hits(t, items)[1]}
+    assert sorted(set(cut) - set(last)) == [74, 77]
+
+    tokenizer = packing._encoder(tokenizer_json()).tokenizer
+    found, sequences = {}, {}
+    for p in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        found.setdefault(p.doc_id, []).append(p)
+        sequences.setdefault(p.sequence_id, []).append(p)
+    assert sorted(found) == sorted(last)
+    for i, own in found.items():
+        ids = np.array([*tokenizer.encode(last[i], add_special_tokens=False).ids, 1], "<u4")
+        at = 0
+        for p in sorted(own, key=lambda p: p.start):
+            assert (p.start, p.doc_tokens, p.ids_crc32) == (at, len(ids), zlib.crc32(ids[at : at + p.length].tobytes())), i
+            at += p.length
+        assert at == len(ids)
+    for own in sequences.values():
+        ends = np.cumsum([0, *(p.length for p in sorted(own, key=lambda p: p.offset))]).tolist()
+        assert sorted(p.offset for p in own) == ends[:-1] and ends[-1] <= 2048 and ends[-1] & (ends[-1] - 1) == 0

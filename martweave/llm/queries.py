@@ -7,7 +7,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martweave.llm import ann, chat, decontaminate, langid, licenses, near, packing, substrings, toxicity, url_filter
+from martweave.llm import ann, chat, codes, decontaminate, langid, licenses, near, packing, repair, set_join, substrings, toxicity, url_filter
+from martweave.llm.oracles import CODES_SQL, REPAIR_SQL, SET_JOIN_SQL
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,6 +94,21 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest_conversations(chat.format_turns(turns.unionByName(probe)))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = codes.compress(_table(spark, sf_dir, "embeddings"))
+    found = codes.with_label_errors(coded)
+    return found.select("vec_id", "code", "error", "label_error", F.lit(codes.digest(books)).alias("codebooks_sha256"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    return repair.repair(repair.damaged(turns), turns)
+
+
+def op13_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return set_join.set_join(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 _WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -199,4 +215,7 @@ QUERIES = {
     "op8_neighbours": (op8_neighbours, None),
     "op9_urls": (op9_urls, None),
     "op10_chat": (op10_chat, _CHAT_SQL),
+    "op11_vector_codes": (op11_vector_codes, CODES_SQL),
+    "op12_conversation_repair": (op12_conversation_repair, REPAIR_SQL),
+    "op13_set_join": (op13_set_join, SET_JOIN_SQL),
 }

@@ -14,13 +14,14 @@ where they are many.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martweave.llm.decontaminate import content_key
@@ -129,7 +130,7 @@ def _sketches(docs: DataFrame, often: Broadcast, percent: int) -> DataFrame:
 
 def _groups(members: DataFrame, docs: DataFrame) -> DataFrame:
     """Rows (gid, vids, sizes, tokens, union): groups of documents with one minimum hash, in order of size, their sets one
-    after the other, and all tokens of the group. ``gid`` is the smallest vid."""
+    after the other, and all tokens of the group (NULL for one document, whose set it is). ``gid`` is the smallest vid."""
     n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lots = members.groupBy("group_hash").agg(F.ceil(F.count(F.lit(1)) / _LOT).alias("lots"))
     dealt = members.join(lots, "group_hash").withColumn("lot", F.pmod(F.xxhash64("vid"), "lots"))
@@ -162,7 +163,7 @@ def _groups(members: DataFrame, docs: DataFrame) -> DataFrame:
         for own in done:
             vids, sets = zip(*own, strict=True)
             every = np.concatenate(sets)
-            rows_.append((min(vids), list(vids), [len(s) for s in sets], every.tobytes(), np.unique(every).tobytes()))
+            rows_.append((min(vids), list(vids), [len(s) for s in sets], every.tobytes(), np.unique(every).tobytes() if len(own) > 1 else None))
         types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows_, strict=True), types, strict=True)], names)
 
@@ -207,7 +208,7 @@ def alike_members(batch: pa.RecordBatch, percent: int) -> np.ndarray:
     """
     left, right = _Side(batch, ""), _Side(batch, "2")
     same = batch.column("gid").to_numpy() == batch.column("gid2").to_numpy()
-    unions = [np.frombuffer(b, np.uint64) for b in batch.column("union2").to_pylist()]
+    unions = [np.frombuffer(u or t, np.uint64) for u, t in zip(batch.column("union2").to_pylist(), batch.column("tokens2").to_pylist(), strict=True)]
     union_pair = np.repeat(np.arange(len(unions)), [len(u) for u in unions])
     asking = np.flatnonzero(~same[left.pair])
     tokens, owner = left.of(asking)
@@ -322,6 +323,17 @@ def _compared_in_blocks(cells: DataFrame, groups: DataFrame, percent: int) -> Da
     return ordered.mapInArrow(run, "a bigint, b bigint")
 
 
+def _sizes_fit(low: str, high: str, low2: str, high2: str, percent: int) -> Column:
+    """Whether some sizes of two ranges are near enough for their sets to be alike."""
+    return (100 * F.col(high) >= percent * F.col(low2)) & (100 * F.col(high2) >= percent * F.col(low))
+
+
+def _shared_tokens(matrix: DataFrame) -> DataFrame:
+    """The rows of ``matrix`` whose token several documents have."""
+    shared = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("n_docs")).where("n_docs > 1").select("token")
+    return matrix.join(shared, "token")
+
+
 def set_join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.
 
@@ -337,18 +349,24 @@ def set_join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     first = rows.where("n > 0").groupBy("set1", "set2").agg(F.min("uid").alias("vid"))
     first = parked(first, "sets")
     distinct = rows.join(first.select("vid"), F.col("uid") == F.col("vid"))
-    matrix = distinct.select("vid", F.explode("prefix").alias("token"))
-    often_enough = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("n_docs")).where("n_docs > 1").select("token")
-    matrix = parked(matrix.join(often_enough, "token"), "matrix")
+    matrix = distinct.select("vid", "n", F.explode("prefix").alias("token"))
+    matrix = _shared_tokens(matrix)
+    # Sets alike enough lie in one band of sizes or in two next to each other, so a token is split by pairs of bands.
+    band = F.floor(F.log(F.col("n") * 1.0) / (math.log(100 / percent) * (1 + 1e-9)))
+    matrix = matrix.select("vid", F.explode(F.array(band, band + 1)).alias("band"), "token").select("vid", F.xxhash64("token", "band").alias("token"))
+    matrix = parked(_shared_tokens(matrix), "matrix")
     members = parked(matrix.select("vid").distinct().join(distinct.select("vid", "key1", "key2", "n", "group_hash"), "vid"), "members")
     groups = parked(_groups(members, docs), "token-groups")
     placed = parked(groups.select("gid", F.explode(F.arrays_zip("vids", "sizes")).alias("m")).select("gid", F.col("m.vids").alias("vid"), F.col("m.sizes").alias("n")), "placed")
 
     cells = parked(matrix.join(placed, "vid"), "cells")
     by_group = cells.groupBy("token", "gid").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    leaders = by_group.groupBy("token").agg(F.min("gid").alias("leader"), F.count(F.lit(1)).alias("n_groups")).where("n_groups > 1")
+    first_group = F.min(F.struct("gid", "low", "high")).alias("first")
+    leaders = by_group.groupBy("token").agg(first_group, F.count(F.lit(1)).alias("n_groups")).where("n_groups > 1")
+    leaders = leaders.select("token", "n_groups", F.col("first.gid").alias("leader"), F.col("first.low").alias("leader_low"), F.col("first.high").alias("leader_high"))
     by_group = parked(by_group.join(leaders, "token"), "group-matrix")
-    star = by_group.where("gid != leader").select(F.col("leader").alias("gid"), F.col("gid").alias("gid2")).distinct()
+    star = by_group.where("gid != leader").where(_sizes_fit("low", "high", "leader_low", "leader_high", percent))
+    star = star.select(F.col("leader").alias("gid"), F.col("gid").alias("gid2")).distinct()
     alone = groups.where(F.size("vids") > 1).select("gid", F.col("gid").alias("gid2"))
     star = parked(star.unionByName(alone), "star")
     links = parked(_compared(star, groups, percent), "star-links")
@@ -360,8 +378,7 @@ def set_join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     left = parked(by_group.where("n_groups > 2").join(open_, "token"), "open-cells")
     few = left.where((F.col("n_groups") <= _FEW) & (F.col("gid") != F.col("leader")))
     other = few.select("token", *(F.col(c).alias(f"{c}2") for c in ("gid", "low", "high")))
-    near = (F.col("gid") < F.col("gid2")) & (100 * F.col("high") >= percent * F.col("low2")) & (100 * F.col("high2") >= percent * F.col("low"))
-    pairs = few.join(other, "token").where(near).select("gid", "gid2").distinct().join(star, ["gid", "gid2"], "left_anti")
+    pairs = few.join(other, "token").where("gid < gid2").where(_sizes_fit("low", "high", "low2", "high2", percent)).select("gid", "gid2").distinct().join(star, ["gid", "gid2"], "left_anti")
     rest = _compared(pairs, groups, percent).unionByName(_compared_in_blocks(left.where(F.col("n_groups") > _FEW), groups, percent))
     labels = components(parked(links.unionByName(rest), "links"))
 

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from martweave.llm.decontaminate import content_key
 from martweave.llm.near import components
 from martweave.llm.words import SPACED, Words, mixed, pieces, ship, signed, spans_hash, split_words
+from martweave.operators.sizing import broadcast_if_small
 from martweave.session import parked
 
 SHINGLE = 4
@@ -64,6 +65,11 @@ def needed(sizes: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * sizes // 100)
 
 
+def witnesses(sizes: np.ndarray | Column) -> np.ndarray | Column:
+    """How many shared tokens the rare tokens of a set must show: the more are kept, the more a partner is sure to share of them."""
+    return 1 + (sizes - sizes % 20) / 20 if isinstance(sizes, Column) else 1 + sizes // 20
+
+
 def _bins(hashes: np.ndarray) -> np.ndarray:
     return (mixed(hashes, 23) >> np.uint64(64 - _BIN_BITS)).astype(np.int64)
 
@@ -117,7 +123,7 @@ def _sketches(docs: DataFrame, often: Broadcast, percent: int) -> DataFrame:
                 least[doc[head]] = np.minimum.reduceat(mixed(hashes, 83), head)
             order = np.lexsort((hashes, often.value[_bins(hashes)], doc))
             rank = np.arange(len(doc)) - np.repeat(head, np.diff(np.append(head, len(doc))))
-            first = order[rank < (n - needed(n, percent) + 1)[doc]]
+            first = order[rank < (n - needed(n, percent) + witnesses(n))[doc]]
             ends = np.concatenate([[0], np.cumsum(np.bincount(doc[first], minlength=batch.num_rows))]).astype(np.int32)
             prefix = pa.ListArray.from_arrays(pa.array(ends), pa.array(signed(hashes[first])))
             columns = [*(batch.column(i) for i in range(3)), pa.array(n), *(pa.array(signed(c)) for c in (*sums, least)), prefix]
@@ -266,10 +272,16 @@ def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             yield batch.slice(a, b - a)
 
 
+def _of(groups: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The groups that ``wanted`` names. Only their tokens are shuffled where the names are few enough to broadcast."""
+    return groups.join(broadcast_if_small(parked(wanted.select("gid").distinct(), "wanted-groups")), "gid", "left_semi")
+
+
 def _compared(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) that connect alike members of the pairs (gid, gid2) of groups."""
-    second = groups.select(*(F.col(c).alias(f"{c}2") for c in groups.columns))
-    both = pairs.select("gid", "gid2").join(second, "gid2").join(groups.drop("union"), "gid")
+    pairs = pairs.select("gid", "gid2")
+    second = _of(groups, pairs.select(F.col("gid2").alias("gid"))).select(*(F.col(c).alias(f"{c}2") for c in groups.columns))
+    both = pairs.join(second, "gid2").join(_of(groups, pairs).drop("union"), "gid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -289,7 +301,7 @@ def _compared_in_blocks(cells: DataFrame, groups: DataFrame, percent: int) -> Da
     meets = dealt.select("token", "gid", "block", F.explode(F.sequence(F.lit(0), n_blocks - 1)).alias("other"))
     meets = meets.select("token", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "gid")
     keys = ["token", "x", "y"]
-    ordered = meets.join(groups, "gid").repartition(n_parts, *keys).sortWithinPartitions(*keys, "block", "gid").select(*keys, "block", *groups.columns)
+    ordered = meets.join(_of(groups, cells), "gid").repartition(n_parts, *keys).sortWithinPartitions(*keys, "block", "gid").select(*keys, "block", *groups.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
@@ -349,12 +361,15 @@ def set_join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     first = rows.where("n > 0").groupBy("set1", "set2").agg(F.min("uid").alias("vid"))
     first = parked(first, "sets")
     distinct = rows.join(first.select("vid"), F.col("uid") == F.col("vid"))
-    matrix = distinct.select("vid", "n", F.explode("prefix").alias("token"))
-    matrix = _shared_tokens(matrix)
     # Sets alike enough lie in one band of sizes or in two next to each other, so a token is split by pairs of bands.
     band = F.floor(F.log(F.col("n") * 1.0) / (math.log(100 / percent) * (1 + 1e-9)))
-    matrix = matrix.select("vid", F.explode(F.array(band, band + 1)).alias("band"), "token").select("vid", F.xxhash64("token", "band").alias("token"))
-    matrix = parked(_shared_tokens(matrix), "matrix")
+    tokens = _shared_tokens(distinct.select("vid", "n", F.explode("prefix").alias("token")))
+    sides = tokens.select("vid", "n", F.posexplode(F.array(band, band + 1)).alias("side", "band"), "token")
+    matrix = parked(_shared_tokens(sides.select("vid", "n", "side", F.xxhash64("token", "band").alias("token"))), "matrix")
+    # What all partners on a side share with a document shows among its shared tokens there.
+    least = witnesses(F.ceil(F.col("n") * percent / 100).cast("bigint"))
+    enough = matrix.groupBy("vid", "n", "side").agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= least).select("vid", "side")
+    matrix = parked(_shared_tokens(matrix.join(enough, ["vid", "side"])).select("vid", "token"), "matrix")
     members = parked(matrix.select("vid").distinct().join(distinct.select("vid", "key1", "key2", "n", "group_hash"), "vid"), "members")
     groups = parked(_groups(members, docs), "token-groups")
     placed = parked(groups.select("gid", F.explode(F.arrays_zip("vids", "sizes")).alias("m")).select("gid", F.col("m.vids").alias("vid"), F.col("m.sizes").alias("n")), "placed")
@@ -375,10 +390,15 @@ def set_join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # A token whose documents are in one component is settled.
     standing = cells.join(labels, "vid", "left").withColumn("comp", F.coalesce("label", "vid"))
     open_ = standing.groupBy("token").agg(F.min("comp").alias("low_comp"), F.max("comp").alias("high_comp")).where("low_comp != high_comp").select("token")
-    left = parked(by_group.where("n_groups > 2").join(open_, "token"), "open-cells")
+    left = by_group.where("n_groups > 2").join(open_, "token")
+    # A passage gives many tokens one list of groups, which is compared once.
+    names = [F.sum(F.xxhash64("gid", F.lit(i)).cast("decimal(38,0)")).alias(f"name{i}") for i in range(2)]
+    lists = left.groupBy("token").agg(*names).groupBy("name0", "name1").agg(F.min("token").alias("token"))
+    left = parked(left.join(lists.select("token"), "token"), "open-cells")
     few = left.where((F.col("n_groups") <= _FEW) & (F.col("gid") != F.col("leader")))
     other = few.select("token", *(F.col(c).alias(f"{c}2") for c in ("gid", "low", "high")))
-    pairs = few.join(other, "token").where("gid < gid2").where(_sizes_fit("low", "high", "low2", "high2", percent)).select("gid", "gid2").distinct().join(star, ["gid", "gid2"], "left_anti")
+    pairs = few.join(other, "token").where("gid < gid2").where(_sizes_fit("low", "high", "low2", "high2", percent))
+    pairs = parked(pairs.select("gid", "gid2").distinct().join(star, ["gid", "gid2"], "left_anti"), "pairs")
     rest = _compared(pairs, groups, percent).unionByName(_compared_in_blocks(left.where(F.col("n_groups") > _FEW), groups, percent))
     labels = components(parked(links.unionByName(rest), "links"))
 

@@ -28,7 +28,7 @@ from martweave.llm.decontaminate import content_key
 from martweave.llm.near import components
 from martweave.llm.words import SPACED, Words, mixed, pieces, ship, signed, spans_hash, split_words
 from martweave.operators.sizing import broadcast_if_small
-from martweave.session import parked
+from martweave.session import delete_path, parked, scratch_path
 
 SHINGLE = 4
 PERCENT = 85
@@ -40,6 +40,7 @@ _LOT = 2048
 #: Tokens of up to so many groups have these compared pair by pair, others in blocks of so many.
 _FEW, _BLOCK = 8, 32
 _PIECE_TOKENS = 400_000
+_FILTER_BITS = 25
 
 
 def shingle_sets(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -134,13 +135,27 @@ def _sketches(docs: DataFrame, often: Broadcast, percent: int) -> DataFrame:
     return docs.select("doc_id", *content_key(F.col("text")), "text").mapInArrow(run, f"doc_id {kind}, {longs}, prefix array<bigint>")
 
 
+def _passing(keyed: DataFrame, members: DataFrame) -> DataFrame:
+    """Rows of ``keyed`` whose key1 passes a filter of those of ``members``, so that few other texts are shuffled.
+
+    The filter is a table of at most 2**19 words of 64 bits and is broadcast; with very many members it lets more through, and the join sorts it out.
+    """
+    slot = F.col("key1").bitwiseAND(F.lit((1 << _FILTER_BITS) - 1))
+    word, bit = F.shiftright(slot, 6), slot.bitwiseAND(63).cast("int")
+    bits = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)).alias("bits")
+    words = members.groupBy(word.alias("word")).agg(bits)
+    marked = keyed.join(F.broadcast(words), word == F.col("word"))
+    return marked.where(F.call_function("shiftrightunsigned", F.col("bits"), bit).bitwiseAND(1) == 1).select(*keyed.columns)
+
+
 def _groups(members: DataFrame, docs: DataFrame) -> DataFrame:
     """Rows (gid, vids, sizes, tokens, union): groups of documents with one minimum hash, in order of size, their sets one
     after the other, and all tokens of the group (NULL for one document, whose set it is). ``gid`` is the smallest vid."""
     n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lots = members.groupBy("group_hash").agg(F.ceil(F.count(F.lit(1)) / _LOT).alias("lots"))
     dealt = members.join(lots, "group_hash").withColumn("lot", F.pmod(F.xxhash64("vid"), "lots"))
-    once = docs.select("text", *content_key(F.col("text"))).groupBy("key1", "key2").agg(F.first("text").alias("text"))
+    keyed = _passing(docs.select("text", *content_key(F.col("text"))), members)
+    once = keyed.groupBy("key1", "key2").agg(F.first("text").alias("text"))
     keys = ["group_hash", "lot"]
     rows = once.join(dealt, ["key1", "key2"]).select(*keys, "n", "vid", "text")
     ordered = rows.repartition(n_parts, *keys).sortWithinPartitions(*keys, "n", "vid").select(*keys, "vid", "text")
@@ -356,16 +371,21 @@ def set_join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """
     spark = docs.sparkSession
     often = spark.sparkContext.broadcast(frequencies(docs))
-    rows = parked(_sketches(docs, often, percent).withColumn("uid", F.monotonically_increasing_id()), "sketches")
+    path = scratch_path(spark, "sketches")
+    _sketches(docs, often, percent).withColumn("uid", F.monotonically_increasing_id()).write.parquet(path)
+    sketched = spark.read.parquet(path)
+    rows = parked(sketched.drop("prefix"), "documents")
     # Equal sets are one; the row with the smallest uid stands for it.
-    first = rows.where("n > 0").groupBy("set1", "set2").agg(F.min("uid").alias("vid"))
-    first = parked(first, "sets")
+    first = parked(rows.where("n > 0").groupBy("set1", "set2").agg(F.min("uid").alias("vid")), "sets")
     distinct = rows.join(first.select("vid"), F.col("uid") == F.col("vid"))
+    firsts = sketched.join(first.select("vid"), F.col("uid") == F.col("vid"))
+    tokens = parked(_shared_tokens(firsts.select("vid", F.explode("prefix").alias("token"))), "tokens")
+    delete_path(spark, path)
     # Sets alike enough lie in one band of sizes or in two next to each other, so a token is split by pairs of bands.
     band = F.floor(F.log(F.col("n") * 1.0) / (math.log(100 / percent) * (1 + 1e-9)))
-    tokens = _shared_tokens(distinct.select("vid", "n", F.explode("prefix").alias("token")))
-    sides = tokens.select("vid", "n", F.posexplode(F.array(band, band + 1)).alias("side", "band"), "token")
-    matrix = parked(_shared_tokens(sides.select("vid", "n", "side", F.xxhash64("token", "band").alias("token"))), "matrix")
+    sides = tokens.join(distinct.select("vid", "n"), "vid").select("vid", "n", F.posexplode(F.array(band, band + 1)).alias("side", "band"), "token")
+    sides = parked(sides.select("vid", "n", "side", F.xxhash64("token", "band").alias("token")), "sides")
+    matrix = parked(_shared_tokens(sides), "matrix")
     # What all partners on a side share with a document shows among its shared tokens there.
     least = witnesses(F.ceil(F.col("n") * percent / 100).cast("bigint"))
     enough = matrix.groupBy("vid", "n", "side").agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= least).select("vid", "side")

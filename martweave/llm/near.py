@@ -37,7 +37,7 @@ _DRAW_BITS = 16
 _SMALL, _BLOCK = 12, 384
 #: Weight of a block's texts, about three a shingle; long texts make blocks of fewer.
 _BLOCK_WEIGHT = 1_000_000.0
-_COLUMNS = 8192
+_COLUMNS = 2048
 #: Shingles in fewer than one text in this many weigh alike, so that copies of a text do not make it light.
 _RARE = 8.0
 
@@ -219,37 +219,44 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _alike(texts: list[str], idf: np.ndarray) -> np.ndarray:
-    """Weighted Jaccard similarity of all texts of a block with each other."""
+def _alike(texts: pa.Array, n_first: int, idf: np.ndarray) -> np.ndarray:
+    """Weighted Jaccard similarity of the first ``n_first`` texts (rows) with the others, or with themselves where there are no others (columns)."""
     parts, first = [], 0
-    for piece in pieces(iter([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])])):
+    for piece in pieces(iter([pa.RecordBatch.from_arrays([texts], ["text"])])):
         doc, hashes, counts = shingles(split_words(piece.column("text"), ALNUM, True))
         parts.append((doc + first, hashes, counts))
         first += piece.num_rows
     doc, hashes, counts = (np.concatenate(c) for c in zip(*parts, strict=True))
+    del parts
     weights = idf[_idf_bins(hashes)].astype(float)
     total = np.bincount(doc, weights * counts, minlength=len(texts))
+    # A shingle of one text alone adds nothing to any pair.
+    order = np.argsort(hashes, kind="stable")
+    same = hashes[order][1:] == hashes[order][:-1]
+    often = np.zeros(len(order), bool)
+    often[1:], often[:-1] = same, often[:-1] | same
+    keep = np.sort(order[often])
+    doc, hashes, counts, weights = doc[keep], hashes[keep], counts[keep], weights[keep]
     # The n-th occurrence of a shingle is a shingle of its own, so that common weight is a product of matrices.
     row = np.repeat(np.arange(len(doc)), counts)
     nth = (np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)).astype(np.uint64)
-    _, column, often = np.unique(mixed(hashes[row] ^ mixed(nth, 71)), return_inverse=True, return_counts=True)
-    shared = often[column] > 1
-    names, column = np.unique(column[shared], return_inverse=True)
-    doc, weights = doc[row][shared], np.sqrt(weights[row][shared])
+    names, column = np.unique(mixed(hashes[row] ^ mixed(nth, 71)), return_inverse=True)
+    doc, weights = doc[row], np.sqrt(weights[row])
     order = np.argsort(column, kind="stable")
     doc, weights, column = doc[order], weights[order], column[order]
-    common = np.zeros((len(texts), len(texts)))
+    others = slice(n_first, None) if n_first < len(texts) else slice(None)
+    common = np.zeros((n_first, len(total[others])))
     for a in range(0, len(names), _COLUMNS):
         own = slice(*np.searchsorted(column, [a, a + _COLUMNS]))
         dense = np.zeros((len(texts), _COLUMNS))
         dense[doc[own], column[own] - a] = weights[own]
-        common += dense @ dense.T
-    either = total[:, None] + total[None] - common
+        common += dense[:n_first] @ dense[others].T
+    either = total[:n_first, None] + total[None, others] - common
     return np.divide(common, either, out=np.zeros_like(common), where=either > 0)
 
 
-def _forest(links: np.ndarray) -> list[tuple[int, int]]:
-    """As few of the links (rows of two) as connect what all of them connect."""
+def _forest(links: np.ndarray) -> list[int]:
+    """As few of the links (rows of two) as connect what all of them connect, by their places."""
     parent: dict[int, int] = {}
 
     def root(i: int) -> int:
@@ -259,11 +266,11 @@ def _forest(links: np.ndarray) -> list[tuple[int, int]]:
         return i
 
     kept = []
-    for a, b in links.tolist():
+    for i, (a, b) in enumerate(links.tolist()):
         x, y = root(a), root(b)
         if x != y:
             parent[max(x, y)] = min(x, y)
-            kept.append((a, b))
+            kept.append(i)
     return kept
 
 
@@ -279,30 +286,40 @@ def _linked_in_blocks(members: DataFrame, texts: DataFrame, idf: Broadcast, simi
     meets = meets.select("bucket", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "vid", "comp")
     n_parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = ["bucket", "x", "y"]
-    ordered = meets.join(texts, "vid").repartition(n_parts, *keys).sortWithinPartitions(*keys).select(*keys, "block", "vid", "comp", "text")
+    ordered = meets.join(texts, "vid").repartition(n_parts, *keys).sortWithinPartitions(*keys, "block").select(*keys, "block", "vid", "comp", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
         for batch in batches:
-            columns = [c.to_pylist() for c in batch.columns]
-            for bucket, x, y, *row in zip(*columns, strict=True):
-                if (bucket, x, y) != key:
-                    yield from compare(key, held)
-                    key, held = (bucket, x, y), []
-                held.append(row)
-        yield from compare(key, held)
-
-    def compare(key: tuple | None, held: list) -> Iterator[pa.RecordBatch]:
-        if key is None:
+            marks = np.stack([batch.column(i).to_numpy() for i in range(3)], axis=1)
+            edges = [0, *(np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1), batch.num_rows]
+            for a, b in zip(edges, edges[1:], strict=False):
+                if b > a:
+                    if key is not None and (marks[a] != key).any():
+                        yield from compare(key, held)
+                        held = []
+                    key = marks[a]
+                    held.append(batch.slice(a, b - a))
+        if held:
+            yield from compare(key, held)
+
+    def compare(key: np.ndarray, held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        block, vid, comp = (rows[c].to_numpy() for c in ("block", "vid", "comp"))
+        # Rows come by block, so those of the smaller block are the first ones.
+        n = int((block == block[0]).sum()) if key[1] != key[2] else len(block)
+        if n == len(block) and key[1] != key[2]:
             return
-        block, vid, comp = (np.array(c) for c in list(zip(*held, strict=True))[:3])
-        sim = _alike([row[3] for row in held], idf.value)
-        apart = (block[:, None] != block[None]) if key[1] != key[2] else np.ones_like(sim, bool)
-        at = np.argwhere((sim >= similarity) & apart & (comp[:, None] != comp[None]) & (vid[:, None] < vid[None]))
-        kept = _forest(at)
+        sim = _alike(rows["text"].combine_chunks(), n, idf.value)
+        others = slice(n, None) if n < len(block) else slice(None)
+        apart = comp[:n, None] != comp[None, others]
+        if n == len(block):
+            apart &= vid[:, None] < vid[None]
+        at = np.argwhere((sim >= similarity) & apart)
+        x, y, far = vid[:n][at[:, 0]], vid[others][at[:, 1]], sim[at[:, 0], at[:, 1]]
+        kept = _forest(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
         if kept:
-            a, b = np.array(kept).T
-            yield pa.RecordBatch.from_arrays([pa.array(vid[a]), pa.array(vid[b]), pa.array(sim[a, b])], ["a", "b", "sim"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)[kept]), pa.array(np.maximum(x, y)[kept]), pa.array(far[kept])], ["a", "b", "sim"])
 
     return ordered.mapInArrow(run, "a bigint, b bigint, sim double")
 

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from martweave.functions.scalars import quoted
 
-BATCH_BYTES = 2_000_000
+BATCH_BYTES = 1_000_000
 _BASE, _STEP = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 _shipped: set[str] = set()
 
@@ -51,14 +51,14 @@ _powers: dict[int, np.ndarray] = {}
 
 
 def _power(base: int, n: int) -> np.ndarray:
-    """``base`` to the powers 0 to n - 1, modulo 2**64."""
+    """``base`` to the powers 0 to n - 1, modulo 2**64. What a usual batch needs is kept, more is made for a long text alone."""
     known = _powers.get(base)
     if known is None or len(known) < n:
-        size = max(n, BATCH_BYTES + 2)
-        known = np.full(size, base, np.uint64)
+        known = np.full(max(n, BATCH_BYTES + 2), base, np.uint64)
         known[0] = 1
         np.multiply.accumulate(known, out=known)
-        _powers[base] = known
+        if n <= BATCH_BYTES + 2:
+            _powers[base] = known
     return known[:n]
 
 

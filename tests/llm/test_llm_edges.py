@@ -323,7 +323,9 @@ def test_large_buckets_lose_no_link(spark):
         rows.append((i, " ".join(own)))
     table = spark.createDataFrame(rows, "doc_id bigint, text string")
     idf = near.idf_table(table)
-    sim = near._alike([t for _, t in rows], idf)
+    sim = near._alike(pa.array([t for _, t in rows]), 260, idf)
+    halves = near._alike(pa.array([t for _, t in rows]), 100, idf)
+    assert np.allclose(halves, sim[:100, 100:])
     first = pa.array([rows[3][1]] * 260)
     assert np.allclose(np.delete(sim[3], 3), np.delete(near.weighted_jaccard(first, pa.array([t for _, t in rows]), idf), 3))
     label = np.arange(260)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from martweave.llm import decontaminate, near, packing, substrings, toxicity
 from martweave.llm.queries import tokenizer_json
-from martweave.session import scratch_path
+from martweave.session import delete_path, scratch_path, scratch_scope
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,10 +54,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order over ``documents``; each one's rows are written and read again by the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages in order over ``documents``; each one's rows are written and read again by the next.
+
+    What a stage keeps in scratch goes when its rows are written, and these go when the next stage has read them.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before is not None:
+            delete_path(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs

@@ -234,7 +234,8 @@ def _alike(texts: pa.Array, n_first: int, idf: np.ndarray) -> np.ndarray:
     order = np.argsort(hashes, kind="stable")
     same = hashes[order][1:] == hashes[order][:-1]
     often = np.zeros(len(order), bool)
-    often[1:], often[:-1] = same, often[:-1] | same
+    often[1:] = same
+    often[:-1] |= same
     keep = np.sort(order[often])
     doc, hashes, counts, weights = doc[keep], hashes[keep], counts[keep], weights[keep]
     # The n-th occurrence of a shingle is a shingle of its own, so that common weight is a product of matrices.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -88,6 +89,14 @@ def path_stem(path: Column | str) -> Column:
     return F.regexp_replace(path_name(path), r"(?<=.)\.[^.]*$", "")
 
 
+def printed_bytes(columns: Sequence[str]) -> Column:
+    """Bytes of a row printed as one delimited line: its values in UTF-8, and a separator after each. NULL prints as nothing."""
+    total = F.lit(len(columns)).cast("bigint")
+    for column in columns:
+        total = total + F.coalesce(F.octet_length(quoted(column).cast("string")), F.lit(0))
+    return total
+
+
 def list_values(text: Column | str) -> Column:
     """Trimmed members of a quoted comma-separated list; empty members are dropped."""
     members = F.split(F.regexp_replace(_col(text), '"', ""), ",")

@@ -12,18 +12,23 @@ read from one written copy; the copy also survives the loss of executors.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from martweave.functions.scalars import quoted
+from martweave.functions.scalars import printed_bytes, quoted
 from martweave.operators.sizing import broadcast_if_small
 from martweave.session import parked
 
 # monotonically_increasing_id keeps the partition above, and the row within it below, this bit.
 _ROW_BITS = 33
 _SHALLOW_PAGE_ROWS = 100_000
+# Chunks are cut anew after so many times their bound.
+_CHUNKS_PER_STRETCH = 32
 
 
 def row_index(
@@ -88,6 +93,73 @@ def chunk_ids(
     return _chunked(indexed, df.columns, rows_per_chunk, name)
 
 
+def chunk_ids_by_bytes(
+    df: DataFrame,
+    order_by: Sequence[str],
+    max_bytes: int,
+    size: Column | None = None,
+    name: str = "chunk_id",
+    unique: bool = True,
+) -> DataFrame:
+    """0-based chunk of each row; chunks are runs of the ordering of at most ``max_bytes`` each.
+
+    ``size`` is the bytes of a row (default: ``printed_bytes`` of all columns). A row above half the bound is a chunk
+    of its own, above the bound too. The others are cut by the running sum of bytes: with no row larger than m, those that
+    start in the same ``max_bytes - m`` bytes fit together whatever came before, so no cut depends on
+    another one. m is taken anew for every stretch of 32 bounds, and a stretch begins a chunk.
+
+    No window spans the table: see ``running_totals``; the chunks, one row each, are numbered by ``row_index``.
+    """
+    if max_bytes < 1:
+        raise ValueError("max_bytes must be positive")
+    size = (printed_bytes(df.columns) if size is None else size).cast("bigint")
+    heavy = (size * 2 > max_bytes).cast("bigint")
+    summed = running_totals(df.withColumns({"_size": size, "_heavy": heavy}), order_by, {"_end": "_size", "_heavies": "_heavy"}, unique)
+    # Each heavy row opens a run for itself and one for what follows it.
+    offset = summed.withColumns({"_start": F.col("_end") - F.col("_size"), "_run": F.col("_heavies") * 2 - F.col("_heavy")})
+    stretch = max_bytes * _CHUNKS_PER_STRETCH
+    offset = offset.withColumn("_stretch", F.expr(f"_start div {stretch}L"))
+    largest = offset.groupBy("_stretch").agg(F.coalesce(F.max(F.when(F.col("_heavy") == 0, F.col("_size"))), F.lit(0)).alias("_most"))
+    offset = offset.join(broadcast_if_small(parked(largest, "stretches")), "_stretch")
+    offset = offset.withColumn("_block", F.expr(f"(_start - _stretch * {stretch}L) div ({max_bytes}L - _most)"))
+    keys = ["_stretch", "_run", "_block"]
+    # The keys ascend along the ordering, and there are as many as chunks.
+    numbered = parked(row_index(offset.select(*keys).distinct(), keys, name="_index"), "chunks")
+    return offset.join(broadcast_if_small(numbered), keys).select(*[quoted(c) for c in df.columns], (F.col("_index") - 1).alias(name))
+
+
+def running_totals(df: DataFrame, order_by: Sequence[str], totals: dict[str, str], unique: bool = True) -> DataFrame:
+    """``df`` with sums of bigint columns along the ordering (NULL first), each row's own value included: name -> summed column.
+
+    Values add up within range partitions as the rows stream through in their order, where a window would need another shuffle;
+    one row per partition offsets them. The rows are written once, so that both agree. NULL adds nothing.
+    An ordering that leaves many rows equal takes ``unique=False``.
+    """
+    columns, rows = [quoted(c) for c in order_by], df
+    if not unique:
+        rows = parked(df.withColumn("_tie", F.monotonically_increasing_id()), "row-ties")
+        columns.append(F.col("_tie"))
+    ordered = rows.repartitionByRange(*columns).sortWithinPartitions(*columns).drop("_tie")
+    names, summed = list(totals), list(totals.values())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ends = [0] * len(names)
+        for batch in batches:
+            sums = [end + np.cumsum(batch.column(c).fill_null(0).to_numpy()) for end, c in zip(ends, summed, strict=True)]
+            if batch.num_rows:
+                ends = [int(s[-1]) for s in sums]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, sums)], [*batch.schema.names, *names])
+
+    schema = StructType([*ordered.schema.fields, *(StructField(n, LongType()) for n in names)])
+    placed = parked(ordered.mapInArrow(run, schema).withColumn("_part", F.spark_partition_id()), "running-totals")
+    parts = placed.groupBy("_part").agg(*(F.sum(quoted(c)).alias(f"_of_{n}") for n, c in totals.items()))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range partition.
+    starts = parts.select("_part", *(F.coalesce(F.sum(f"_of_{n}").over(before), F.lit(0)).alias(f"_to_{n}") for n in names))
+    whole = placed.join(F.broadcast(starts), "_part")
+    return whole.select(*map(quoted, df.columns), *((quoted(n) + F.col(f"_to_{n}")).alias(n) for n in names))
+
+
 def batch_ids(
     df: DataFrame, order_by: Sequence[str], batches: int = 10, name: str = "batch_id", unique: bool = True
 ) -> DataFrame:

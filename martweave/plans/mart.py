@@ -13,8 +13,8 @@ from martweave.model import FACT, TableAction, TableSpec
 from martweave.operators.keys import lost_keys
 from martweave.operators.sizing import broadcast_if_small
 from martweave.plans.merge import merge_extracts
-from martweave.plans.publish import apply_actions, new_run_id, publish_release, published_tables
-from martweave.session import parked, scratch_scope
+from martweave.plans.publish import apply_actions, current_sequence, new_run_id, publish_release, published_tables
+from martweave.session import parked, path_exists, scratch_scope
 
 
 @dataclass(frozen=True)
@@ -81,6 +81,8 @@ def refresh_mart(
     rejects: dict[str, DataFrame] = {}
     with scratch_scope(spark):
         merged = merge_extracts(specs, inputs, park_facts=True)
+        # The number first: a release in between then counts as a later one.
+        base = current_sequence(spark, root) if path_exists(spark, f"{root}/releases") else 0
         stored = published_tables(spark, root)
         changed = apply_actions(stored, merged.tables, actions_for(specs, conditions))
         orphans = _orphans_of_lost_keys(specs, stored, changed)
@@ -90,5 +92,5 @@ def refresh_mart(
             path = f"{root}/rejects/{run_id}/{name}"
             refused.write.mode("overwrite").parquet(path)
             rejects[name] = spark.read.schema(refused.schema).parquet(path)
-        release = publish_release(spark, root, changed, run_id, partition_by)
+        release = publish_release(spark, root, changed, run_id, partition_by, base)
     return Refresh(release, rejects)

@@ -10,6 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from martweave.functions.scalars import quoted
 from martweave.operators.actions import delete_where, latest_per_key, put_rows, require_unique, without_keys
+from martweave.plans.key_index import files_with_keys, update_key_index
 from martweave.session import delete_path, parked, scratch_scope
 from martweave.sources.files import overwrite_partitions
 
@@ -27,6 +28,7 @@ def upsert_partitions(
     latest_by: Sequence[str] = (),
     rows_move: bool = True,
     max_partitions: int | None = MAX_DYNAMIC_PARTITIONS,
+    key_index: bool = False,
 ) -> int:
     """Upsert ``source`` into the table at ``path``; returns how many partitions were rewritten.
 
@@ -36,13 +38,19 @@ def upsert_partitions(
     partition) the table outside the source's own partitions is not searched for keys at all.
     Running the same upsert again gives the same table, so repeating it after a failure is safe.
 
+    ``key_index`` looks the source's keys up in the index beside the table (see ``key_index``), so that only files that
+    may hold one of them are searched, and keeps it up after the write. The result is the same.
+
     Partitions are switched one by one at the end of the write; where readers need all or
     nothing, publish a release instead.
     """
     with scratch_scope(spark):
         # Several passes decide what to rewrite, and all must see the same rows.
         rows = parked(latest_per_key(source, keys, latest_by) if latest_by else source, "upsert-source")
-        return _upsert_parked(spark, path, rows, list(keys), list(partition_by), condition, rows_move, max_partitions)
+        touched = _upsert_parked(spark, path, rows, list(keys), list(partition_by), condition, rows_move, max_partitions, key_index)
+    if key_index:
+        update_key_index(spark, path, keys, partition_by)
+    return touched
 
 
 def _upsert_parked(
@@ -54,6 +62,7 @@ def _upsert_parked(
     condition: Column | str | None,
     rows_move: bool,
     max_partitions: int | None,
+    key_index: bool,
 ) -> int:
     target = _read_typed(spark, path, source.schema, partition_by)
     known = {c.lower() for c in target.columns}
@@ -63,7 +72,12 @@ def _upsert_parked(
     small = require_unique(source, keys).small
 
     incoming = _partitions(source, partition_by, max_partitions)
-    leaving = _leaving_rows(target, source, keys if rows_move else [], condition, small)
+    searched = target
+    if key_index and rows_move:
+        files = files_with_keys(spark, path, source, keys, partition_by, target.schema)
+        if files is not None:
+            searched = spark.read.schema(target.schema).option("basePath", path).parquet(*files) if files else target.limit(0)
+    leaving = _leaving_rows(target, searched, source, keys if rows_move else [], condition, small)
     outgoing = _partitions(leaving, partition_by, max_partitions)
     touched = incoming | outgoing
     _refuse_beyond(max_partitions, touched)
@@ -97,8 +111,9 @@ def delete_from_partitions(
     partition_by: Sequence[str],
     schema: StructType | None = None,
     max_partitions: int | None = MAX_DYNAMIC_PARTITIONS,
+    key_index: Sequence[str] = (),
 ) -> int:
-    """Delete by predicate, rewriting only the partitions that hold matching rows.
+    """Delete by predicate, rewriting only the partitions that hold matching rows. ``key_index`` names the keys of an index to keep up.
 
     Without ``schema`` Spark infers the types of the partition columns from directory names.
     """
@@ -111,6 +126,8 @@ def delete_from_partitions(
     before = target.where(_in_partitions(target, touched, partition_by))
     emptied = touched - _partitions(delete_where(before, predicate), partition_by, None)
     _rewrite(spark, path, target, touched, emptied, partition_by, lambda rows: delete_where(rows, predicate))
+    if key_index:
+        update_key_index(spark, path, key_index, partition_by)
     return len(touched)
 
 
@@ -162,13 +179,13 @@ def _assert_same_directories(rows: DataFrame, partition_by: Sequence[str]) -> No
 
 
 def _leaving_rows(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], condition: Column | str | None, small: bool
+    target: DataFrame, searched: DataFrame, source: DataFrame, keys: Sequence[str], condition: Column | str | None, small: bool
 ) -> DataFrame:
-    """Target rows that the upsert replaces (when ``keys`` are given) or deletes."""
+    """Target rows that the upsert replaces (when ``keys`` are given; all of them are in ``searched``) or deletes."""
     leaving = target.limit(0)
     if keys:
         changed = source.select(*[quoted(k) for k in keys])
-        leaving = target.join(F.broadcast(changed) if small else changed, list(keys), "left_semi").select(*target.columns)
+        leaving = searched.join(F.broadcast(changed) if small else changed, list(keys), "left_semi").select(*target.columns)
     if condition is None:
         return leaving
     predicate = F.expr(condition) if isinstance(condition, str) else condition

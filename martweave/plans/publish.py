@@ -4,6 +4,10 @@ A release lives in ``<root>/release=<run_id>/<table>``. The log ``<root>/release
 directory of every table per release; readers follow its last entry. Writing that entry is the
 only switch, so a failed table leaves the previous release current and its own files in place
 for inspection. Tables that did not change keep their earlier directory and are not rewritten.
+
+The entry of a release is one file, named by its number and created only if no other publisher has that number. Who comes
+second reads the log again: if the other release changed none of the same tables, both are joined under the next number,
+else the second one fails and nothing is lost.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ from martweave.functions.scalars import quoted
 from martweave.model import TableAction
 from martweave.operators import actions as act
 from martweave.operators.verify import checksum_aggregates, table_checksum
+from martweave.session import delete_path, move_new, path_exists
 from martweave.sources.files import clustered
 
 LOG_SCHEMA = (
@@ -39,6 +44,10 @@ class PublishError(RuntimeError):
     """A written table does not match what was to be written."""
 
 
+class PublishConflict(PublishError):
+    """Another release changed the same tables first; make the content anew from it and publish again."""
+
+
 @dataclass(frozen=True)
 class StagedTable:
     """A table written and checked, but not yet visible to readers."""
@@ -126,12 +135,16 @@ def publish_release(
     tables: dict[str, DataFrame],
     run_id: str | None = None,
     partition_by: dict[str, Sequence[str]] | None = None,
+    base: int | None = None,
 ) -> DataFrame:
     """Write, verify and switch to a release; returns its log rows.
 
     Tables start in the order given (dimensions first, then facts). Publishing the current
     ``run_id`` again changes nothing, and a run that failed may be repeated under its ``run_id``:
-    what it left behind is overwritten, as no release names it. One publisher per root at a time.
+    what it left behind is overwritten, as no release names it.
+
+    Several may publish to one root. A release that changed one of ``tables`` after the release that these were made from (``base``, by
+    default the current one) raises ``PublishConflict``; releases of other tables are kept. Tables that refer to each other belong in one release.
     """
     root = root.rstrip("/")
     run_id = run_id or new_run_id()
@@ -141,21 +154,58 @@ def publish_release(
         return current_release(spark, root)
     if release_log(spark, root).where(F.col("run_id") == run_id).take(1):
         raise ValueError(f"run '{run_id}' is an earlier release of {root}")
-    sequence = 1 + max((row["sequence"] for row in previous.values()), default=0)
-    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    if base is not None and base != _sequence_of(previous):
+        _refuse_overlap(tables, _release(spark, root, base), previous)
 
     def stage(name: str) -> StagedTable:
         return stage_table(tables[name], f"{root}/release={run_id}/{name}", (partition_by or {}).get(name, ()))
 
-    entries = {name: tuple(row[c] for c in _TABLE_COLUMNS) for name, row in previous.items()}
+    staged = {}
     # Tables are independent until the switch, so their jobs share the cluster.
     with ThreadPoolExecutor(PARALLEL_TABLES) as pool:
-        for name, staged in zip(tables, pool.map(stage, tables)):
-            entries[name] = (staged.path, staged.row_count, staged.checksum, tables[name].schema.json())
-    rows = [(sequence, run_id, now, name, *entry) for name, entry in entries.items()]
-    # One file, so readers see all of the entry or nothing of it.
-    spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/releases")
-    return current_release(spark, root)
+        for name, done in zip(tables, pool.map(stage, tables)):
+            staged[name] = (done.path, done.row_count, done.checksum, tables[name].schema.json())
+    while True:
+        sequence = 1 + _sequence_of(previous)
+        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        entries = {name: tuple(row[c] for c in _TABLE_COLUMNS) for name, row in previous.items()} | staged
+        rows = [(sequence, run_id, now, name, *entry) for name, entry in entries.items()]
+        if _append_entry(spark, root, sequence, rows):
+            return current_release(spark, root)
+        seen, previous = previous, {row["table_name"]: row for row in current_release(spark, root).collect()}
+        _refuse_overlap(tables, seen, previous)
+
+
+def _append_entry(spark: SparkSession, root: str, sequence: int, rows: list[tuple]) -> bool:
+    """Put the log rows of a release into place as one file, unless another publisher already has that number.
+
+    The file is written elsewhere and moved without overwriting, which a shared file system does in one step.
+    """
+    place = f"{root}/releases/{sequence:019d}.parquet"
+    if path_exists(spark, place):
+        return False
+    written = f"{root}/releases/_new/{uuid.uuid4().hex}"
+    spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.parquet(written)
+    (file,) = spark.read.parquet(written).inputFiles()
+    moved = move_new(spark, file, place)
+    delete_path(spark, written)
+    # A local file system looks first and moves then; what stands there in the end decides.
+    return moved and release_log(spark, root).where(F.col("sequence") == sequence).select("run_id").distinct().collect() == [(rows[0][1],)]
+
+
+def _sequence_of(release: dict[str, Row]) -> int:
+    return max((row["sequence"] for row in release.values()), default=0)
+
+
+def _release(spark: SparkSession, root: str, sequence: int) -> dict[str, Row]:
+    return {row["table_name"]: row for row in release_log(spark, root).where(F.col("sequence") == sequence).collect()}
+
+
+def _refuse_overlap(tables: dict[str, DataFrame], before: dict[str, Row], now: dict[str, Row]) -> None:
+    """Raise when one of ``tables`` has another directory now than it had before."""
+    changed = [name for name in tables if name in now and (name not in before or before[name]["path"] != now[name]["path"])]
+    if changed:
+        raise PublishConflict(f"release {_sequence_of(now)} ({next(iter(now.values()))['run_id']}) changed {', '.join(changed)} in the meantime")
 
 
 def release_log(spark: SparkSession, root: str) -> DataFrame:
@@ -170,6 +220,11 @@ def current_release(spark: SparkSession, root: str) -> DataFrame:
     return log.join(last, "sequence").select(*log.columns)
 
 
+def current_sequence(spark: SparkSession, root: str) -> int:
+    """Number of the release that readers see; 0 without releases."""
+    return release_log(spark, root).agg(F.coalesce(F.max("sequence"), F.lit(0)).alias("sequence")).first()["sequence"]
+
+
 def read_published(spark: SparkSession, root: str, table: str) -> DataFrame:
     """A table of the current release, with the columns and types it was published with."""
     found = current_release(spark, root).where(F.col("table_name") == table).collect()

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from martweave.functions.scalars import NEXT_STAGE, next_stage, stage_path
 from martweave.operators import backlog
-from martweave.queries.inputs import JOBS, RANKED_JOBS, jobs
+from martweave.operators.gates import covered_seconds, merge_intervals
+from martweave.queries.inputs import JOBS, RANKED_JOBS, jobs, table
+from martweave.session import parked
 
 
 def _ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +59,28 @@ def any_top_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ORDER = "PARTITION BY stage ORDER BY priority, ts, name"
 _FLOW = " ".join(f"WHEN '{stage}' THEN '{following}'" for stage, following in NEXT_STAGE.items())
 
+def blocked_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How long each job waits for top-priority jobs of its stage: these take as many minutes as their value says, others wait two hours."""
+    value = table(spark, sf_dir, "events").select("event_id", F.floor(F.col("value") * 60).alias("seconds"))
+    ranked = _ranked(spark, sf_dir).join(value, "event_id")
+    top = ranked.where("priority = 1").withColumn("done", F.col("ts") + F.make_dt_interval(secs=F.col("seconds")))
+    waiting = ranked.where("priority <> 1").select("event_id", "stage", "ts", (F.col("ts") + F.expr("INTERVAL 2 HOURS")).alias("until"))
+    closed = parked(merge_intervals(top, "ts", "done", ["stage"]), "closed")
+    return covered_seconds(waiting, "ts", "until", closed, "ts", "done", ["stage"], "blocked_seconds").select("event_id", "stage", "blocked_seconds")
+
+
+_BLOCKED = f"""WITH ranked AS (SELECT j.*, CAST(floor(e.value * 60) AS BIGINT) AS seconds FROM ({RANKED_JOBS}) j JOIN events e USING (event_id)),
+    top AS (SELECT stage, ts, ts + to_seconds(seconds) AS done FROM ranked WHERE priority = 1 AND seconds > 0),
+    marked AS (SELECT *, coalesce(ts > max(done) OVER (PARTITION BY stage ORDER BY ts, done ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS opens FROM top),
+    grouped AS (SELECT *, count(*) FILTER (opens) OVER (PARTITION BY stage ORDER BY ts, done ROWS UNBOUNDED PRECEDING) AS part FROM marked),
+    closed AS (SELECT stage, min(ts) AS ts, max(done) AS done FROM grouped GROUP BY stage, part)
+    SELECT w.event_id, w.stage, coalesce(sum(epoch_us(least(c.done, w.ts + INTERVAL 2 HOUR)) - epoch_us(greatest(c.ts, w.ts))) FILTER (c.ts IS NOT NULL), 0) / 1000000
+        AS blocked_seconds
+    FROM ranked w LEFT JOIN closed c ON c.stage = w.stage AND c.ts < w.ts + INTERVAL 2 HOUR AND c.done > w.ts WHERE w.priority <> 1 GROUP BY 1, 2"""
+
+
 QUERIES = {
+    "blocked_seconds": (blocked_seconds, _BLOCKED),
     "job_priority": (
         job_priority,
         f"""SELECT event_id, user_id, name, ts, stage, priority AS strict_priority,

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from martweave.operators import keys, verify
 from martweave.operators.schema_diff import schema_diff, schema_diff_by_table
+from martweave.plans.hash_tree import diff_stored, store_with_digests
 from martweave.queries.inputs import TABLES, checksum_sql, good_customers, moment, table
 from martweave.queries.mart import CUSTOMER_FK
-from martweave.sources.extracts import profile_columns
+from martweave.session import scratch_path
+from martweave.sources.extracts import list_catalog_columns, list_columns, profile_columns
 
 
 def _orders_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +83,38 @@ def row_diff_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify.row_diff(lines, lines.where("l_returnflag <> 'R'"), ["l_orderkey"])
 
 
+def stored_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two stored copies of the orders, compared through their digest trees; few rows differ."""
+    orders = table(spark, sf_dir, "orders")
+    copy = orders.where("o_totalprice < 470000").withColumn("o_orderstatus", F.when(F.col("o_totalprice") < 1500, "X").otherwise(F.col("o_orderstatus")))
+    paths = [scratch_path(spark, "digested") for _ in range(2)]
+    for df, path in zip((orders, copy), paths, strict=True):
+        store_with_digests(df, path, ["o_orderkey"], fanout=4, depth=3)
+    return diff_stored(spark, *paths, ["o_orderkey"]).rows
+
+
+def schema_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns and types of all tables, from the frames and from a catalogue; no rows are read."""
+    tables = {name: table(spark, sf_dir, name) for name in TABLES}
+    database = scratch_path(spark, "listing").rsplit("/", 1)[1].replace("-", "_")
+    spark.sql(f"CREATE DATABASE {database}")
+    for name in tables:
+        spark.sql(f"CREATE TABLE {database}.{name} USING parquet LOCATION '{sf_dir}/{name}.parquet'")
+    listed = list_columns(spark, tables).unionByName(list_catalog_columns(spark, database))
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return listed.withColumn("schema", F.when(F.col("schema") == database, "catalogue").otherwise(F.col("schema")))
+
+
+_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "TIMESTAMP": "timestamp_ntz", "FLOAT[]": "array<float>"}
+_TYPE_SQL = "CASE column_type " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in _TYPES.items()) + " END"
+_SCHEMA_SQL = " UNION ALL ".join(
+    f"""SELECT '{schema}' AS "schema", '{name}' AS "table", CAST(row_number() OVER () AS INTEGER) AS position, column_name AS "column", {_TYPE_SQL} AS type, true AS nullable
+    FROM (DESCRIBE {name})"""
+    for schema in ("public", "catalogue")
+    for name in TABLES
+)
+
+
 def processed_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
     return verify.unprocessed(documents, table(spark, sf_dir, "labels"), ["doc_id"])
@@ -222,6 +256,12 @@ QUERIES = {
             WHEN count(*) FILTER (WHERE l_returnflag = 'R') > 0 THEN 'changed' ELSE 'equal' END AS status
         FROM lineitem GROUP BY 1""",
     ),
+    "stored_diff": (
+        stored_diff,
+        """SELECT o_orderkey, 1::BIGINT AS left_rows, (o_totalprice < 470000)::BIGINT AS right_rows,
+        CASE WHEN o_totalprice < 470000 THEN 'changed' ELSE 'only_left' END AS status FROM orders WHERE o_totalprice >= 470000 OR o_totalprice < 1500""",
+    ),
+    "schema_listing": (schema_listing, _SCHEMA_SQL),
     "processed_anti": (
         processed_anti,
         """SELECT doc_id, lang, source, n_chars FROM documents d

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 from martweave.functions.scalars import days_before
 from martweave.model import FACT, ForeignKey, TableAction, TableSpec
 from martweave.operators import actions, verify
-from martweave.operators.keys import fk_valid, with_key
+from martweave.operators.keys import check_keys, fk_valid, with_key
+from martweave.plans.key_index import update_key_index
 from martweave.plans.mart import refresh_mart
 from martweave.plans.merge import MergeResult, merge_extracts
 from martweave.plans.partitions import delete_from_partitions, upsert_partitions
@@ -38,15 +40,22 @@ _RETAIN_FROM = days_before(AS_OF)
 
 
 def merged_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Upsert the arriving orders into the stored ones, keep 60 days of the latter, add the customer."""
+    """Upsert the arriving orders into the stored ones, keep 60 days of the latter, add the customer.
+
+    Nothing goes without a trace: arriving orders that are refused, and stored ones whose customer is gone, are there with
+    their ``reject_reasons`` and without customer; the merged rows have none.
+    """
     customers = good_customers(spark, sf_dir)
-    valid = fk_valid(with_key(arriving_orders(spark, sf_dir), ["o_orderkey"]), customers, CUSTOMER_FK)
-    arriving = parked(valid, "arriving")
+    spec = TableSpec("orders", ("o_orderkey",), (CUSTOMER_FK,), FACT)
+    arriving = check_keys(arriving_orders(spark, sf_dir), spec, {"customer": customers})
+    arriving = replace(arriving, marked=parked(arriving.marked, "arriving"))
     retained = actions.retain_days(stored_orders(spark, sf_dir), "o_orderdate", AS_OF)
-    orders = actions.upsert(retained, arriving, ["o_orderkey"])
-    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
-        "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "c_custkey", "c_name", "c_mktsegment"
-    )
+    orders = actions.upsert(retained, arriving.accepted(), ["o_orderkey"])
+    merged = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
+    gone = F.when(F.col("c_custkey").isNull(), "stored: no match in customer").otherwise("")
+    refused = arriving.refused().withColumn("reject_reasons", F.concat(F.lit("arriving: "), F.concat_ws(", ", "reject_reasons")))
+    rows = merged.withColumn("reject_reasons", gone).unionByName(refused, allowMissingColumns=True)
+    return rows.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "c_custkey", "c_name", "c_mktsegment", "reject_reasons")
 
 
 def delete_before(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -256,6 +265,28 @@ def partition_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def indexed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders move to 2001 again, found through the key index; a second upsert meets the index that the first one kept up."""
+    path = _stored_by_year(spark, sf_dir)
+    update_key_index(spark, path, ["o_orderkey"], ["order_year"])
+    orders = table(spark, sf_dir, "orders").withColumn("o_orderdate", moment("2001-07-31")).withColumn("order_year", F.lit(2001))
+    for status, least in (("U", 400_000), ("V", 440_000)):
+        arriving = orders.where(F.col("o_totalprice") >= least).withColumn("o_orderstatus", F.lit(status))
+        upsert_partitions(spark, path, arriving, ["o_orderkey"], ["order_year"], key_index=True)
+    return spark.read.parquet(path)
+
+
+def merged_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces without a declared schema: types widen, and a column that only the last piece has survives."""
+    orders = table(spark, sf_dir, "orders")
+    pieces = [
+        orders.where("o_orderstatus = 'O'").select("o_orderkey", F.col("o_custkey").cast("int").alias("o_custkey"), F.to_date("o_orderdate").alias("placed")),
+        orders.where("o_orderstatus = 'P'").select(F.col("o_orderkey").cast("string").alias("O_ORDERKEY"), "o_custkey", F.col("o_orderdate").alias("placed")),
+        orders.where("o_orderstatus = 'F'").select("o_orderkey", F.col("o_totalprice").alias("o_custkey"), "o_orderpriority"),
+    ]
+    return merge_extracts([TableSpec("orders", ("o_orderkey",), kind=FACT)], {"orders": pieces}).tables["orders"]
+
+
 _MERGE_INPUT = """WITH pieces AS (
     SELECT CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN NULL ELSE o_orderkey END AS o_orderkey,
         o_custkey, o_totalprice, CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS o_orderpriority FROM orders),
@@ -277,11 +308,15 @@ QUERIES = {
     "merged_mart": (
         merged_mart,
         f"""WITH good AS (SELECT * FROM customer WHERE c_acctbal >= 0),
-        arriving AS (SELECT * FROM ({ARRIVING_ORDERS}) WHERE o_custkey IN (SELECT c_custkey FROM good)),
+        arrived AS (SELECT *, o_custkey IN (SELECT c_custkey FROM good) AS known FROM ({ARRIVING_ORDERS})),
+        arriving AS (SELECT * EXCLUDE (known) FROM arrived WHERE known),
         kept AS (SELECT * FROM ({STORED_ORDERS}) s WHERE o_orderdate >= TIMESTAMP '{_RETAIN_FROM}'
             AND NOT EXISTS (SELECT 1 FROM arriving a WHERE a.o_orderkey = s.o_orderkey))
-        SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate, c_custkey, c_name, c_mktsegment
-        FROM (SELECT * FROM arriving UNION ALL SELECT * FROM kept) JOIN good ON o_custkey = c_custkey""",
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, c_custkey, c_name, c_mktsegment,
+            CASE WHEN c_custkey IS NULL THEN 'stored: no match in customer' ELSE '' END AS reject_reasons
+        FROM (SELECT * FROM arriving UNION ALL SELECT * FROM kept) LEFT JOIN good ON o_custkey = c_custkey
+        UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, NULL, NULL, NULL,
+            'arriving: no match in customer' FROM arrived WHERE NOT known""",
     ),
     "delete_before": (
         delete_before,
@@ -363,6 +398,19 @@ QUERIES = {
             CASE WHEN NOT known THEN 'no match in customer' END) AS reject_reasons
         FROM checked WHERE o_orderkey IS NULL OR NOT known""",
     ),
+    "merged_schemas": (
+        merged_schemas,
+        """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey,
+            CASE o_orderstatus WHEN 'F' THEN o_totalprice ELSE CAST(o_custkey AS DOUBLE) END AS o_custkey,
+            CASE o_orderstatus WHEN 'O' THEN date_trunc('day', o_orderdate) WHEN 'P' THEN o_orderdate END AS placed,
+            CASE o_orderstatus WHEN 'F' THEN o_orderpriority END AS o_orderpriority FROM orders WHERE o_orderstatus IN ('O', 'P', 'F')""",
+    ),
+    "indexed_upsert": (
+        indexed_upsert,
+        f"""SELECT o_orderkey, o_custkey, CASE WHEN o_totalprice >= 440000 THEN 'V' ELSE 'U' END AS o_orderstatus, o_totalprice,
+            TIMESTAMP '2001-07-31' AS o_orderdate, o_orderpriority, 2001 AS order_year FROM orders WHERE o_totalprice >= 400000
+        UNION ALL SELECT *, CAST(year(o_orderdate) AS INTEGER) FROM ({STORED_ORDERS}) WHERE o_totalprice < 400000""",
+    ),
     "partition_upsert": (
         partition_upsert,
         f"""SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus, o_totalprice, TIMESTAMP '2001-07-31' AS o_orderdate,

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martweave.operators import ordering
+from martweave.plans.pages import read_page, store_pages
 from martweave.queries.inputs import table
 from martweave.session import scratch_path
 from martweave.sources.files import rows_per_file, write_bounded, write_chunks
@@ -40,6 +43,27 @@ def chunk_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordering.chunk_ids(table(spark, sf_dir, "orders"), ["o_orderkey"], 1000)
 
 
+_CHUNK_BYTES = 30_000
+
+
+def chunk_ids_by_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents in chunks of bounded size; some are larger than the bound."""
+    documents = table(spark, sf_dir, "documents").select("source", "doc_id", "lang", "text")
+    chunked = ordering.chunk_ids_by_bytes(documents, ["source", "doc_id"], _CHUNK_BYTES)
+    return chunked.select("source", "doc_id", "chunk_id")
+
+
+def stored_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages of the orders by price, read one after the other from the stored pages."""
+    path = scratch_path(spark, "pages")
+    orders = table(spark, sf_dir, "orders")
+    n = orders.count()
+    store_pages(orders, path, ["o_totalprice", "o_orderkey"], rows_per_file=-(-n // 20))
+    size = -(-n // 12)
+    pages = [read_page(spark, path, k * size, size).withColumn("page", F.lit(k)) for k in range(12)]
+    return reduce(DataFrame.unionByName, pages).withColumnRenamed("_row", "row_index")
+
+
 def batch_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordering.batch_ids(table(spark, sf_dir, "customer"), ["c_name"], batches=10)
 
@@ -107,6 +131,27 @@ QUERIES = {
         chunk_ids,
         "SELECT *, (row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 AS chunk_id FROM orders",
     ),
+    "chunk_ids_by_bytes": (
+        chunk_ids_by_bytes,
+        f"""WITH sized AS (
+            SELECT source, doc_id, 4 + coalesce(strlen(source), 0) + strlen(doc_id::VARCHAR) + coalesce(strlen(lang), 0) + coalesce(strlen(text), 0) AS size
+            FROM documents),
+        placed AS (
+            SELECT *, size * 2 > {_CHUNK_BYTES} AS heavy, sum(size) OVER w - size AS start,
+                2 * count(*) FILTER (size * 2 > {_CHUNK_BYTES}) OVER w - (size * 2 > {_CHUNK_BYTES})::INT AS run
+            FROM sized WINDOW w AS (ORDER BY source NULLS FIRST, doc_id ROWS UNBOUNDED PRECEDING)),
+        most AS (
+            SELECT *, start // {32 * _CHUNK_BYTES} AS stretch,
+                coalesce(max(CASE WHEN NOT heavy THEN size END) OVER (PARTITION BY start // {32 * _CHUNK_BYTES}), 0) AS most
+            FROM placed)
+        SELECT source, doc_id, dense_rank() OVER (ORDER BY stretch, run, (start - stretch * {32 * _CHUNK_BYTES}) // ({_CHUNK_BYTES} - most)) - 1 AS chunk_id
+        FROM most""",
+    ),
+    "stored_pages": (
+        stored_pages,
+        """SELECT *, CAST((row_index - 1) // ((SELECT count(*) + 11 FROM orders) // 12) AS INTEGER) AS page
+        FROM (SELECT *, row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS row_index FROM orders)""",
+    ),
     "batch_ids": (
         batch_ids,
         """SELECT *, (row_number() OVER (ORDER BY c_name) - 1) // ((SELECT count(*) + 9 FROM customer) // 10)

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 CLUSTER_PARTITIONS = 20_000
@@ -98,6 +99,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
 
 
+def move_new(spark: SparkSession, source: str, target: str) -> bool:
+    """Move a file to ``target``, which must not exist; whether that was so."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(target)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(place.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(jvm.org.apache.hadoop.fs.Path(source), place, options)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in str(error.java_exception):
+            return False
+        raise
+    return True
+
+
 def parked(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written to the scratch folder once and read back.
 

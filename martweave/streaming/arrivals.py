@@ -72,6 +72,43 @@ def drain_new(arrivals: DataFrame, path: str, checkpoint: str, keys: Sequence[st
     )
 
 
+def drain_new_within(
+    arrivals: DataFrame, path: str, late_path: str, checkpoint: str, keys: Sequence[str], time: str, delay: str
+) -> StreamingQuery:
+    """Append arrivals whose key did not come within ``delay`` before, with bounded state, and stop.
+
+    ``drain_new`` remembers every key; this one forgets a key once the newest ``time`` is ``delay`` past it. What is
+    that late when it arrives can no longer be judged and goes to ``late_path`` instead, as do rows without a time: nothing is dropped. Keys lie in the
+    state store, on disk with the session's default. Of repeats in one batch any one counts.
+
+    Two streams: the first parts late rows from others, by the newest time of earlier batches, which it writes down per
+    batch, so a batch that runs again decides alike; the second removes repeats from what is on time. Its
+    batches are no smaller, so its watermark is never ahead of the first one's and it drops nothing as late.
+    """
+    root = checkpoint.rstrip("/")
+    staged, newest = f"{root}/on-time", f"{root}/newest"
+
+    def part(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        limit = F.lit(None).cast(batch.schema[time].dataType)
+        if path_exists(spark, newest):
+            seen = spark.read.parquet(newest).where(F.col("batch") < batch_id).agg(F.max("newest").alias("newest"))
+            limit = F.lit(seen.first()["newest"]).cast(batch.schema[time].dataType) - F.expr(f"INTERVAL {delay}")
+        on_time = quoted(time).isNotNull() & F.coalesce(quoted(time) > limit, F.lit(True))
+        batch.where(on_time).write.mode("overwrite").parquet(f"{staged}/batch={batch_id}")
+        batch.where(~on_time).write.mode("overwrite").parquet(f"{late_path.rstrip('/')}/batch={batch_id}")
+        batch.agg(F.max(quoted(time)).alias("newest")).write.mode("overwrite").parquet(f"{newest}/batch={batch_id}")
+
+    first = arrivals.writeStream.foreachBatch(part).option("checkpointLocation", f"{root}/parting").trigger(availableNow=True).start()
+    first.awaitTermination()
+    spark = arrivals.sparkSession
+    rows = spark.readStream.schema(arrivals.schema).parquet(staged)
+    # A watermark needs a timestamp with zone; it is of use to the state store only.
+    moment = quoted(time).cast("timestamp")
+    fresh = rows.withColumn("_moment", moment).withWatermark("_moment", delay).dropDuplicatesWithinWatermark(list(keys)).drop("_moment")
+    return drain_to_table(fresh, path, f"{root}/repeats")
+
+
 def drain_to_table(arrivals: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append everything that has arrived to a Parquet directory, exactly once per file, and stop."""
     return (

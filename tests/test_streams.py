@@ -104,3 +104,72 @@ def test_empty_inbox(spark, tmp_path):
     stream = st.watch_folder(spark, f"{tmp_path}/inbox", SCHEMA)
     st.drain_to_table(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint").awaitTermination()
     assert spark.read.schema(SCHEMA).parquet(f"{tmp_path}/out").agg(F.count("*")).first()[0] == 0
+
+
+def test_bounded_repeats_replayed_and_late(spark, tmp_path):
+    inbox, out, late, checkpoint = (f"{tmp_path}/{n}" for n in ("inbox", "out", "late", "checkpoint"))
+
+    def drain():
+        stream = st.watch_folder(spark, inbox, SCHEMA).drop("source_file")
+        st.drain_new_within(stream, out, late, checkpoint, ["name"], "ts", "2 days").awaitTermination()
+        return [rows(spark.read.parquet(p).select("name", "ts")) for p in (out, late)]
+
+    day = dt.timedelta(days=1)
+    land(spark, inbox, [("a", AT, "x"), ("b", AT + day, "x"), ("b", AT + day, "x")])
+    assert drain() == [[("a", AT), ("b", AT + day)], []]
+    land(spark, inbox, [("b", AT + day, "x"), ("c", AT + 9 * day, "x"), ("none", None, "x")])
+    first = [[("a", AT), ("b", AT + day), ("c", AT + 9 * day)], [("none", None)]]
+    assert drain() == first
+    # Nothing new, then late rows: known or not, they can no longer be told apart and are kept aside.
+    assert drain() == first
+    land(spark, inbox, [("a", AT, "x"), ("new", AT + 2 * day, "x"), ("d", AT + 8 * day, "x")])
+    assert drain() == [sorted([*first[0], ("d", AT + 8 * day)], key=repr), sorted([("a", AT), ("new", AT + 2 * day), ("none", None)], key=repr)]
+
+
+def test_stage_machine_refuses_and_reports_stuck_jobs(spark, tmp_path):
+    from martweave.streaming.stages import check_stages
+
+    inbox, out, checkpoint = (f"{tmp_path}/{n}" for n in ("inbox", "out", "checkpoint"))
+
+    def drain():
+        judged = check_stages(st.watch_folder(spark, inbox, SCHEMA).drop("source_file"), "1 hour", "1 day")
+        st.drain_to_table(judged, out, checkpoint).awaitTermination()
+        return {(r.name, r.stage, r.after, r.outcome) for r in spark.read.parquet(out).collect()}
+
+    hour = dt.timedelta(hours=1)
+    land(spark, inbox, [("a", AT, "extract"), ("a", AT + hour, "publish"), ("a", AT + 2 * hour, "hyper"), ("b", AT, "hyper"), ("c", AT, "extract")])
+    first = {("a", "extract", None, "accepted"), ("a", "publish", "extract", "refused"), ("a", "hyper", "extract", "accepted"), ("b", "hyper", None, "refused"), ("c", "extract", None, "accepted")}
+    assert drain() == first
+    land(spark, inbox, [("a", AT + 3 * hour, "publish"), ("a", AT + 4 * hour, "completed"), ("a", AT + 5 * hour, "completed"), ("d", AT + 72 * hour, "extract")])
+    second = first | {("a", "publish", "hyper", "accepted"), ("a", "completed", "publish", "accepted"), ("a", "completed", "completed", "refused"), ("d", "extract", None, "accepted")}
+    found = drain()
+    land(spark, inbox, [("e", AT + 73 * hour, "extract")])
+    found = drain()
+    assert found - second - {("e", "extract", None, "accepted")} == {("c", "extract", "extract", "stuck")}
+    land(spark, inbox, [("c", AT + 74 * hour, "hyper")])
+    assert ("c", "hyper", "extract", "accepted") in drain()
+
+
+def test_growing_files_are_read_once_and_whole(spark, tmp_path):
+    from martweave.streaming.admission import admit, drain_admitted, entries
+
+    inbox, ledger, out, checkpoint = tmp_path / "inbox", f"{tmp_path}/ledger", f"{tmp_path}/out", f"{tmp_path}/checkpoint"
+    inbox.mkdir()
+
+    def drain():
+        drain_admitted(spark, ledger, out, checkpoint, "v string", "text").awaitTermination()
+        return [r.v for r in spark.read.parquet(out).orderBy("position", "v").collect()]
+
+    (inbox / "b +1.txt").write_text("b1\n")
+    assert admit(spark, str(inbox), ledger) == 0 and entries(spark, ledger) is None
+    with (inbox / "b +1.txt").open("a") as file:
+        file.write("b2\n")
+    (inbox / "a.txt").write_text("a1\n")
+    assert admit(spark, str(inbox), ledger) == 0
+    assert admit(spark, str(inbox), ledger) == 2
+    assert drain() == ["b1", "b2", "a1"]
+    assert admit(spark, str(inbox), ledger) == 0 and drain() == ["b1", "b2", "a1"]
+    (inbox / "c.txt").write_text("c1\n")
+    admit(spark, str(inbox), ledger)
+    assert admit(spark, str(inbox), ledger) == 1 and drain() == ["b1", "b2", "a1", "c1"]
+    assert [r.position for r in entries(spark, ledger).orderBy("position").collect()] == [1, 2, 3]

@@ -11,7 +11,6 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +26,10 @@ SEQUENCE_TOKENS = 2048
 END_ID = 1
 _DIMS, _BITS = 4, 10
 _CACHED_WORDS = 800_000
+_LINE_WORDS, _LINES = 500, 40
+_WORD_END = "</w>"
+#: Words of Latin letters are one piece each; others may be several, or none.
+_LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+").fullmatch
 #: Marks that end a word after a letter are token pieces of their own, so words are known without them. Marks
 #: that special tokens or contractions are made of stay where they are.
 _MARKS = re.compile(rb"(?:(?<=[a-z])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))[!#$%&*+,./:;=?@^_~-]+(?=[ \n\t\r\x0b\x0c]|$)")
@@ -46,11 +49,14 @@ class _Encoder:
 
         self.tokenizer = Tokenizer.from_str(spec)
         narrow = self.tokenizer.get_vocab_size() <= 1 << 16
-        self.dtype, self.code = np.dtype("<u2" if narrow else "<u4"), "H" if narrow else "I"
+        self.dtype = np.dtype("<u2" if narrow else "<u4")
         self.known: dict[bytes, bytes] = {}
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.special = tuple({t.content.encode().lower() for t in added if not t.normalized})
         self.marks = frozenset(s[:1] for s in self.special)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends_word = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith(_WORD_END)]] = True
 
     def _holds_special(self, low: bytes) -> bool:
         # One byte is found faster than a word, and most texts lack it.
@@ -72,12 +78,32 @@ class _Encoder:
         if len(self.known) + len(new) > _CACHED_WORDS:
             self.known = {}
             new = list(set().union(*words))
-        for a in range(0, len(new), 20_000):
-            part = new[a : a + 20_000]
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            self.known.update((w, array(self.code, e.ids).tobytes()) for w, e in zip(part, found, strict=True))
+        # Apart, so that lines of letters alone take the short way.
+        self._learn([w for w in new if _LETTERS(w)])
+        self._learn([w for w in new if not _LETTERS(w)])
         return [b"".join(map(self.known.__getitem__, own)) for own in words]
 
+    def _learn(self, new: list[bytes]) -> None:
+        """Ids of unknown words. They go to the tokenizer many in a line, as a call for each costs far more than its ids.
+
+        Where the vocabulary marks the ends of words and a line of Latin letters has as many of them as words, these part the ids; else the places do at which ids begin.
+        """
+        size = self.dtype.itemsize
+        for a in range(0, len(new), _LINE_WORDS * _LINES):
+            lines = [new[b : b + _LINE_WORDS] for b in range(a, min(a + _LINE_WORDS * _LINES, len(new)), _LINE_WORDS)]
+            texts = [b" ".join(line).decode() for line in lines]
+            for line, text, e in zip(lines, texts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+                ids = np.array(e.ids, np.int64)
+                ends = np.flatnonzero(self.ends_word[ids]) + 1
+                plain = len(ends) == len(line) and (not len(ids) or ends[-1] == len(ids)) and all(map(_LETTERS, line))
+                if not plain:
+                    e = self.tokenizer.encode(text, add_special_tokens=False)
+                    ids = np.array(e.ids, np.int64)
+                    begins = np.cumsum([len(w.decode()) + 1 for w in line])
+                    ends = np.searchsorted(np.fromiter((o[0] for o in e.offsets), np.int64, len(ids)), begins)
+                raw, edges = ids.astype(self.dtype).tobytes(), [0, *(ends * size).tolist()]
+                self.known.update((w, raw[x:y]) for w, x, y in zip(line, edges, edges[1:], strict=False))
+
 
 def _encoder(spec: str) -> _Encoder:
     name = hashlib.sha256(spec.encode()).hexdigest()

@@ -308,15 +308,17 @@ def _compared(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
 
 
 def _compared_in_blocks(cells: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Links of the groups of frequent tokens: (token, gid, n_groups) dealt into blocks, each pair of blocks compared by one
-    step of a task, which holds these two alone. Pairs never become rows."""
+    """Links of the groups of frequent tokens: (token, gid, n_groups, low, high, low_comp, high_comp) dealt into blocks, each pair of blocks
+    compared by one step of a task, which holds these two alone. Pairs never become rows. Groups within one component, or of sizes too
+    unlike, are not compared."""
     n_parts = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n_blocks = F.ceil(F.col("n_groups") / _BLOCK).cast("int")
     dealt = cells.withColumn("block", F.pmod(F.xxhash64("gid"), n_blocks).cast("int"))
-    meets = dealt.select("token", "gid", "block", F.explode(F.sequence(F.lit(0), n_blocks - 1)).alias("other"))
-    meets = meets.select("token", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "gid")
+    marks = ["low", "high", "low_comp", "high_comp"]
+    meets = dealt.select("token", "gid", *marks, "block", F.explode(F.sequence(F.lit(0), n_blocks - 1)).alias("other"))
+    meets = meets.select("token", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", *marks, "gid")
     keys = ["token", "x", "y"]
-    ordered = meets.join(_of(groups, cells), "gid").repartition(n_parts, *keys).sortWithinPartitions(*keys, "block", "gid").select(*keys, "block", *groups.columns)
+    ordered = meets.join(_of(groups, cells), "gid").repartition(n_parts, *keys).sortWithinPartitions(*keys, "block", "gid").select(*keys, "block", *marks, *groups.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
@@ -335,10 +337,13 @@ def _compared_in_blocks(cells: DataFrame, groups: DataFrame, percent: int) -> Da
 
     def compare(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(held).combine_chunks()
-        block, own = rows["block"].to_numpy(), rows.drop_columns(["token", "x", "y", "block"])
-        one = block[0] == block[-1]
+        block, own = rows["block"].to_numpy(), rows.drop_columns(["token", "x", "y", "block", *marks])
+        low, high, low_comp, high_comp = (rows[c].to_numpy() for c in marks)
+        one = rows["x"][0].equals(rows["y"][0])
         for i in range(len(block)):
-            others = np.flatnonzero((np.arange(len(block)) > i) if one else (block > block[i]))
+            apart = np.minimum(low_comp, low_comp[i]) != np.maximum(high_comp, high_comp[i])
+            fits = (100 * high >= percent * low[i]) & (100 * high[i] >= percent * low)
+            others = np.flatnonzero(apart & fits & ((np.arange(len(block)) > i) if one else (block > block[i])))
             if len(others):
                 first = own.drop_columns(["union"]).take(np.full(len(others), i))
                 second = own.take(others)
@@ -379,17 +384,20 @@ def set_join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     first = parked(rows.where("n > 0").groupBy("set1", "set2").agg(F.min("uid").alias("vid")), "sets")
     distinct = rows.join(first.select("vid"), F.col("uid") == F.col("vid"))
     firsts = sketched.join(first.select("vid"), F.col("uid") == F.col("vid"))
-    tokens = parked(_shared_tokens(firsts.select("vid", F.explode("prefix").alias("token"))), "tokens")
+    tokens = firsts.select("vid", F.posexplode("prefix").alias("place", "token"))
+    tokens = parked(_shared_tokens(tokens), "tokens")
     delete_path(spark, path)
     # Sets alike enough lie in one band of sizes or in two next to each other, so a token is split by pairs of bands.
     band = F.floor(F.log(F.col("n") * 1.0) / (math.log(100 / percent) * (1 + 1e-9)))
-    sides = tokens.join(distinct.select("vid", "n"), "vid").select("vid", "n", F.posexplode(F.array(band, band + 1)).alias("side", "band"), "token")
-    sides = parked(sides.select("vid", "n", "side", F.xxhash64("token", "band").alias("token")), "sides")
+    # Any partner shares one of the first tokens; the others are witnesses only.
+    first_ones = F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100)
+    sides = tokens.join(distinct.select("vid", "n"), "vid").select("vid", "n", first_ones.alias("opens"), F.posexplode(F.array(band, band + 1)).alias("side", "band"), "token")
+    sides = parked(sides.select("vid", "n", "opens", "side", F.xxhash64("token", "band").alias("token")), "sides")
     matrix = parked(_shared_tokens(sides), "matrix")
     # What all partners on a side share with a document shows among its shared tokens there.
     least = witnesses(F.ceil(F.col("n") * percent / 100).cast("bigint"))
     enough = matrix.groupBy("vid", "n", "side").agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= least).select("vid", "side")
-    matrix = parked(_shared_tokens(matrix.join(enough, ["vid", "side"])).select("vid", "token"), "matrix")
+    matrix = parked(_shared_tokens(matrix.where("opens").join(enough, ["vid", "side"])).select("vid", "token"), "matrix")
     members = parked(matrix.select("vid").distinct().join(distinct.select("vid", "key1", "key2", "n", "group_hash"), "vid"), "members")
     groups = parked(_groups(members, docs), "token-groups")
     placed = parked(groups.select("gid", F.explode(F.arrays_zip("vids", "sizes")).alias("m")).select("gid", F.col("m.vids").alias("vid"), F.col("m.sizes").alias("n")), "placed")
@@ -410,14 +418,16 @@ def set_join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # A token whose documents are in one component is settled.
     standing = cells.join(labels, "vid", "left").withColumn("comp", F.coalesce("label", "vid"))
     open_ = standing.groupBy("token").agg(F.min("comp").alias("low_comp"), F.max("comp").alias("high_comp")).where("low_comp != high_comp").select("token")
-    left = by_group.where("n_groups > 2").join(open_, "token")
+    comps = placed.join(labels, "vid", "left").groupBy("gid").agg(F.min(F.coalesce("label", "vid")).alias("low_comp"), F.max(F.coalesce("label", "vid")).alias("high_comp"))
+    left = by_group.where("n_groups > 2").join(open_, "token").join(comps, "gid")
     # A passage gives many tokens one list of groups, which is compared once.
     names = [F.sum(F.xxhash64("gid", F.lit(i)).cast("decimal(38,0)")).alias(f"name{i}") for i in range(2)]
     lists = left.groupBy("token").agg(*names).groupBy("name0", "name1").agg(F.min("token").alias("token"))
     left = parked(left.join(lists.select("token"), "token"), "open-cells")
     few = left.where((F.col("n_groups") <= _FEW) & (F.col("gid") != F.col("leader")))
-    other = few.select("token", *(F.col(c).alias(f"{c}2") for c in ("gid", "low", "high")))
-    pairs = few.join(other, "token").where("gid < gid2").where(_sizes_fit("low", "high", "low2", "high2", percent))
+    other = few.select("token", *(F.col(c).alias(f"{c}2") for c in ("gid", "low", "high", "low_comp", "high_comp")))
+    apart = F.least("low_comp", "low_comp2") != F.greatest("high_comp", "high_comp2")
+    pairs = few.join(other, "token").where("gid < gid2").where(apart).where(_sizes_fit("low", "high", "low2", "high2", percent))
     pairs = parked(pairs.select("gid", "gid2").distinct().join(star, ["gid", "gid2"], "left_anti"), "pairs")
     rest = _compared(pairs, groups, percent).unionByName(_compared_in_blocks(left.where(F.col("n_groups") > _FEW), groups, percent))
     labels = components(parked(links.unionByName(rest), "links"))

@@ -146,7 +146,8 @@ def fit(counts: list[dict]) -> LanguageModel:
         seen = np.array([sums.get((lang, g), np.zeros(1 << _BITS)) for lang in languages]).reshape(len(languages), 1 << _BITS)
         log_p = np.log((seen + 0.5) / (seen.sum(axis=1, keepdims=True) + 0.5 * (1 << _BITS)))
         # Only differences between languages matter; one odd n-gram must not decide a word.
-        tables.append(np.clip(log_p - log_p.mean(axis=0), -_CLIP, _CLIP).astype(np.float32))
+        middle = log_p.mean(axis=0) if languages else 0.0
+        tables.append(np.clip(log_p - middle, -_CLIP, _CLIP).astype(np.float32))
     scripts = np.array([sums.get((lang, -1), np.zeros(len(SCRIPTS))) for lang in languages]).reshape(len(languages), len(SCRIPTS))
     return LanguageModel(languages, tuple(tables), scripts > 0.01 * scripts.sum(axis=1, keepdims=True))
 

@@ -142,7 +142,7 @@ def scan_licenses(
     sorted_known = known[order].tolist()
     names = [vocabulary[i] for i in order]
     index = {w: i for i, w in enumerate(names)}
-    needs = [np.array([index[w] for w in a.mandatory]) for a in phrases + patterns]
+    needs = [np.array([index[w] for w in a.mandatory], np.int64) for a in phrases + patterns]
 
     span = pa.struct([("label", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
     arrow = pa.struct(

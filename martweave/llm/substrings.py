@@ -31,6 +31,7 @@ from martweave.session import parked
 
 WINDOW = 35
 _GRAM = 8
+_MOST_WORDS = 71
 
 
 def stretches(words: Words, window: int = WINDOW) -> tuple[np.ndarray, ...]:
@@ -122,8 +123,11 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """Rows (key1, key2, spans): for each text by content, the word ranges covered by repeated windows.
 
     Ranges (start, end) are ordered, apart and counted in words from 0. A window is repeated if its words also start
-    anywhere else in ``docs``, the same text and further copies of it included.
+    anywhere else in ``docs``, the same text and further copies of it included. Windows of more than 71 words raise ValueError:
+    a stretch marks its windows in 64 bits.
     """
+    if window > _MOST_WORDS:
+        raise ValueError(f"windows have at most {_MOST_WORDS} words")
     # Counted stretches are used twice below. The joins would filter their keys unlike each other; with the
     # filter here both uses have the same plan, and Spark shuffles the stretches once.
     named = _stretch_rows(docs, window, False).where("gram IS NOT NULL AND path IS NOT NULL")

@@ -102,11 +102,11 @@ def training_words(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE
         for batch in pieces(batches):
             sets = [s.view(np.int64) for s in _feature_sets(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(sets, pa.list_(pa.int64())), batch.column("toxic").cast(pa.int32())],
+                [batch.column("doc_id"), pa.array(sets, pa.list_(pa.int64())), batch.column("toxic").cast(pa.int32())],
                 ["doc_id", "words", "toxic"],
             )
 
-    found = texts.mapInArrow(run, "doc_id bigint, words array<bigint>, toxic int")
+    found = texts.mapInArrow(run, f"doc_id {dict(texts.dtypes)['doc_id']}, words array<bigint>, toxic int")
     # An id may stand in several rows; the bound holds for rows, whatever their number.
     return found.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("words")).limit(sample_rows).toArrow()
 
@@ -126,7 +126,9 @@ def fit(
     term counts as a word only, so that a swap changes nothing but what the penalty sees.
     """
     sets = [s.values.to_numpy().view(np.uint64) for s in rows["words"]]
-    order = np.lexsort((rows["doc_id"].to_numpy(), rows["toxic"].to_numpy()))
+    # Ids may be of any type, so their ranks are sorted.
+    ranks = np.unique(rows["doc_id"].to_numpy(zero_copy_only=False), return_inverse=True)[1]
+    order = np.lexsort((ranks, rows["toxic"].to_numpy()))
     unique = {hashlib.sha256(sets[i]).digest(): i for i in order.tolist()}
     sets = [sets[i] for i in unique.values()]
     y = rows["toxic"].to_numpy()[list(unique.values())].astype(float)

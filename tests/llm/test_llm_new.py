@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from martweave.llm import codes, repair, set_join
+from martweave.llm import codes, langid, licenses, repair, set_join, substrings, toxicity
 
 VECTORS = "vec_id bigint, embedding array<double>, label int, code string"
 
@@ -279,3 +279,24 @@ def test_thinned_links_connect_alike():
     links = np.array([[5, 9], [9, 11], [5, 11], [2, 3]])
     assert set_join._thinned(links).tolist() == [[5, 9], [9, 11], [2, 3]]
     assert set_join._shared(np.array([1, 2], np.uint64), np.array([0, 1]), np.array([1, 1], np.uint64), np.array([0, 1])).tolist() == [True, False]
+
+
+def test_wide_windows_are_refused(spark):
+    docs = spark.createDataFrame([(1, "a b c")], "doc_id bigint, text string")
+    with pytest.raises(ValueError, match="at most 71"):
+        substrings.remove_repeats(docs, window=72)
+
+
+def test_text_ids_and_models_of_nothing(spark):
+    rows = [(f"d{i}", f"calm words {i} here" if i % 2 else f"you idiot {i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    labels = spark.createDataFrame([(d, 1, int("idiot" in t)) for d, t in rows], "doc_id string, quality int, toxic int")
+    found = {r.doc_id: r["_toxic"] for r in toxicity.classify(docs, labels).collect()}
+    assert sum(found[d] == int("idiot" in t) for d, t in rows) > 55
+    assert langid.fit([]).languages == ()
+
+
+def test_templates_without_mandatory_words(spark):
+    docs = spark.createDataFrame([(1, "some words"), (2, None)], "doc_id bigint, text string")
+    found = licenses.scan_licenses(docs, templates=[("free", "<<opt>>some<</opt>> <<var 0-2>>")]).select("doc_id", "_license.n_words").collect()
+    assert sorted(map(tuple, found)) == [(1, 2), (2, 0)]

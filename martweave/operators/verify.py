@@ -57,13 +57,16 @@ def bucket_checksums(df: DataFrame, keys: Sequence[str], buckets: int, columns:
 def portable_checksum(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count and checksum another SQL engine can repeat: the sum of 32 bits of each row's MD5.
 
-    Each value is led by its length in characters, and NULL has a mark of its own, so that no two
+    A row prints as the lengths of its values in characters, ``N`` for NULL, and then the values, so that no two
     rows print alike. For integer and text columns; other types print differently from engine to engine.
+    Both halves of the 32 bits add up as longs, which no number of rows overflows, and meet in a decimal at the end.
     """
     printed = [quoted(c).cast("string") for c in columns]
-    text = F.concat(*[F.coalesce(F.concat(F.char_length(v).cast("string"), F.lit(":"), v), F.lit("N:")) for v in printed])
+    lengths = F.concat_ws(",", *[F.coalesce(F.char_length(v).cast("string"), F.lit("N")) for v in printed])
+    text = F.concat(lengths, F.lit(":"), F.concat_ws("", *printed))
     word = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
-    return df.agg(F.count(F.lit(1)).alias("row_count"), F.sum(word.cast("decimal(28,0)")).alias("checksum"))
+    high, low = F.sum(F.shiftright(word, 16)), F.sum(word.bitwiseAND(0xFFFF))
+    return df.agg(F.count(F.lit(1)).alias("row_count"), (high.cast("decimal(28,0)") * 65536 + low).cast("decimal(38,0)").alias("checksum"))
 
 
 def same_content(left: DataFrame, right: DataFrame) -> bool:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from martweave.functions.scalars import quoted
 from martweave.model import FACT, TableAction, TableSpec
 from martweave.operators.keys import lost_keys
-from martweave.operators.sizing import broadcast_if_small
+from martweave.operators.sizing import key_size
 from martweave.plans.merge import merge_extracts
 from martweave.plans.publish import apply_actions, current_sequence, new_run_id, publish_release, published_tables
 from martweave.session import parked, path_exists, scratch_scope
@@ -53,9 +53,10 @@ def _orphans_of_lost_keys(
             if fk.references not in stored:
                 continue
             lost = parked(lost_keys(stored[fk.references], changed[fk.references], fk), "lost-keys")
-            if lost.isEmpty():
+            size = key_size(lost, fk.columns)
+            if not size.keys:
                 continue
-            lost, fact = broadcast_if_small(lost), changed[spec.name]
+            lost, fact = (F.broadcast(lost) if size.small else lost), changed[spec.name]
             reasons = F.array(F.lit(f"no match in {fk.references}")).alias("reject_reasons")
             found.setdefault(spec.name, []).append(fact.join(lost, list(fk.columns), "left_semi").select(*map(quoted, fact.columns), reasons))
             changed[spec.name] = fact.join(lost, list(fk.columns), "left_anti").select(*map(quoted, fact.columns))

@@ -74,5 +74,7 @@ RANKED_JOBS = f"""SELECT *, CASE WHEN contains(name, 'DLE') THEN 1 WHEN contains
 
 def checksum_sql(columns) -> str:
     """SQL of ``verify.portable_checksum`` over the same columns, as text."""
-    printed = " || ".join(f"coalesce(length({c}::VARCHAR) || ':' || {c}::VARCHAR, 'N:')" for c in columns)
-    return f"CAST(sum(CAST('0x' || substr(md5({printed}), 1, 8) AS BIGINT)) AS VARCHAR)"
+    lengths = ", ".join(f"coalesce(CAST(length({c}::VARCHAR) AS VARCHAR), 'N')" for c in columns)
+    values = ", ".join(f"{c}::VARCHAR" for c in columns)
+    text = f"concat_ws(',', {lengths}) || ':' || concat({values})"
+    return f"CAST(sum(CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT)) AS VARCHAR)"

@@ -157,6 +157,13 @@ def document_hits(docs: DataFrame, windows: DataFrame) -> DataFrame:
     return map_texts(kept, run, added, ["doc_id", "key1", "key2"])
 
 
+def _by_window(rows: DataFrame, around: str) -> DataFrame:
+    """``rows`` once for each whole window that holds their gram, with its hash; short items are whole as they are."""
+    windows = [F.xxhash64(F.slice(around, k, WINDOW)) for k in range(1, _REACH + 2)]
+    short = F.array(F.lit(0).cast("bigint"))
+    return rows.withColumn("window", F.explode(F.when(F.col("len") == WINDOW, F.array(*windows)).otherwise(short)))
+
+
 def _extended(pairs: DataFrame) -> DataFrame:
     """Rows (uid, window_id, start, end) of the meetings that extend to a whole window."""
 
@@ -202,7 +209,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     with_id = windows.withColumn("window_id", F.xxhash64("hash", "len", "around"))
     distinct = with_id.select("window_id", "hash", "len", F.col("around").alias("item_around")).dropDuplicates(["window_id"])
     hits = found.select("uid", F.inline("hits"))
-    runs = parked(_extended(hits.join(distinct, ["hash", "len"])), "document-runs")
+    # Matched by a whole window around the gram, so that a gram common to many items meets those alone that go on alike.
+    met = _by_window(hits, "around").join(_by_window(distinct, "item_around"), ["hash", "len", "window"])
+    runs = parked(_extended(met.drop("window").dropDuplicates(["uid", "pos", "window_id"])), "document-runs")
 
     covered = F.array_distinct(F.flatten(F.collect_set(F.sequence(F.col("start"), F.col("end") - 1))))
     words = runs.groupBy("uid").agg(F.size(covered).cast("bigint").alias("n_hit"), F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))

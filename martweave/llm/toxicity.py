@@ -142,17 +142,20 @@ def fit(
     flat = np.concatenate(sets)
     flat.sort()
     new = np.flatnonzero(np.append(True, flat[1:] != flat[:-1])) if len(flat) else np.zeros(0, np.int64)
-    words, total = flat[new], np.diff(new, append=len(flat))
-    del flat, new
+    tried, total = len(new), np.diff(new, append=len(flat))
+    # Most features stand in fewer texts; they go before anything is computed of them.
+    often = total >= MIN_TEXTS
+    words, total = flat[new[often]], total[often]
+    del flat, new, often
     toxic = np.zeros(len(words))
-    for own in (s for s, label in zip(sets, y, strict=True) if label):
-        toxic[np.searchsorted(words, own)] += 1
+    for own in (s for s, label in zip(sets, y, strict=True) if label and len(words)):
+        at = np.minimum(np.searchsorted(words, own), len(words) - 1)
+        toxic[at[words[at] == own]] += 1
     expected = total * y.mean()
     spread = (toxic - expected) ** 2 / np.maximum(expected * (1 - y.mean()) * (1 - total / len(y)), 1e-9)
-    spread[total < MIN_TEXTS] = 0
     spread[np.isin(words, np.concatenate([begun, mixed(begun, _SEVERAL)]))] = 0
     # A feature must stand out beyond what the number of features tried makes likely by chance.
-    strong = np.flatnonzero(spread > 2 * np.log(max(len(words), 2)))
+    strong = np.flatnonzero(spread > 2 * np.log(max(tried, 2)))
     strong = strong[np.argsort(-spread[strong], kind="stable")][:max_features]
     known = np.union1d(words[strong], terms)
     kept = [np.searchsorted(known, np.intersect1d(s, known, assume_unique=True)) for s in sets]

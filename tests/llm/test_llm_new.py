@@ -10,7 +10,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from martweave.llm import codes, langid, licenses, repair, set_join, substrings, toxicity
+from martweave.llm import chat, codes, decontaminate, langid, licenses, near, packing, repair, set_join, substrings, toxicity, url_filter
+from martweave.llm.queries import tokenizer_json
 
 VECTORS = "vec_id bigint, embedding array<double>, label int, code string"
 
@@ -300,3 +301,52 @@ def test_templates_without_mandatory_words(spark):
     docs = spark.createDataFrame([(1, "some words"), (2, None)], "doc_id bigint, text string")
     found = licenses.scan_licenses(docs, templates=[("free", "<<opt>>some<</opt>> <<var 0-2>>")]).select("doc_id", "_license.n_words").collect()
     assert sorted(map(tuple, found)) == [(1, 2), (2, 0)]
+
+
+def test_megabytes_in_one_row_go_through_every_text_operator(spark):
+    """One text of four megabytes, without and with line breaks, beside its copy and short ones."""
+    long = " ".join(f"word{i % 9973} Idiot{i}" for i in range(250_000))
+    rows = [(1, long), (2, long), (3, "word1 idiot1 cc by 4 0"), (4, "x" * 3_000_000), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1, 1), (3, 1, 0), (4, 1, 0)], "doc_id bigint, quality int, toxic int")
+    assert toxicity.classify(docs, labels).count() == 5
+    scanned = {r.doc_id: r["_license"].n_words for r in licenses.scan_licenses(docs).collect()}
+    assert scanned == {1: 500_000, 2: 500_000, 3: 6, 4: 1, 5: 0}
+    pieces = packing.pack(docs, tokenizer_json()).groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("all")).collect()
+    assert len(pieces) == 5 and all(r.n == r["all"] for r in pieces)
+    items = spark.createDataFrame([(1, " ".join(long.split(" ")[499_900:499_912]))], "item_id bigint, text string")
+    assert {r.doc_id: r.n_hit for r in decontaminate.decontaminate(docs, items).collect()} == {1: 12, 2: 12, 3: 0, 4: 0, 5: 0}
+    cut = {r.doc_id: (r["_n_words"], r["_n_removed"]) for r in substrings.remove_repeats(docs).collect()}
+    assert cut == {1: (500_000, 500_000), 2: (500_000, 500_000), 3: (6, 0), 4: (1, 0), 5: (0, 0)}
+    assert {r.doc_id: r.class_id for r in near.near_duplicates(docs).collect()} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5}
+    model = langid.fit(langid.training_counts(docs.withColumn("lang", F.lit("en"))))
+    assert {r.doc_id: r["_lang"] for r in langid.identify(docs, model).collect()} == {1: "en", 2: "en", 3: "en", 4: "en", 5: "und"}
+    turns = docs.select(F.lit(1).cast("bigint").alias("conv_id"), F.col("doc_id").alias("turn"), F.lit("assistant").alias("role"), "text")
+    (row,) = chat.digest_conversations(chat.format_turns(turns)).collect()
+    assert row.loss_chars == sum(len(t or "") for _, t in rows)
+
+
+def test_repeated_rows_and_nulls_of_urls(spark):
+    urls = ["https://Spam-Casino.example/x", None, "", "no scheme", "http://a.com/en/" + "y" * 2_000_000]
+    pages = spark.createDataFrame([(i % 5, urls[i % 5], "mine") for i in range(10)], "page_id bigint, url string, host string")
+    found = url_filter.filter_urls(pages, (("allow", "com", "/"),)).collect()
+    assert len(found) == 10
+    assert Counter((r.page_id, r["_url"]["verdict"]) for r in found).most_common(1)[0][1] == 2
+    assert all(n == 2 for n in Counter((r.page_id, r["_url"]["host"], r["_url"]["verdict"]) for r in found).values())
+
+
+def test_a_preamble_of_all_items_meets_no_more_places_than_hits(spark):
+    """A thousand items begin alike with eight words; documents hold the preamble, two of them a whole item."""
+    preamble = "which of the following statements is always true"
+    items = [(i, f"{preamble} a{i} b{i} c{i} d{i} e{i}") for i in range(1000)]
+    docs = [(i, f"x{i} y{i} {preamble} z{i} w{i} v{i} u{i}") for i in range(300)] + [(1000, f"so {items[17][1]} then"), (1001, items[18][1])]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    windows = decontaminate.benchmark_windows(spark.createDataFrame(items, "item_id bigint, text string"))
+    found = decontaminate.document_hits(frame, windows).select("doc_id", F.inline("hits"))
+    named = windows.withColumn("window_id", F.xxhash64("hash", "len", "around"))
+    distinct = named.select("window_id", "hash", "len", F.col("around").alias("item_around")).dropDuplicates(["window_id"])
+    met = decontaminate._by_window(found, "around").join(decontaminate._by_window(distinct, "item_around"), ["hash", "len", "window"])
+    assert found.join(distinct, ["hash", "len"]).count() > 50_000
+    assert {r.doc_id for r in met.select("doc_id").distinct().collect()} == {1000, 1001} and met.count() < 200
+    hit = {r.doc_id: (r.n_hit, r.item_ids) for r in decontaminate.decontaminate(frame, spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    assert {d: h for d, h in hit.items() if h[0]} == {1000: (13, ["17"]), 1001: (13, ["18"])}

@@ -34,11 +34,13 @@ SHINGLE = 4
 PERCENT = 85
 _BIN_BITS, _CHUNK_BITS = 18, 12
 #: A group has at most so many members and, but for a single document, so many tokens.
-_MEMBERS, _GROUP_TOKENS = 32, 100_000
+_MEMBERS, _GROUP_TOKENS = 32, 50_000
 #: Documents of one minimum hash are dealt in lots of about so many before they are grouped.
 _LOT = 2048
 #: Tokens of up to so many groups have these compared pair by pair, others in blocks of so many.
-_FEW, _BLOCK = 8, 32
+_FEW, _BLOCK = 8, 64
+#: Tokens that one product of matrices takes.
+_COLUMNS = 4096
 _PIECE_TOKENS = 400_000
 _FILTER_BITS = 25
 
@@ -253,6 +255,45 @@ def alike_members(batch: pa.RecordBatch, percent: int) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros((0, 3), np.int64)
 
 
+def _block_links(groups: _Side, meet: np.ndarray, percent: int) -> np.ndarray:
+    """Links (a, b) between members of the groups that may ``meet`` (a matrix of groups).
+
+    As for pairs of groups: every member's overlap with the tokens of each group bounds it, and groups that qualify are opened.
+    Here both are products of matrices, token by group and token by member.
+    """
+    doc = np.repeat(np.arange(len(groups.vids)), groups.sizes)
+    tokens, place, often = np.unique(groups.tokens, return_inverse=True, return_counts=True)
+    # A token of one member alone adds nothing to any overlap with others.
+    column = np.cumsum(often > 1) - 1
+    shared = often[place] > 1
+    doc, column = doc[shared], column[place[shared]]
+    order = np.argsort(column, kind="stable")
+    doc, column = doc[order], column[order]
+    del tokens, place, shared, order
+
+    def chunks() -> Iterator[np.ndarray]:
+        for a in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
+            own = slice(*np.searchsorted(column, [a, a + _COLUMNS]))
+            dense = np.zeros((len(groups.vids), _COLUMNS), np.float32)
+            dense[doc[own], column[own] - a] = 1
+            yield dense
+
+    bound = np.zeros((len(groups.vids), len(meet)), np.float32)
+    for dense in chunks():
+        bound += dense @ np.maximum.reduceat(dense, groups.first[:-1], axis=0).T
+    opens = meet[groups.pair] & (bound >= needed(groups.sizes, percent)[:, None])
+    x = np.flatnonzero(opens.any(axis=1))
+    y = np.flatnonzero(opens.any(axis=0)[groups.pair])
+    common = np.zeros((len(x), len(y)), np.float32)
+    if common.size:
+        for dense in chunks():
+            common += dense[x] @ dense[y].T
+    count = common.astype(np.int64)
+    alike = opens[x][:, groups.pair[y]] & (100 * count >= percent * (groups.sizes[x][:, None] + groups.sizes[y][None] - count))
+    i, j = np.nonzero(alike)
+    return np.stack([groups.vids[x[i]], groups.vids[y[j]]], axis=1)
+
+
 def _thinned(links: np.ndarray) -> np.ndarray:
     """As few of the links (rows a, b) as connect what all of them connect."""
     ids, at = np.unique(links, return_inverse=True)
@@ -336,21 +377,17 @@ def _compared_in_blocks(cells: DataFrame, groups: DataFrame, percent: int) -> Da
             yield from compare(held)
 
     def compare(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(held).combine_chunks()
-        block, own = rows["block"].to_numpy(), rows.drop_columns(["token", "x", "y", "block", *marks])
-        low, high, low_comp, high_comp = (rows[c].to_numpy() for c in marks)
-        one = rows["x"][0].equals(rows["y"][0])
-        for i in range(len(block)):
-            apart = np.minimum(low_comp, low_comp[i]) != np.maximum(high_comp, high_comp[i])
-            fits = (100 * high >= percent * low[i]) & (100 * high[i] >= percent * low)
-            others = np.flatnonzero(apart & fits & ((np.arange(len(block)) > i) if one else (block > block[i])))
-            if len(others):
-                first = own.drop_columns(["union"]).take(np.full(len(others), i))
-                second = own.take(others)
-                both = pa.table({**{c: first[c] for c in first.column_names}, **{f"{c}2": second[c] for c in second.column_names}})
-                for batch in both.combine_chunks().to_batches():
-                    for part in _slices(batch):
-                        yield _linked(part, percent)
+        (rows,) = pa.Table.from_batches(held).combine_chunks().to_batches()
+        block = rows.column("block").to_numpy()
+        low, high, low_comp, high_comp = (rows.column(c).to_numpy() for c in marks)
+        one = rows.column("x")[0].equals(rows.column("y")[0])
+        meet = np.ones((len(block), len(block)), bool) if one else block[:, None] != block[None]
+        meet &= np.minimum(low_comp[:, None], low_comp[None]) != np.maximum(high_comp[:, None], high_comp[None])
+        meet &= (100 * high[:, None] >= percent * low[None]) & (100 * high[None] >= percent * low[:, None])
+        np.fill_diagonal(meet, False)
+        links = _thinned(_block_links(_Side(rows, ""), meet, percent)) if meet.any() else np.zeros((0, 2), np.int64)
+        if len(links):
+            yield pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])], ["a", "b"])
 
     return ordered.mapInArrow(run, "a bigint, b bigint")
 

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from martweave.llm.linear import Sparse, fit_logistic, sigmoid
 from martweave.llm.words import ALNUM, Words, beginnings, map_texts, mixed, pieces, ship, split_words
+from martweave.session import parked, scratch_scope
 
 #: Terms that name groups of people; swapping one for another must not change a score.
 IDENTITY_TERMS = (
@@ -82,8 +83,8 @@ def _feature_sets(texts: pa.Array) -> list[np.ndarray]:
     return np.split(found[order], np.searchsorted(doc[order], np.arange(1, len(texts))))
 
 
-def training_words(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> pa.Table:
-    """Distinct features and label of at most ``sample_rows`` labelled training texts.
+def training_words(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """Distinct features and label of at most ``sample_rows`` labelled training texts, kept in scratch.
 
     The sample is the labelled ids with the smallest hashes, so it is the same at every run and, up
     to the bound, holds all labelled rows. Contradicting labels of one id count as toxic.
@@ -101,66 +102,125 @@ def training_words(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             sets = [s.view(np.int64) for s in _feature_sets(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sets, pa.list_(pa.int64())), batch.column("toxic").cast(pa.int32())],
-                ["doc_id", "words", "toxic"],
-            )
+            digests = [hashlib.sha256(s).digest() for s in sets]
+            columns = [batch.column("doc_id"), pa.array(sets, pa.list_(pa.int64())), batch.column("toxic").cast(pa.int32()), pa.array(digests, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "words", "toxic", "digest"])
 
-    found = texts.mapInArrow(run, f"doc_id {dict(texts.dtypes)['doc_id']}, words array<bigint>, toxic int")
+    found = texts.mapInArrow(run, f"doc_id {dict(texts.dtypes)['doc_id']}, words array<bigint>, toxic int, digest binary")
+    found = parked(found.withColumns({"name": F.xxhash64("words"), "row": F.monotonically_increasing_id()}), "training-words")
     # An id may stand in several rows; the bound holds for rows, whatever their number.
-    return found.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("words")).limit(sample_rows).toArrow()
+    first = found.select("row", "doc_id", "name").orderBy(F.xxhash64("doc_id"), "doc_id", "name").limit(sample_rows).select("row")
+    return found.join(F.broadcast(first), "row", "left_semi")
+
+
+class _Held:
+    """Training rows (doc_id, words, toxic) in memory."""
+
+    def __init__(self, rows: pa.Table) -> None:
+        self.sets = [s.values.to_numpy().view(np.uint64) for s in rows["words"]]
+        self.heads = rows.select(["doc_id", "toxic"]).append_column("digest", pa.array([hashlib.sha256(s).digest() for s in self.sets], pa.binary()))
+
+    def strong(self, kept: np.ndarray, y: np.ndarray, excluded: np.ndarray, max_features: int) -> np.ndarray:
+        sets = [self.sets[i] for i in kept]
+        words, at, total = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        toxic = np.bincount(at, np.repeat(y, [len(s) for s in sets]), minlength=len(words))
+        spread = _spread(words, total, toxic, y, excluded)
+        strong = np.flatnonzero(spread > _by_chance(len(words)))
+        return words[strong[np.argsort(-spread[strong], kind="stable")][:max_features]]
+
+    def places(self, kept: np.ndarray, known: np.ndarray) -> list[np.ndarray]:
+        return [np.searchsorted(known, np.intersect1d(self.sets[i], known, assume_unique=True)) for i in kept]
+
+
+class _Stored:
+    """Training rows in scratch. Their features are counted and looked up by tasks; the driver sees ids, labels and chosen features."""
+
+    def __init__(self, rows: DataFrame) -> None:
+        self.rows = rows
+        self.heads = rows.select("doc_id", "toxic", "digest", "row").orderBy(F.xxhash64("doc_id"), "doc_id", "name").toArrow()
+
+    def _kept(self, kept: np.ndarray) -> DataFrame:
+        places = pa.table({"row": self.heads["row"].take(pa.array(kept)), "place": pa.array(np.arange(len(kept)))})
+        return self.rows.select("row", "words", "toxic").join(F.broadcast(self.rows.sparkSession.createDataFrame(places)), "row")
+
+    def strong(self, kept: np.ndarray, y: np.ndarray, excluded: np.ndarray, max_features: int) -> np.ndarray:
+        words = self._kept(kept).select("toxic", F.explode("words").alias("word"))
+        counts = parked(words.groupBy("word").agg(F.count(F.lit(1)).alias("total"), F.sum("toxic").alias("toxic")), "features")
+        least = _by_chance(counts.count())
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                word, total, toxic = (c.to_numpy() for c in batch.columns)
+                spread = _spread(word.view(np.uint64), total, toxic.astype(float), y, excluded)
+                strong = np.flatnonzero(spread > least)
+                yield pa.RecordBatch.from_arrays([pa.array(word[strong]), pa.array(spread[strong])], ["word", "spread"])
+
+        # Hashes are ordered as unsigned numbers.
+        found = counts.where(F.col("total") >= MIN_TEXTS).mapInArrow(run, "word bigint, spread double")
+        found = found.orderBy(F.desc("spread"), F.col("word").bitwiseXOR(F.lit(-(2**63)))).limit(max_features)
+        return found.toArrow()["word"].to_numpy().view(np.uint64)
+
+    def places(self, kept: np.ndarray, known: np.ndarray) -> list[np.ndarray]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                sets = batch.column(1)
+                own = sets.flatten().to_numpy().view(np.uint64)
+                at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+                hit = known[at] == own
+                ends = np.concatenate([[0], np.cumsum(hit)])[np.concatenate([[0], np.cumsum(sets.value_lengths().to_numpy())])]
+                found = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(at[hit].astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([batch.column(0), found], ["place", "found"])
+
+        rows = self._kept(kept).select("place", "words").mapInArrow(run, "place bigint, found array<int>").toArrow()
+        found = rows["found"].take(pa.array(np.argsort(rows["place"].to_numpy())))
+        return [s.values.to_numpy() for s in found]
+
+
+def _spread(words: np.ndarray, total: np.ndarray, toxic: np.ndarray, y: np.ndarray, excluded: np.ndarray) -> np.ndarray:
+    """Chi-square of each feature's presence between the labels; 0 for those in few texts and the excluded."""
+    expected = total * y.mean()
+    spread = (toxic - expected) ** 2 / np.maximum(expected * (1 - y.mean()) * (1 - total / len(y)), 1e-9)
+    spread[(total < MIN_TEXTS) | np.isin(words, excluded)] = 0
+    return spread
+
+
+def _by_chance(tried: int) -> float:
+    """A feature must stand out beyond what the number of features tried makes likely by chance."""
+    return 2 * np.log(max(tried, 2))
 
 
 def fit(
-    rows: pa.Table,
+    rows: DataFrame | pa.Table,
     identity_terms: Sequence[str] = tuple(IDENTITY_TERMS),
     penalty: float = 1.0,
     l2: float = 1e-4,
     max_features: int = MAX_FEATURES,
     seed: int = 5,
 ) -> ToxicityModel:
-    """Model from rows of (words, toxic). Without rows of both labels the score is their share everywhere.
+    """Model from ``training_words`` or a table of (doc_id, words, toxic). Without rows of both labels the score is their share everywhere.
 
     Features are those whose presence differs most between the labels (chi-square) among those in
     ``MIN_TEXTS`` texts or more, and the identity terms. Beginnings of identity terms are none: a
     term counts as a word only, so that a swap changes nothing but what the penalty sees.
     """
-    sets = [s.values.to_numpy().view(np.uint64) for s in rows["words"]]
+    training = _Held(rows) if isinstance(rows, pa.Table) else _Stored(rows)
+    heads = training.heads
     # Ids may be of any type, so their ranks are sorted.
-    ranks = np.unique(rows["doc_id"].to_numpy(zero_copy_only=False), return_inverse=True)[1]
-    order = np.lexsort((ranks, rows["toxic"].to_numpy()))
-    unique = {hashlib.sha256(sets[i]).digest(): i for i in order.tolist()}
-    sets = [sets[i] for i in unique.values()]
-    y = rows["toxic"].to_numpy()[list(unique.values())].astype(float)
+    ranks = np.unique(heads["doc_id"].to_numpy(zero_copy_only=False), return_inverse=True)[1]
+    order = np.lexsort((ranks, heads["toxic"].to_numpy()))
+    unique = dict(zip(heads["digest"].take(pa.array(order)).to_pylist(), order.tolist(), strict=True))
+    kept = np.array(list(unique.values()), np.int64)
+    y = heads["toxic"].to_numpy()[kept].astype(float)
     named = split_words(pa.array(list(identity_terms)), np.ones(256, bool), True)
     terms = named.hashes
     begun = np.concatenate([own for _, own in beginnings(named, BEGINNINGS, True)])
     if not len(y) or y.min() == y.max():
         share = (y.sum() + 0.5) / (len(y) + 1)
         return ToxicityModel(terms, np.zeros(len(terms)), float(np.log(share / (1 - share))))
-    # Sorted in place and looked up text by text: all features of the sample stand in memory once.
-    flat = np.concatenate(sets)
-    flat.sort()
-    new = np.flatnonzero(np.append(True, flat[1:] != flat[:-1])) if len(flat) else np.zeros(0, np.int64)
-    tried, total = len(new), np.diff(new, append=len(flat))
-    # Most features stand in fewer texts; they go before anything is computed of them.
-    often = total >= MIN_TEXTS
-    words, total = flat[new[often]], total[often]
-    del flat, new, often
-    toxic = np.zeros(len(words))
-    for own in (s for s, label in zip(sets, y, strict=True) if label and len(words)):
-        at = np.minimum(np.searchsorted(words, own), len(words) - 1)
-        toxic[at[words[at] == own]] += 1
-    expected = total * y.mean()
-    spread = (toxic - expected) ** 2 / np.maximum(expected * (1 - y.mean()) * (1 - total / len(y)), 1e-9)
-    spread[np.isin(words, np.concatenate([begun, mixed(begun, _SEVERAL)]))] = 0
-    # A feature must stand out beyond what the number of features tried makes likely by chance.
-    strong = np.flatnonzero(spread > 2 * np.log(max(tried, 2)))
-    strong = strong[np.argsort(-spread[strong], kind="stable")][:max_features]
-    known = np.union1d(words[strong], terms)
-    kept = [np.searchsorted(known, np.intersect1d(s, known, assume_unique=True)) for s in sets]
-    place = np.concatenate(kept)
-    x = Sparse(np.cumsum([0, *map(len, kept)]), place, np.ones(len(place)))
+    known = np.union1d(training.strong(kept, y, np.concatenate([begun, mixed(begun, _SEVERAL)]), max_features), terms)
+    places = training.places(kept, known)
+    place = np.concatenate(places)
+    x = Sparse(np.cumsum([0, *map(len, places)]), place, np.ones(len(place)))
     change = _counterfactuals(x, len(y), np.searchsorted(known, terms), np.random.default_rng(seed))
     w, b = fit_logistic(x, y, len(known), l2, rounds=300, rate=0.1, pairs=(change, np.full(len(y), penalty)))
     return ToxicityModel(known, w, b)
@@ -217,4 +277,6 @@ def classify(
     docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sample_rows: int = SAMPLE_ROWS, keep: Sequence[str] | None = None
 ) -> DataFrame:
     """Fit on the training rows of ``labels``, then score all ``docs``."""
-    return score_texts(docs, fit(training_words(docs, labels, sample_rows)), threshold, keep)
+    with scratch_scope(docs.sparkSession):
+        model = fit(training_words(docs, labels, sample_rows))
+    return score_texts(docs, model, threshold, keep)

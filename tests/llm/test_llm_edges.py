@@ -121,6 +121,24 @@ def test_beginnings_of_identity_terms_are_no_features():
     assert np.isin(begun[2], model.hashes).all()
 
 
+def test_training_features_stay_with_the_tasks(spark, monkeypatch):
+    """What reaches the driver is a small part of the features; the model is that of all rows in memory. Ids and texts are repeated."""
+    rows = [(i % 380, f"{'you idiot' if i % 3 == 0 else ''} {words(60, i % 350)}", int(i % 3 == 0)) for i in range(400)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int").repartition(5)
+    got = []
+    plain = type(table).toArrow
+    monkeypatch.setattr(type(table), "toArrow", lambda self: got.append(plain(self)) or got[-1])
+    training = toxicity.training_words(table.drop("toxic"), table.select("doc_id", "toxic"), 200)
+    model = toxicity.fit(training)
+    monkeypatch.undo()
+    every = training.orderBy(F.xxhash64("doc_id"), "doc_id", "name").select("doc_id", "words", "toxic").toArrow()
+    assert every.num_rows == 200
+    assert sum(t.nbytes for t in got) < every.nbytes / 5
+    held = toxicity.fit(every)
+    assert len(held.hashes) > len(toxicity.IDENTITY_TERMS) and held.bias == model.bias
+    assert held.hashes.tolist() == model.hashes.tolist() and held.weights.tolist() == model.weights.tolist()
+
+
 def test_held_out_labels_are_never_read(spark):
     rows = [(i, f"word{i % 7} idiot" if i % 2 else f"word{i % 7} calm", "en", "s", 1) for i in range(60)]
     table = spark.createDataFrame(rows, DOCS)

@@ -294,9 +294,9 @@ def _block_links(groups: _Side, meet: np.ndarray, percent: int) -> np.ndarray:
     return np.stack([groups.vids[x[i]], groups.vids[y[j]]], axis=1)
 
 
-def _thinned(links: np.ndarray) -> np.ndarray:
-    """As few of the links (rows a, b) as connect what all of them connect."""
-    ids, at = np.unique(links, return_inverse=True)
+def _thinned(links: np.ndarray, names: np.ndarray | None = None) -> np.ndarray:
+    """As few of the links (rows a, b) as connect what all of them connect; ends of one name (default: the ends themselves) are connected already."""
+    ids, at = np.unique(links if names is None else names, return_inverse=True)
     parent = list(range(len(ids)))
 
     def root(i: int) -> int:
@@ -385,7 +385,14 @@ def _compared_in_blocks(cells: DataFrame, groups: DataFrame, percent: int) -> Da
         meet &= np.minimum(low_comp[:, None], low_comp[None]) != np.maximum(high_comp[:, None], high_comp[None])
         meet &= (100 * high[:, None] >= percent * low[None]) & (100 * high[None] >= percent * low[:, None])
         np.fill_diagonal(meet, False)
-        links = _thinned(_block_links(_Side(rows, ""), meet, percent)) if meet.any() else np.zeros((0, 2), np.int64)
+        if not meet.any():
+            return
+        groups = _Side(rows, "")
+        links = _block_links(groups, meet, percent)
+        # Members of a group that lies in one component go by its label, others by their own ids.
+        named = np.where((low_comp == high_comp)[groups.pair], low_comp[groups.pair], groups.vids)
+        order = np.argsort(groups.vids)
+        links = _thinned(links, named[order][np.searchsorted(groups.vids[order], links)])
         if len(links):
             yield pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])], ["a", "b"])
 

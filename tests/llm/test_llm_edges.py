@@ -362,6 +362,24 @@ def test_components_of_a_long_chain(spark):
     assert labels == {i: 0 for i in range(41)} | {100: 100, 101: 100}
 
 
+def test_components_join_links_a_few_times_only(spark, monkeypatch):
+    """A chain of dense groups: all rounds together join no more rows than a few times the links."""
+    ids = random.Random(4).sample(range(10**6), 800)
+    links = [(ids[g + i], ids[g + j]) for g in range(0, 800, 20) for i in range(20) for j in range(i)] + list(zip(ids, ids[1:], strict=False))
+    edges = spark.createDataFrame(links + links[:50] + [(-5, -5)], "a bigint, b bigint")
+    counts, plain = [], type(edges).join
+
+    def counted(*args, **kwargs):
+        joined = plain(*args, **kwargs)
+        counts.append(joined.count())
+        return joined
+
+    monkeypatch.setattr(type(edges), "join", counted)
+    labels = {r.vid: r.label for r in near.components(edges).collect()}
+    assert labels == dict.fromkeys(ids, min(ids)) | {-5: -5}
+    assert sum(counts) < 5 * len(links)
+
+
 def test_languages(spark, docs, no_docs):
     vocabulary = {"en": "the house with people and water", "de": "das schöne wetter über nacht", "ru": "это очень хороший дом"}
     rows = [(i, " ".join(random.Random(i).choices(vocabulary[g].split(), k=12)), g, "s", 1) for i, g in enumerate(list(vocabulary) * 30)]

@@ -282,6 +282,11 @@ def test_thinned_links_connect_alike():
     assert set_join._shared(np.array([1, 2], np.uint64), np.array([0, 1]), np.array([1, 1], np.uint64), np.array([0, 1])).tolist() == [True, False]
 
 
+def test_blocks_link_no_ends_that_are_connected():
+    links = np.array([[5, 9], [9, 11], [5, 11], [2, 3]])
+    assert set_join._thinned(links, np.array([[5, 5], [5, 11], [5, 11], [2, 3]])).tolist() == [[9, 11], [2, 3]]
+
+
 def test_wide_windows_are_refused(spark):
     docs = spark.createDataFrame([(1, "a b c")], "doc_id bigint, text string")
     with pytest.raises(ValueError, match="at most 71"):

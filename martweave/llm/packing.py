@@ -9,6 +9,7 @@ at its end is cut into sequences of powers of two, so that nothing needs padding
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -151,6 +152,8 @@ def tokenize(docs: DataFrame, tokenizer_json: str, end_id: int = END_ID) -> Data
     spec = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Tasks run beside each other already; threads of the tokenizer would each keep memory of their own.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         encoder = _encoder(spec.value)
         end = np.array([end_id], encoder.dtype).tobytes()
         table = np.random.default_rng(11).standard_normal((max(encoder.tokenizer.get_vocab_size(), end_id + 1), _DIMS), np.float32)

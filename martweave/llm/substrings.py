@@ -32,6 +32,8 @@ from martweave.session import parked
 WINDOW = 35
 _GRAM = 8
 _MOST_WORDS = 71
+#: Stretches whose ranges a task merges at once.
+_LISTED = 50_000
 
 
 def stretches(words: Words, window: int = WINDOW) -> tuple[np.ndarray, ...]:
@@ -164,26 +166,49 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans = [_merged(found, window) for found in batch.column("found").to_pylist()]
-            kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-            yield pa.RecordBatch.from_arrays([batch.column("key1"), batch.column("key2"), pa.array(spans, kind)], ["key1", "key2", "spans"])
+            for part in _bounded(batch, "found"):
+                yield pa.RecordBatch.from_arrays([part.column("key1"), part.column("key2"), _merged(part.column("found"), window)], ["key1", "key2", "spans"])
 
     return by_text.mapInArrow(merge, "key1 bigint, key2 bigint, spans array<struct<start:int,end:int>>")
 
 
-def _merged(found: list[dict], window: int) -> list[dict]:
-    """Word ranges of one text's stretches; ranges that meet become one, whatever ``goes_on`` says."""
-    spans: list[list[int]] = []
-    for piece in found:
-        start, n, windows = piece["start"], piece["n"], piece["windows"]
-        for at in [0] if windows is None else [i for i in range(n) if windows >> i & 1]:
-            a = start + at
-            b = a + window - 1 + (n if windows is None else 1)
-            if spans and a <= spans[-1][1]:
-                spans[-1][1] = max(spans[-1][1], b)
-            else:
-                spans.append([a, b])
-    return [{"start": a, "end": b} for a, b in spans]
+def _bounded(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """The same rows in slices whose lists hold about ``_LISTED`` entries; a longer list is a slice of its own."""
+    ends = np.cumsum(batch.column(column).value_lengths().to_numpy())
+    edges = np.flatnonzero(np.diff(ends // _LISTED)) + 1
+    for a, b in zip([0, *edges], [*edges, batch.num_rows], strict=True):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
+def _merged(found: pa.ListArray, window: int) -> pa.ListArray:
+    """Word ranges of each text's stretches; ranges that meet become one, whatever ``goes_on`` says.
+
+    Everything stays in arrays: a stretch as a Python object takes some twenty times its size.
+    """
+    doc = np.repeat(np.arange(len(found)), found.value_lengths().to_numpy())
+    rows = found.flatten()
+    start, n = (rows.field(k).to_numpy().astype(np.int64) for k in ("start", "n"))
+    marks = rows.field("windows")
+    whole = marks.is_null().to_numpy(zero_copy_only=False)
+    marks = marks.fill_null(0).to_numpy()
+    # The single windows of stretches that repeat in part.
+    row = np.repeat(np.flatnonzero(~whole), n[~whole])
+    at = np.arange(len(row)) - np.repeat(np.cumsum(n[~whole]) - n[~whole], n[~whole])
+    marked = marks[row] >> at & 1 == 1
+    row, at = row[marked], at[marked]
+    doc = np.concatenate([doc[whole], doc[row]])
+    first = np.concatenate([start[whole], start[row] + at])
+    end = np.concatenate([start[whole] + n[whole], start[row] + at + 1]) + window - 1
+    # Places of all texts on one line, each text beyond the one before.
+    shift = doc * (end.max(initial=0) + 1)
+    order = np.argsort(first + shift, kind="stable")
+    doc, first, shift = doc[order], first[order], shift[order]
+    reach = np.maximum.accumulate(end[order] + shift)
+    head = np.flatnonzero(np.append(True, (first + shift)[1:] > reach[:-1])[: len(first)])
+    last = np.append(head[1:], len(first))[: len(head)] - 1
+    spans = pa.StructArray.from_arrays([pa.array(x.astype(np.int32)) for x in (first[head], reach[last] - shift[last])], ["start", "end"])
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(doc[head], np.arange(len(found) + 1)).astype(np.int32)), spans)
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, keep: Sequence[str] | None = None, with_text: bool = True) -> DataFrame:

@@ -170,9 +170,10 @@ def signed(x: np.ndarray) -> np.ndarray:
 def ship(spark: SparkSession) -> None:
     """Give the package to the executors, once per application; it need not be installed there.
 
-    Also bounds the bytes of an Arrow batch, as texts may be long.
+    Also bounds the bytes of an Arrow batch, as texts may be long: a batch stands in the executor, whose buffers
+    double as they grow, and in its worker. Workers read it in smaller pieces anyway.
     """
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return

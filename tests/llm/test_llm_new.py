@@ -3,15 +3,18 @@
 import hashlib
 import itertools
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from martweave.llm import chat, codes, decontaminate, langid, licenses, near, packing, repair, set_join, substrings, toxicity, url_filter
 from martweave.llm.queries import tokenizer_json
+from martweave.llm.words import ship
 
 VECTORS = "vec_id bigint, embedding array<double>, label int, code string"
 
@@ -355,3 +358,38 @@ def test_a_preamble_of_all_items_meets_no_more_places_than_hits(spark):
     assert {r.doc_id for r in met.select("doc_id").distinct().collect()} == {1000, 1001} and met.count() < 200
     hit = {r.doc_id: (r.n_hit, r.item_ids) for r in decontaminate.decontaminate(frame, spark.createDataFrame(items, "item_id bigint, text string")).collect()}
     assert {d: h for d, h in hit.items() if h[0]} == {1000: (13, ["17"]), 1001: (13, ["18"])}
+
+
+def test_ranges_merge_without_an_object_per_stretch():
+    """Repeats of 10,000 texts, 40 a text: 16 bytes each in arrays, several hundred as Python objects."""
+    rng = np.random.default_rng(3)
+    n_texts, per_text = 10_000, 40
+    start = np.cumsum(rng.integers(1, 60, (n_texts, per_text)), axis=1).astype(np.int32)
+    n = np.minimum(np.diff(start, append=start[:, -1:] + 9), rng.integers(1, 29, start.shape)).astype(np.int32)
+    part = rng.integers(0, 4, start.size) == 0
+    windows = pa.array(rng.integers(0, 2, start.size) * 5, pa.int64(), mask=~part)
+    stretches = pa.StructArray.from_arrays([pa.array(start.ravel()), pa.array(n.ravel()), windows], ["start", "n", "windows"])
+    found = pa.ListArray.from_arrays(pa.array(np.arange(n_texts + 1, dtype=np.int32) * per_text), stretches)
+    batch = pa.RecordBatch.from_arrays([found], ["found"])
+    tracemalloc.start()
+    merged = [substrings._merged(p.column("found"), 35) for p in substrings._bounded(batch, "found")]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30_000_000
+    spans = pa.chunked_array(merged)
+    assert len(spans) == n_texts
+    for i in range(0, n_texts, 97):
+        covered = set()
+        for s in found[i].as_py():
+            for at in range(s["n"]):
+                if s["windows"] is None or s["windows"] >> at & 1:
+                    covered.update(range(s["start"] + at, s["start"] + at + 35))
+        assert sorted(covered) == [w for s in spans[i].as_py() for w in range(s["start"], s["end"])]
+
+
+def test_batches_of_texts_are_small(spark):
+    """A batch stands in the executor and in its worker at once."""
+    docs = spark.range(0, 6_000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("words "), 500).alias("text"))
+    ship(spark)
+    sizes = docs.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"]) for b in batches), "n bigint").toArrow()["n"].to_pylist()
+    assert sum(sizes) > 18_000_000 and max(sizes) < 6_000_000

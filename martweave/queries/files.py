@@ -10,7 +10,7 @@ from martweave.operators.backlog import outcome_totals, run_summary
 from martweave.operators.verify import reconcile_files
 from martweave.plans.publish import new_run_id
 from martweave.queries.inputs import table
-from martweave.session import scratch_path
+from martweave.session import delete_path, scratch_path
 from martweave.sources import extracts
 from martweave.sources import files as io
 
@@ -115,11 +115,12 @@ def log_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _page_files(spark: SparkSession, pages: DataFrame, purpose: str) -> DataFrame:
-    """The pages written as one text file each, and the inventory of these files, named by page."""
+    """The pages written as one text file each, and the inventory of these files, named by page. The files go once they are hashed."""
     path = scratch_path(spark, purpose)
-    pages.select("page_id", "html").write.partitionBy("page_id").text(path)
-    page = F.regexp_extract("path", r"page_id=([0-9]+)/", 1)
-    return io.file_inventory(spark, path, recursive=True, hashed=True).withColumn("name", F.concat(F.lit("page_"), page))
+    files = io.file_inventory(spark, io.write_files(pages, path, "page_id", "html"), recursive=True, hashed=True)
+    delete_path(spark, path)
+    page = F.regexp_extract("path", r"page_id=([0-9]+)[/.]", 1)
+    return files.withColumn("name", F.concat(F.lit("page_"), page))
 
 
 def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -99,6 +99,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
 
 
+def local_path(spark: SparkSession, path: str) -> str | None:
+    """``path`` as the operating system names it, or None if Spark keeps it in another store."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.makeQualified(folder).toUri().getPath() if system.getUri().getScheme() == "file" else None
+
+
+def session_with(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """A session like ``spark`` but for these settings. It shares the application, and ``spark`` keeps its own settings."""
+    session = SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
+    for key, value in settings.items():
+        session.conf.set(key, value)
+    return session
+
+
 def move_new(spark: SparkSession, source: str, target: str) -> bool:
     """Move a file to ``target``, which must not exist; whether that was so."""
     jvm = spark.sparkContext._jvm

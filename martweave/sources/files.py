@@ -2,22 +2,32 @@
 
 from __future__ import annotations
 
+import os
 import re
-from collections.abc import Sequence
+import shutil
+from collections.abc import Iterator, Sequence
+from itertools import groupby
+from urllib.parse import quote
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from martweave.functions.scalars import path_name, quoted
 from martweave.operators.ordering import chunk_ids
-from martweave.session import scratch_scope
+from martweave.session import local_path, scratch_path, scratch_scope, session_with
 
 # Fixed values.
 MIN_FILE_BYTES = 10
 MAX_FILE_BYTES = 10 * 1024 * 1024
 _NO_SUCH_TEXT = "\u0001never-a-value-5d1c0e5e\u0001"
 _MAX_ROW_BYTES = (1 << 31) - 64
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+_FILES_PER_FOLDER = 1000
+# Spark takes the opening of a file for 4 MB of reading, and so gives a task at most 32 small files.
+_OPEN_COST = {"spark.sql.files.openCostInBytes": str(64 << 10)}
 
 
 def read_csv(
@@ -109,23 +119,74 @@ def write_chunks(
         append_partitioned(chunk_ids(df, order_by, rows_per_chunk), path, ["chunk_id"], file_format, cluster=False)
 
 
+def write_files(df: DataFrame, path: str, name: str, content: str) -> list[str]:
+    """A text file for each value of the column ``name`` in a partition, named ``name=value``, with a line of ``content`` per row.
+
+    Returns the folders to read, of at most 1,000 files each. Hadoop's local file system starts a ``chmod`` process and adds
+    a checksum file for every file, and ``partitionBy`` a folder, so tasks write local files themselves: into a hidden folder
+    per attempt, which takes its place when complete. Other stores get a folder per file from Spark's writer.
+    """
+    spark, per_folder = df.sparkSession, _FILES_PER_FOLDER
+    root = local_path(spark, path)
+    if root is None:
+        df.select(quoted(name), quoted(content)).write.partitionBy(name).text(path)
+        return [path]
+    # An empty table has a folder too.
+    os.makedirs(root)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get()
+        part = f"part-{task.partitionId():05d}"
+        attempt = f"{root}/.{part}-{task.taskAttemptId()}"
+        lines = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        for n, (value, group) in enumerate(groupby(lines, lambda row: row[0])):
+            folder = f"{attempt}/{n // per_folder:06d}"
+            if n % per_folder == 0:
+                os.makedirs(folder)
+            with open(f"{folder}/{name}={quote(value, safe='')}.txt", "xb") as file:
+                file.writelines(line for _, text in group for line in (text or b"", b"\n"))
+        if os.path.isdir(attempt):
+            try:
+                os.rename(attempt, f"{root}/{part}")
+            except OSError:
+                # Another attempt was first; if not, there is nothing to list below, and that raises.
+                shutil.rmtree(attempt)
+            yield pa.RecordBatch.from_pydict({"folder": [f"{part}/{f}" for f in sorted(os.listdir(f"{root}/{part}"))]})
+
+    lines = df.select(quoted(name).alias("name"), quoted(content).cast("binary").alias("content")).sortWithinPartitions("name")
+    written = lines.select(F.coalesce(F.col("name").cast("string"), F.lit(_NO_VALUE)), "content").mapInArrow(run, "folder string")
+    return [f"{path}/{row.folder}" for row in written.collect()] or [path]
+
+
 def rows_per_file(df: DataFrame) -> DataFrame:
     """Rows read from each file of a file-based frame."""
     return df.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("file_rows"))
 
 
-def file_inventory(spark: SparkSession, path: str, recursive: bool = False, hashed: bool = False) -> DataFrame:
-    """Files below ``path``: path, name, modification time and length.
+def file_inventory(spark: SparkSession, path: str | list[str], recursive: bool = False, hashed: bool = False) -> DataFrame:
+    """Files below ``path``, or below several: path, name, modification time and length.
 
-    ``hashed`` adds ``md5``; only then are contents read at all. Spark reads a file as one row, so
-    the hash is NULL beyond 2 GB; larger data is verified as tables. The hash does not depend on ``size_reason``.
+    ``hashed`` adds ``md5``; only then are contents read at all: now, each once, and the inventory is kept in the scratch
+    folder. Spark reads a file as one row, so the hash is NULL beyond 2 GB; larger data is verified as tables. The hash
+    does not depend on ``size_reason``.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(path)
-    listed = files.select("path", path_name("path").alias("name"), "modificationTime", "length")
+
+    def listing(session: SparkSession) -> DataFrame:
+        return session.read.format("binaryFile").option("recursiveFileLookup", recursive).load(path)
+
+    columns = ["path", path_name("path").alias("name"), "modificationTime", "length"]
     if not hashed:
-        return listed
-    readable = files.where(F.col("length") < _MAX_ROW_BYTES).select("path", F.md5("content").alias("md5"))
-    return listed.join(readable, "path", "left")
+        return listing(spark).select(*columns)
+    files = listing(session_with(spark, _OPEN_COST))
+    # A condition on the listing: no task meets a file of the other side.
+    readable = F.col("_metadata.file_size") < _MAX_ROW_BYTES
+    parts = [files.where(side).select(*columns, md5.alias("md5")) for side, md5 in (
+        (readable, F.md5("content")), (~readable, F.lit(None).cast("string")),
+    )]
+    kept = scratch_path(spark, "inventory")
+    inventory = parts[0].unionByName(parts[1])
+    inventory.write.parquet(kept)
+    return spark.read.schema(inventory.schema).parquet(kept)
 
 
 def size_reason(

@@ -1,6 +1,7 @@
 """Sources, sinks, configuration, releases, partition rewrites and staging, on real files."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from martweave.plans import publish
 from martweave.plans.mart import actions_for, refresh_mart
 from martweave.plans.partitions import delete_from_partitions, upsert_partitions
 from martweave.plans.staging import run_staged, stage_by_config
+from martweave.queries.files import copy_reconcile
 from martweave.session import parked, scratch_path, scratch_root, scratch_scope
 from martweave.sources import config, extracts, files, tables
 
@@ -89,6 +91,84 @@ def test_inventory_guard_and_reconcile(spark, tmp_path):
         }
 
 
+def test_write_files_of_odd_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "_FILES_PER_FOLDER", 2)
+    odd = [(1, "a"), (-2, None), (None, "c"), (1, "\u00e9"), (None, "d\ne"), (3, ""), (1, "a")]
+    folders = files.write_files(spark.createDataFrame(odd, "k bigint, t string").coalesce(1), f"file://{tmp_path}/w", "k", "t")
+    assert folders == [f"file://{tmp_path}/w/part-00000/{n:06d}" for n in range(2)]
+    written = {f.name: sorted(f.read_bytes().decode().split("\n")) for f in (tmp_path / "w").rglob("*") if f.is_file()}
+    assert written == {
+        "k=1.txt": ["", "a", "a", "\u00e9"], "k=-2.txt": ["", ""], "k=3.txt": ["", ""],
+        "k=__HIVE_DEFAULT_PARTITION__.txt": ["", "c", "d", "e"],
+    }
+    assert [f.name for f in (tmp_path / "w").iterdir()] == ["part-00000"]
+    inventory = files.file_inventory(spark, folders, recursive=True, hashed=True)
+    assert rows(inventory.select("name", "length")) == [
+        ("k=-2.txt", 1), ("k=1.txt", 7), ("k=3.txt", 1), ("k=__HIVE_DEFAULT_PARTITION__.txt", 6),
+    ]
+    # Any name, a file per partition, and no rows at all.
+    named = spark.createDataFrame([("a/b", "x"), ("..", "y"), ("a/b", "z")], "k string, t string").repartition(3).select("k", "t")
+    found = files.file_inventory(spark, files.write_files(named, f"{tmp_path}/named", "k", "t"), recursive=True, hashed=True)
+    assert found.agg(F.sum("length")).first()[0] == 6
+    nothing = files.write_files(named.limit(0), f"{tmp_path}/none", "k", "t")
+    assert files.file_inventory(spark, nothing, recursive=True, hashed=True).count() == 0
+
+
+def test_write_files_hides_unfinished_attempts(spark, tmp_path):
+    folders = files.write_files(spark.range(3, numPartitions=1).selectExpr("id AS k", "'x' AS t"), f"{tmp_path}/w", "k", "t")
+    ended = tmp_path / "w" / ".part-00000-7" / "000000"
+    ended.mkdir(parents=True)
+    (ended / "k=0.txt").write_text("of an attempt that ended")
+    for paths in (folders, f"{tmp_path}/w"):
+        assert files.file_inventory(spark, paths, recursive=True, hashed=True).count() == 3
+    with pytest.raises(FileExistsError):
+        files.write_files(spark.range(1).selectExpr("id AS k", "'x' AS t"), f"{tmp_path}/w", "k", "t")
+
+
+def test_files_beyond_two_gigabytes_have_no_hash(spark, tmp_path):
+    (tmp_path / "small").write_text("x")
+    with open(tmp_path / "large", "wb") as sparse:
+        sparse.truncate(1 << 31)
+    found = rows(files.file_inventory(spark, str(tmp_path), hashed=True).select("name", "length", "md5"))
+    assert found == [("large", 1 << 31, None), ("small", 1, "9dd4e461268c8034f5c8564e155c67a6")]
+
+
+def _pages(spark, path, n):
+    """Pages of ten bytes; of ten, one without TLS, one with a fragment, and one with both."""
+    kind = F.col("id") % 10
+    url = F.concat(F.when(kind.isin(0, 1), "http:").otherwise("https:"), F.lit("//a/"), F.when(kind.isin(1, 2), "#b").otherwise(""))
+    html = F.lpad(F.col("id").cast("string"), 10, "-")
+    spark.range(n).select(F.col("id").alias("page_id"), url.alias("url"), html.alias("html")).write.parquet(f"{path}/pages.parquet")
+
+
+def _tasks(spark, query, path):
+    """The query's rows, and how many tasks it took when Spark puts a single file of unknown cost into each."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")
+    try:
+        group = f"tasks-{path}"
+        spark.sparkContext.setJobGroup(group, "")
+        found = query(spark, path).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(group)]
+    return found, sum(tracker.getStageInfo(s).numTasks for j in jobs for s in j.stageIds if tracker.getStageInfo(s))
+
+
+def test_copy_reconcile_packs_files_into_tasks(spark, tmp_path):
+    _pages(spark, tmp_path, 300)
+    found, n_tasks = _tasks(spark, copy_reconcile, str(tmp_path))
+    status = {0: "changed", 1: "only_left", 2: "only_left"}
+    assert {r["name"]: (r["left_rows"], r["right_rows"], r["status"]) for r in found} == {
+        f"page_{n}": (1, int(n % 10 not in (1, 2)), status.get(n % 10, "equal")) for n in range(300)
+    }
+    assert len(found) == 300 and n_tasks < 150
+    # Neither copy stays on disk once it is hashed.
+    scratch = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    assert not list(scratch.rglob("page_id=*"))
+
+
 # --- extracts ------------------------------------------------------------------------------
 
 

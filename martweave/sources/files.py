@@ -26,8 +26,13 @@ _NO_SUCH_TEXT = "\u0001never-a-value-5d1c0e5e\u0001"
 _MAX_ROW_BYTES = (1 << 31) - 64
 _NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 _FILES_PER_FOLDER = 1000
-# Spark takes the opening of a file for 4 MB of reading, and so gives a task at most 32 small files.
-_OPEN_COST = {"spark.sql.files.openCostInBytes": str(64 << 10)}
+_FOLDERS_PER_LISTING = 100
+_SMALL_FILES = {
+    # Spark takes the opening of a file for 4 MB of reading, and so gives a task at most 32 small files.
+    "spark.sql.files.openCostInBytes": str(64 << 10),
+    # The driver forgets a listing with its frame.
+    "spark.sql.hive.manageFilesourcePartitions": "false",
+}
 
 
 def read_csv(
@@ -168,24 +173,25 @@ def file_inventory(spark: SparkSession, path: str | list[str], recursive: bool =
 
     ``hashed`` adds ``md5``; only then are contents read at all: now, each once, and the inventory is kept in the scratch
     folder. Spark reads a file as one row, so the hash is NULL beyond 2 GB; larger data is verified as tables. The hash
-    does not depend on ``size_reason``.
+    does not depend on ``size_reason``. The driver lists a hundred of several paths at a time.
     """
 
-    def listing(session: SparkSession) -> DataFrame:
-        return session.read.format("binaryFile").option("recursiveFileLookup", recursive).load(path)
+    def listing(session: SparkSession, paths: str | list[str]) -> DataFrame:
+        return session.read.format("binaryFile").option("recursiveFileLookup", recursive).load(paths)
 
     columns = ["path", path_name("path").alias("name"), "modificationTime", "length"]
     if not hashed:
-        return listing(spark).select(*columns)
-    files = listing(session_with(spark, _OPEN_COST))
+        return listing(spark, path).select(*columns)
+    session, kept = session_with(spark, _SMALL_FILES), scratch_path(spark, "inventory")
     # A condition on the listing: no task meets a file of the other side.
     readable = F.col("_metadata.file_size") < _MAX_ROW_BYTES
-    parts = [files.where(side).select(*columns, md5.alias("md5")) for side, md5 in (
-        (readable, F.md5("content")), (~readable, F.lit(None).cast("string")),
-    )]
-    kept = scratch_path(spark, "inventory")
-    inventory = parts[0].unionByName(parts[1])
-    inventory.write.parquet(kept)
+    paths = [path] if isinstance(path, str) else path
+    for start in range(0, len(paths), _FOLDERS_PER_LISTING):
+        files = listing(session, paths[start : start + _FOLDERS_PER_LISTING])
+        small = files.where(readable).select(*columns, F.md5("content").alias("md5"))
+        large = files.where(~readable).select(*columns, F.lit(None).cast("string").alias("md5"))
+        inventory = small.unionByName(large)
+        inventory.write.mode("append").parquet(kept)
     return spark.read.schema(inventory.schema).parquet(kept)
 
 

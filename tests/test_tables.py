@@ -1,10 +1,12 @@
 """Sources, sinks, configuration, releases, partition rewrites and staging, on real files."""
 
 import datetime as dt
+import hashlib
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameReader
 
 from martweave.model import ForeignKey, TableSpec
 from martweave.operators.verify import reconcile_files, same_content
@@ -12,7 +14,7 @@ from martweave.plans import publish
 from martweave.plans.mart import actions_for, refresh_mart
 from martweave.plans.partitions import delete_from_partitions, upsert_partitions
 from martweave.plans.staging import run_staged, stage_by_config
-from martweave.queries.files import copy_reconcile
+from martweave.queries.files import copy_reconcile, file_inventory
 from martweave.session import parked, scratch_path, scratch_root, scratch_scope
 from martweave.sources import config, extracts, files, tables
 
@@ -133,11 +135,19 @@ def test_files_beyond_two_gigabytes_have_no_hash(spark, tmp_path):
     assert found == [("large", 1 << 31, None), ("small", 1, "9dd4e461268c8034f5c8564e155c67a6")]
 
 
+def test_write_files_to_another_store(spark, tmp_path):
+    # What is no local path to Spark goes through its own writer, with a folder per file.
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.files.link./w", f"file://{tmp_path}")
+    folders = files.write_files(spark.range(3).selectExpr("id AS k", "'x' AS t"), "viewfs://files/w/x", "k", "t")
+    found = files.file_inventory(spark, folders, recursive=True, hashed=True)
+    assert rows(found.select(F.regexp_extract("path", "/w/x/(k=[0-9]+)/", 1), "length")) == [("k=0", 2), ("k=1", 2), ("k=2", 2)]
+
+
 def _pages(spark, path, n):
-    """Pages of ten bytes; of ten, one without TLS, one with a fragment, and one with both."""
+    """Page n has 10 n bytes; of ten, one without TLS, one with a fragment, and one with both."""
     kind = F.col("id") % 10
     url = F.concat(F.when(kind.isin(0, 1), "http:").otherwise("https:"), F.lit("//a/"), F.when(kind.isin(1, 2), "#b").otherwise(""))
-    html = F.lpad(F.col("id").cast("string"), 10, "-")
+    html = F.expr("repeat('x', CAST(id * 10 AS INT))")
     spark.range(n).select(F.col("id").alias("page_id"), url.alias("url"), html.alias("html")).write.parquet(f"{path}/pages.parquet")
 
 
@@ -169,6 +179,30 @@ def test_copy_reconcile_packs_files_into_tasks(spark, tmp_path):
     assert not list(scratch.rglob("page_id=*"))
 
 
+def test_file_inventory_packs_files_into_tasks(spark, tmp_path):
+    _pages(spark, tmp_path, 300)
+    found, n_tasks = _tasks(spark, file_inventory, str(tmp_path))
+    expected = []
+    for n in range(300):
+        text = b"x" * (10 * n) + b"\n"
+        reason = "too small" if len(text) < 500 else "too large" if len(text) > 1500 else None
+        expected.append((f"page_{n}", len(text), hashlib.md5(text).hexdigest(), reason))
+    assert [tuple(r) for r in found] == sorted(expected) and n_tasks < 150
+
+
+def test_inventory_lists_few_folders_at_a_time(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "_FILES_PER_FOLDER", 10)
+    monkeypatch.setattr(files, "_FOLDERS_PER_LISTING", 3)
+    sizes, load = [], DataFrameReader.load
+    monkeypatch.setattr(DataFrameReader, "load", lambda self, path: sizes.append(len(path)) or load(self, path))
+    texts = spark.range(95, numPartitions=1).selectExpr("id AS k", "CAST(id AS STRING) AS t")
+    folders = files.write_files(texts, f"{tmp_path}/w", "k", "t")
+    found = files.file_inventory(spark, folders, recursive=True, hashed=True)
+    assert sizes == [3, 3, 3, 1]
+    expected = [(f"k={n}.txt", hashlib.md5(f"{n}\n".encode()).hexdigest()) for n in range(95)]
+    assert rows(found.select("name", "md5")) == sorted(expected, key=repr)
+
+
 # --- extracts ------------------------------------------------------------------------------
 
 
